@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -138,8 +139,6 @@ def decode_entities(text: Column) -> Column:
     Only texts with an ampersand that the basic table cannot explain are handed to Python; the
     others are decoded in the JVM and cross the Arrow boundary as NULL.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def unescape(batch: pd.Series) -> pd.Series:
         from html import unescape as decode

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,8 +103,6 @@ def rolling_latency(
     A key is cut into blocks of a few thousand calls. Inside a block a sorted list of ``last`` values
     moves along the rows; a window frame would sort ``last`` values anew for every row.
     """
-    import pandas as pd
-
     one = F.lit(1).cast("bigint")
     log = log.where(F.col(latency).isNotNull())
     ranked = running_totals(log, keys, order, time_bucket(F.col(order[0])), {"__rank": one})
