@@ -34,8 +34,11 @@ def entity_key(df: DataFrame) -> Column:
 
 
 def entity_measures(features: DataFrame) -> DataFrame:
-    """Counts, mean score and label per entity. Combines before the shuffle, so a hot entity is no
-    hot task."""
+    """Counts, mean score and label per entity.
+
+    The sums combine before the shuffle, so a hot entity is no hot task. Scores are added as
+    decimals: the mean, and with it the label, does not depend on how the rows are spread.
+    """
     score = _optional(features, "nlp_features.sentiment_score", F.lit(0.0))
     label = _optional(features, "nlp_features.sentiment_label", F.lit("neutral"))
     agg = (
@@ -43,7 +46,7 @@ def entity_measures(features: DataFrame) -> DataFrame:
         .groupBy("entity_id")
         .agg(
             F.count(F.lit(1)).alias("call_count"),
-            F.avg("score").alias("__mean"),
+            F.avg(F.col("score").cast("decimal(18,8)")).alias("__mean"),
             *[F.count_if(F.col("label") == name).alias(name) for name in V.SENTIMENT_LABELS],
         )
     )
@@ -51,7 +54,7 @@ def entity_measures(features: DataFrame) -> DataFrame:
         "entity_id",
         "call_count",
         "__mean",
-        F.round("__mean", 4).alias("avg_sentiment_score"),
+        F.round("__mean", 4).cast("double").alias("avg_sentiment_score"),
         X.score_label(F.col("__mean")).alias("sentiment_label"),
         F.struct(*V.SENTIMENT_LABELS).alias("sentiment_counts"),
         (F.col("negative") / F.col("call_count")).alias("negative_rate"),
