@@ -48,7 +48,7 @@ def rollup_entity_key(spark, sf):
 @check(
     "rollup_measures",
     f"""WITH {_ENTITY}, {_MEASURES} SELECT entity_id, call_count, sign(k) * ((2 * abs(k) + call_count) // (2 * call_count)) / 10000.0 AS avg_sentiment_score,
-        CASE WHEN mean > 0.1 THEN 'positive' WHEN mean < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+        CASE WHEN k > 1000 * call_count THEN 'positive' WHEN k < -1000 * call_count THEN 'negative' ELSE 'neutral' END AS sentiment_label,
         positive, neutral, negative, negative::DOUBLE / call_count AS negative_rate FROM m""",
 )
 def rollup_measures(spark, sf):
@@ -64,7 +64,7 @@ def rollup_concerns(spark, sf):
 
 def _suggestion_sql() -> str:
     rules = [f"CASE WHEN {_any('text', terms)} THEN '{advice}' END" for terms, advice in V.SUGGESTIONS]
-    rules.append(f"CASE WHEN mean < -0.1 THEN '{V.SUGGEST_OUTREACH}' END")
+    rules.append(f"CASE WHEN k < -1000 * call_count THEN '{V.SUGGEST_OUTREACH}' END")
     rules.append(f"CASE WHEN call_count >= 3 THEN '{V.SUGGEST_TREND}' END")
     joined = f"array_to_string(list_filter([{', '.join(rules)}], lambda x: x IS NOT NULL), '|')"
     return f"CASE WHEN {joined} = '' THEN '{V.SUGGEST_NONE}' ELSE {joined} END"

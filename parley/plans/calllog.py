@@ -113,19 +113,19 @@ def rolling_latency(
     def slide(block: pd.DataFrame) -> pd.DataFrame:
         from bisect import bisect_left, insort
         from collections import deque
-        from math import floor, fsum
+        from math import floor
 
         block = block.sort_values("__rank")
         recent: deque = deque()
         ordered: list = []
-        means, marks = [], []
+        marks = []
         for value in block[latency]:
             if len(recent) == last:
                 del ordered[bisect_left(ordered, recent.popleft())]
             recent.append(value)
             insort(ordered, value)
-            means.append(sum(ordered) / len(ordered))
             marks.append(ordered[floor(len(ordered) * point)])
+        means = block[latency].rolling(last, min_periods=1).mean()
         block = block.assign(rolling_mean=means, rolling_mark=marks, window_size=block["__rank"].clip(upper=last))
         return block.loc[block["__own"], [*out, "rolling_mean", "rolling_mark", "window_size"]]
 
@@ -154,7 +154,7 @@ def token_use(
             "used_before": before,
             "projected_use": before + max_tokens * burndown,
             "over_budget": before + max_tokens * burndown > budget,
-            "utilization_pct": F.round((F.col("__used") * burndown) / budget * 100, 1),
+            "utilization_pct": F.round(F.col("__used") * burndown * 100 / budget, 1),
             "calls_in_window": F.col("__calls"),
         }
     ).drop("__used", "__calls")
