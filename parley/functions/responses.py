@@ -6,8 +6,6 @@ not used: it accepts lists of numbers as lists of strings and loses numbers give
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,70 +46,63 @@ def answer_object(raw: Column) -> Column:
     return F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))
 
 
-def _get(v: Column, as_type: str) -> Column:
-    return F.try_variant_get(v, "$", as_type)
+def _get(v: str, as_type: str) -> str:
+    return f"try_variant_get({v}, '$', '{as_type}')"
 
 
-def _open(v: Column, names) -> Column:
+def _open(v: str, names) -> str:
     """Struct of the named fields as VARIANT; NULL if ``v`` is not an object."""
-    return _get(v, "struct<" + ", ".join(f"`{n}`: variant" for n in names) + ">")
+    return _get(v, "struct<" + ", ".join(f"{n}: variant" for n in names) + ">")
+
 
+def _words(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{x}'" for x in values) + ")"
 
-def _absent(v: Column) -> Column:
-    return v.isNull() | F.is_variant_null(v)
 
+def _checked(ok: str, value: str) -> str:
+    return f"named_struct('ok', coalesce({ok}, false), 'value', {value})"
 
-def _text_items(v: Column) -> Column:
-    """True if ``v`` is a list of texts (an empty list is one)."""
-    items = _get(v, "array<variant>")
-    return F.coalesce(F.forall(items, lambda x: F.schema_of_variant(x) == "STRING"), F.lit(False))
 
+def _is_text(v: str) -> str:
+    return f"schema_of_variant({v}) = 'STRING'"
 
-def _checked(ok: Column, value: Column) -> Column:
-    return F.struct(ok.alias("ok"), value.alias("value"))
 
+def _all_texts(v: str) -> str:
+    return f"forall({_get(v, 'array<variant>')}, x -> {_is_text('x')})"
 
-def _leaf(kind, v: Column) -> Column:
-    """``struct<ok, value>`` of one field."""
-    shape = F.schema_of_variant(v)
-    text = _get(v, "string")
+
+def _leaf(kind: str, v: str) -> str:
+    """``struct<ok, value>`` of one field, as SQL text."""
+    absent = f"{v} IS NULL OR is_variant_null({v})"
     if kind == "texts":
-        value = F.coalesce(_get(v, "array<string>"), F.array().cast("array<string>"))
-        return _checked(v.isNull() | _text_items(v), value)
+        empty = "CAST(array() AS array<string>)"
+        return _checked(f"{v} IS NULL OR {_all_texts(v)}", f"coalesce({_get(v, 'array<string>')}, {empty})")
     if kind == "number":
-        number = _get(v, "double")
-        return _checked(_absent(v) | number.isNotNull(), number)
+        return _checked(f"{absent} OR {_get(v, 'double')} IS NOT NULL", _get(v, "double"))
     if kind == "flag":
-        word = F.lower(text)
+        word = f"lower({_get(v, 'string')})"
+        number = _get(v, "double")
         truth = (
-            F.when(shape == "BOOLEAN", _get(v, "boolean"))
-            .when(word.isin(*TRUE_WORDS), True)
-            .when(word.isin(*FALSE_WORDS), False)
-            .when(shape == "STRING", F.lit(None).cast("boolean"))
-            .when(_get(v, "double") == 1.0, True)
-            .when(_get(v, "double") == 0.0, False)
+            f"CASE WHEN {v} IS NULL THEN false WHEN {word} IN {_words(TRUE_WORDS)} THEN true "
+            f"WHEN {word} IN {_words(FALSE_WORDS)} THEN false WHEN {_is_text(v)} THEN NULL "
+            f"WHEN {number} = 1 THEN true WHEN {number} = 0 THEN false END"
         )
-        return _checked(v.isNull() | truth.isNotNull(), F.coalesce(truth, F.lit(False)))
-    allowed = text.isin(*ENUMS[kind]) if kind in ENUMS else F.lit(True)
-    return _checked(_absent(v) | ((shape == "STRING") & allowed), text)
+        return _checked(f"({truth}) IS NOT NULL", f"coalesce({truth}, false)")
+    allowed = f" AND {_get(v, 'string')} IN {_words(ENUMS[kind])}" if kind in ENUMS else ""
+    return _checked(f"{absent} OR ({_is_text(v)}{allowed})", _get(v, "string"))
 
 
-def _topic_leaf(v: Column) -> Column:
+def _topic_leaf(v: str) -> str:
     """Topics: a text becomes a one-item list; JSON null, false, 0, [] and {} become [general]."""
-    shape = F.schema_of_variant(v)
-    text, items = _get(v, "string"), _get(v, "array<string>")
+    items, number = _get(v, "array<string>"), _get(v, "double")
     empty = (
-        F.is_variant_null(v)
-        | F.coalesce(F.size(items) == 0, F.lit(False))
-        | (shape == "OBJECT<>")
-        | ((shape != "STRING") & F.coalesce(_get(v, "double") == 0.0, F.lit(False)))
+        f"is_variant_null({v}) OR coalesce(size({items}) = 0, false) OR schema_of_variant({v}) = 'OBJECT<>' "
+        f"OR (NOT {_is_text(v)} AND coalesce({number} = 0, false))"
     )
-    value = F.when(shape == "STRING", F.array(text)).when(empty, F.array(F.lit("general"))).otherwise(items)
-    return _checked(F.coalesce((shape == "STRING") | empty | _text_items(v), F.lit(False)), value)
-
-
-def _all(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests)
+    value = (
+        f"CASE WHEN {_is_text(v)} THEN array({_get(v, 'string')}) WHEN {empty} THEN array('general') ELSE {items} END"
+    )
+    return _checked(f"{_is_text(v)} OR {empty} OR coalesce({_all_texts(v)}, false)", value)
 
 
 def check_responses(df: DataFrame, raw: str, prefix: str = "") -> DataFrame:
@@ -119,89 +110,77 @@ def check_responses(df: DataFrame, raw: str, prefix: str = "") -> DataFrame:
 
     An answer without ``callAnalysis`` is read as the flat layout (``key_topics`` or
     ``primary_topics``, ``sentiment``, ``urgency``) and marked ``coerced``. ``insight`` is NULL when
-    the answer is not valid. The work is split into projections (text, object, categories, fields)
-    so that each VARIANT is opened once per row.
+    the answer is not valid. The work is split into projections (object, categories, fields) so that
+    each VARIANT is opened once per row. The expressions are SQL text: building some thousand Column
+    objects would take longer than the job on a small batch.
     """
-    doc, top, flat = f"__{prefix}doc", f"__{prefix}top", f"__{prefix}flat"
-    flat_names = ["key_topics", "primary_topics", "sentiment", "urgency"]
-    step = df.withColumn(doc, answer_object(F.col(raw)))
-    step = step.withColumn(top, _open(F.col(doc), CATEGORIES + flat_names)).drop(doc)
-    t = F.col(top)
-
-    opened = {name: f"__{prefix}{name}" for name in CATEGORIES}
-    step = step.withColumns(
-        {
-            flat: t.isNotNull() & t["callAnalysis"].isNull(),
-            **{col: _open(t[name], INSIGHT_FIELDS[name]) for name, col in opened.items()},
-        }
+
+    def name(*parts: str) -> str:
+        return "__" + prefix + "_".join(parts)
+
+    top, flat, ok = name("top"), name("flat"), name("ok")
+    mood, urgency, topics, programs = name("mood"), name("urgency"), name("topics"), name("programs")
+    call, complaint = name("callAnalysis"), name("complaintAnalysis")
+
+    step = df.withColumn(name("doc"), answer_object(F.col(raw)))
+    step = step.selectExpr(
+        *df.columns, f"{_open(name('doc'), CATEGORIES + ['key_topics', 'primary_topics', 'sentiment', 'urgency'])} AS {top}"
+    )
+    step = step.selectExpr(
+        *df.columns,
+        top,
+        f"{top} IS NOT NULL AND {top}.callAnalysis IS NULL AS {flat}",
+        *[f"{_open(f'{top}.{c}', INSIGHT_FIELDS[c])} AS {name(c)}" for c in CATEGORIES],
     )
-    is_flat = F.col(flat)
-    call = F.col(opened["callAnalysis"])
-    nested = {"programSpecificComplaints": f"__{prefix}programs"}
-    programs = F.col(opened["complaintAnalysis"])["programSpecificComplaints"]
-    mood = F.when(is_flat, t["sentiment"]).otherwise(call["overallSentiment"])
-    urgency = F.when(is_flat, t["urgency"]).otherwise(call["urgencyLevel"])
-    topics = F.when(is_flat, F.coalesce(t["key_topics"], t["primary_topics"])).otherwise(call["primaryTopics"])
-    step = step.withColumns(
-        {
-            nested["programSpecificComplaints"]: _open(programs, ["SD", "SP", "SB"]),
-            f"__{prefix}mood": mood,
-            f"__{prefix}urgency": urgency,
-            f"__{prefix}topics": topics,
-        }
+    step = step.selectExpr(
+        "*",
+        f"{_open(f'{complaint}.programSpecificComplaints', ['SD', 'SP', 'SB'])} AS {programs}",
+        f"CASE WHEN {flat} THEN {top}.sentiment ELSE {call}.overallSentiment END AS {mood}",
+        f"CASE WHEN {flat} THEN {top}.urgency ELSE {call}.urgencyLevel END AS {urgency}",
+        f"CASE WHEN {flat} THEN coalesce({top}.key_topics, {top}.primary_topics) ELSE {call}.primaryTopics END AS {topics}",
     )
-    special = {
-        "primaryTopics": (f"__{prefix}topics", _topic_leaf),
-        "overallSentiment": (f"__{prefix}mood", lambda v: _leaf("sentiment", v)),
-        "urgencyLevel": (f"__{prefix}urgency", lambda v: _leaf("urgency", v)),
-    }
-
-    leaves, tests, structs = {}, [], []
-    for name, fields in INSIGHT_FIELDS.items():
+
+    leaves, tests, structs = {}, [f"{top} IS NOT NULL"], []
+    for category, fields in INSIGHT_FIELDS.items():
         parts = []
         for field, kind in fields.items():
-            key = f"__{prefix}{name}_{field}"
+            key = name(category, field)
             if isinstance(kind, dict):
-                group = F.col(nested[field])
-                tests.append(programs.isNull() | group.isNotNull())
-                inner = []
+                tests.append(f"({complaint}.{field} IS NULL OR {programs} IS NOT NULL)")
                 for sub, sub_kind in kind.items():
-                    leaves[f"{key}_{sub}"] = _leaf(sub_kind, group[sub])
-                    tests.append(F.col(f"{key}_{sub}")["ok"])
-                    inner.append(F.col(f"{key}_{sub}")["value"].alias(sub))
-                parts.append(F.struct(*inner).alias(field))
+                    leaves[f"{key}_{sub}"] = _leaf(sub_kind, f"{programs}.{sub}")
+                    tests.append(f"{key}_{sub}.ok")
+                inner = ", ".join(f"'{sub}', {key}_{sub}.value" for sub in kind)
+                parts.append(f"'{field}', named_struct({inner})")
                 continue
-            if name == "callAnalysis" and field in special:
-                source, read = special[field]
-                leaves[key] = read(F.col(source))
+            value, good = f"{key}.value", f"{key}.ok"
+            if (category, field) == ("callAnalysis", "primaryTopics"):
+                leaves[key] = _topic_leaf(topics)
+                untold = f"({flat} AND {topics} IS NULL)"
+                value, good = f"if({untold}, array('general'), {value})", f"({untold} OR {good})"
+            elif (category, field) == ("callAnalysis", "overallSentiment"):
+                leaves[key] = _leaf(kind, mood)
+                value = f"if({mood} IS NULL, 'neutral', {value})"
+            elif (category, field) == ("callAnalysis", "urgencyLevel"):
+                leaves[key] = _leaf(kind, urgency)
+                value = f"if({flat} AND {urgency} IS NULL, 'low', {value})"
             else:
-                leaves[key] = _leaf(kind, F.col(opened[name])[field])
-            value, ok = F.col(key)["value"], F.col(key)["ok"]
-            if name == "callAnalysis" and field == "primaryTopics":
-                untold = is_flat & F.col(f"__{prefix}topics").isNull()
-                value, ok = F.when(untold, F.array(F.lit("general"))).otherwise(value), untold | ok
-            elif name == "callAnalysis" and field == "overallSentiment":
-                value = F.when(F.col(f"__{prefix}mood").isNull(), "neutral").otherwise(value)
-            elif name == "callAnalysis" and field == "urgencyLevel":
-                value = F.when(is_flat & F.col(f"__{prefix}urgency").isNull(), "low").otherwise(value)
-            tests.append(ok)
-            parts.append(value.alias(field))
-        tests.append(t[name].isNull() | F.col(opened[name]).isNotNull())
-        structs.append(F.struct(*parts).alias(name))
-    step = step.withColumns(leaves)
-    ok = f"__{prefix}ok"
-    step = step.withColumn(ok, F.coalesce(t.isNotNull() & _all(tests), F.lit(False)))
+                leaves[key] = _leaf(kind, f"{name(category)}.{field}")
+            tests.append(good)
+            parts.append(f"'{field}', {value}")
+        tests.append(f"({top}.{category} IS NULL OR {name(category)} IS NOT NULL)")
+        structs.append(f"'{category}', named_struct({', '.join(parts)})")
+    step = step.selectExpr("*", *[f"{expr} AS {key}" for key, expr in leaves.items()])
+    step = step.selectExpr("*", f"coalesce({' AND '.join(tests)}, false) AS {ok}")
 
     # A generated row is a border for the optimizer: a filter on ``valid`` is evaluated on the
     # finished columns and not rewritten into one huge expression over the raw text.
-    valid = F.col(ok)
-    result = F.struct(
-        valid.alias(f"{prefix}valid"),
-        F.when(valid, F.struct(*structs)).alias(f"{prefix}insight"),
-        (valid & is_flat).alias(f"{prefix}coerced"),
-        F.when(t.isNull(), "answer holds no JSON object").when(~valid, V.INVALID_REASON).alias(f"{prefix}reason"),
+    reason = f"CASE WHEN {top} IS NULL THEN 'answer holds no JSON object' WHEN NOT {ok} THEN '{V.INVALID_REASON}' END"
+    result = (
+        f"named_struct('{prefix}valid', {ok}, '{prefix}insight', if({ok}, named_struct({', '.join(structs)}), NULL), "
+        f"'{prefix}coerced', {ok} AND {flat}, '{prefix}reason', {reason})"
     )
-    return step.select(*df.columns, F.inline(F.array(result)))
+    return step.selectExpr(*df.columns, f"inline(array({result}))")
 
 
 def split_by_validity(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
