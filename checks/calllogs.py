@@ -165,13 +165,16 @@ def log_failure_bursts(spark, sf):
     f"""WITH {LG}, f AS (SELECT team, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '1 hour' THEN 0 ELSE 1 END AS fresh
             FROM lg WHERE failed WINDOW w AS (PARTITION BY team ORDER BY ts)),
         g AS (SELECT *, sum(fresh) OVER (PARTITION BY team ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM f)
-        SELECT team, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) AS ended_us, count(*) AS failures
+        SELECT team, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ended, count(*) AS failures
         FROM g GROUP BY team, id""",
 )
 def log_failure_incidents(spark, sf):
     out = C.failure_incidents(lg(spark, sf), ["team"], 3600)
     return out.select(
-        "team", F.unix_micros("started").alias("started_us"), F.unix_micros("ended").alias("ended_us"), "failures"
+        "team",
+        F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started"),
+        F.date_format("ended", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ended"),
+        "failures",
     )
 
 

@@ -73,14 +73,17 @@ def stream_team_load(spark, sf):
         g AS (SELECT *, sum(fresh) OVER (PARTITION BY team ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM f),
         b AS (SELECT team, min(ts) AS s, max(ts) + INTERVAL '1 hour' AS e, count(*) AS failures FROM g GROUP BY team, id),
         mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS w FROM f)
-        SELECT team, epoch_us(s) AS started_us, epoch_us(e) AS closes_us, failures FROM b, mark WHERE e <= w""",
+        SELECT team, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(e, '%Y-%m-%d %H:%M:%S.%f') AS closes, failures FROM b, mark WHERE e <= w""",
 )
 def stream_incidents(spark, sf):
     out = ingest.run_to_files(
         monitors.incident_windows(_event_stream(spark, sf), gap="1 hour"), work_folder(spark, "incidents")
     )
     return out.select(
-        "team", F.unix_micros("started").alias("started_us"), F.unix_micros("closes").alias("closes_us"), "failures"
+        "team",
+        F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started"),
+        F.date_format("closes", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("closes"),
+        "failures",
     )
 
 

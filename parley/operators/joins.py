@@ -85,7 +85,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column, sal
 def key_profile(df: DataFrame, key: str, top: int = 10) -> DataFrame:
     """Hottest keys with their row count and share of all rows."""
     counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    total = counts.agg(F.sum("n").cast("double")).scalar()
     return (
         counts.withColumn("share", F.round(F.col("n") / total, 6)).orderBy(F.desc("n"), F.asc("key")).limit(top)
     )

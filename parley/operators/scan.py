@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SECONDS = 3600
+BUCKET_SECONDS = 600
 
 
 def time_bucket(ts: Column, seconds: int = BUCKET_SECONDS) -> Column:
@@ -98,16 +98,15 @@ def trailing_totals(
     over both. The cost does not grow with the number of rows in the window, as a range frame's
     would. Amounts must be whole numbers (or decimals) to be exact.
     """
-    amounts = df.withColumns({f"__v_{n}": c for n, c in totals.items()})
-    arrive = amounts.withColumn("__at", F.col(ts)).withColumn("__leaves", F.lit(0))
-    leave = amounts.select(
-        *keys,
-        tie,
-        (F.col(ts) + F.expr(f"INTERVAL {seconds} SECONDS")).alias("__at"),
-        F.lit(1).alias("__leaves"),
-        *[(-F.col(f"__v_{n}")).alias(f"__v_{n}") for n in totals],
+    end = F.col(ts) + F.expr(f"INTERVAL {seconds} SECONDS")
+    steps = F.array(
+        F.struct(F.col(ts).alias("__at"), F.lit(0).alias("__leaves"), *[c.alias(f"__v_{n}") for n, c in totals.items()]),
+        F.struct(end.alias("__at"), F.lit(1).alias("__leaves"), *[(-c).alias(f"__v_{n}") for n, c in totals.items()]),
     )
-    both = arrive.unionByName(leave, allowMissingColumns=True)
+    steps = df.select("*", F.inline(steps))
+    # The leaving copy needs its keys, its time and its amounts; the rest would only be shuffled.
+    light = {c: F.when(F.col("__leaves") == 0, F.col(c)) for c in df.columns if c not in keys and c != tie}
+    both = steps.withColumns(light)
     summed = running_totals(
         both,
         keys,
@@ -123,8 +122,11 @@ def _magnitude_bin(value: Column, per_octave: int) -> Column:
     return F.floor(F.signum(value) * F.log2(F.abs(value) * 1e6 + 1) * per_octave)
 
 
-def _holding(counted: DataFrame, position: str, keys: Sequence[str], by: str) -> DataFrame:
-    """Rows of a cumulated histogram that hold the position, with the position inside the row."""
+def _position_in(counts: DataFrame, keys: Sequence[str], by: str, position: str) -> DataFrame:
+    """From a histogram (``__n`` per ``by``) keep the entry that holds the 0-based position, and the
+    position inside that entry as ``__rest``."""
+    upto = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    counted = counts.withColumn("__upto", F.sum("__n").over(upto))
     start = F.col("__upto") - F.col("__n")
     return counted.where((F.col(position) >= start) & (F.col(position) < F.col("__upto"))).select(
         *keys, by, (F.col(position) - start).alias("__rest")
@@ -134,35 +136,29 @@ def _holding(counted: DataFrame, position: str, keys: Sequence[str], by: str) ->
 def exact_percentiles(df: DataFrame, value: str, groups: Sequence[str], points: Sequence[float]) -> DataFrame:
     """The element at 0-based position ``floor(n * p)`` of each sorted group, one row per point.
 
-    Equal values are merged first. A coarse histogram finds the bin that holds the position, a fine
-    one narrows it down, and only the distinct values of that sliver are ranked. No group is ever
-    sorted as a whole. Columns: groups, ``point``, ``value``.
+    A coarse histogram finds the bin that holds the position, a fine one inside that bin narrows it
+    down, and only the distinct values of the remaining sliver are ranked. Both histograms combine
+    before their shuffle and have a bounded number of bins, so no group is ever sorted or sent
+    anywhere as a whole; the price is three passes over the group and value columns. A frame that is
+    costly to compute should be written first. Columns: groups, ``point``, ``value``.
     """
     coarse, fine = _magnitude_bin(F.col("__v"), 64), _magnitude_bin(F.col("__v"), 64 * 4096)
-    distinct = (
+    keys = [*groups, "point"]
+    rows = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(*groups, F.col(value).cast("double").alias("__v"))
         .withColumn("__c", coarse)
     )
-
-    keys = [*groups, "point"]
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     hist = (
-        distinct.groupBy(*groups, "__c")
-        .agg(F.sum("__n").alias("__n"))
-        .withColumn("__upto", F.sum("__n").over(whole.orderBy("__c").rowsBetween(Window.unboundedPreceding, 0)))
+        rows.groupBy(*groups, "__c")
+        .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__all", F.sum("__n").over(whole))
         .withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
         .withColumn("__k", F.floor(F.col("__all") * F.col("point")))
     )
-    sliver = distinct.join(_holding(hist, "__k", keys, "__c"), [*groups, "__c"]).withColumn("__f", fine)
-
-    def cumulated(counts: DataFrame, by: str) -> DataFrame:
-        upto = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
-        return counts.withColumn("__upto", F.sum("__n").over(upto))
-
-    fine_hist = sliver.groupBy(*keys, "__f").agg(F.sum("__n").alias("__n"), F.min("__rest").alias("__k"))
-    narrow = sliver.drop("__rest").join(_holding(cumulated(fine_hist, "__f"), "__k", keys, "__f"), [*keys, "__f"])
-    found = _holding(cumulated(narrow.withColumnRenamed("__rest", "__k"), "__v"), "__k", keys, "__v")
-    return found.select(*keys, F.col("__v").alias("value"))
+    in_bin = rows.join(_position_in(hist, keys, "__c", "__k"), [*groups, "__c"]).withColumn("__f", fine)
+    fine_hist = in_bin.groupBy(*keys, "__f").agg(F.count(F.lit(1)).alias("__n"), F.min("__rest").alias("__k"))
+    sliver = in_bin.drop("__rest").join(_position_in(fine_hist, keys, "__f", "__k"), [*keys, "__f"])
+    values = sliver.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"), F.min("__rest").alias("__k"))
+    return _position_in(values, keys, "__v", "__k").select(*keys, F.col("__v").alias("value"))

@@ -94,7 +94,7 @@ def flow_totals(flows: DataFrame) -> DataFrame:
 def topic_table(flows: DataFrame, top: int = 8) -> DataFrame:
     """Largest topics with their share of all mentions."""
     per = flows.groupBy("topic").agg(F.sum("mentions").alias("mentions"))
-    total = flows.agg(F.sum("mentions")).scalar()
+    total = per.agg(F.sum("mentions")).scalar()
     return (
         per.withColumn("pct", F.round(F.col("mentions") * 100.0 / total, 1))
         .orderBy(F.desc("mentions"), F.asc("topic"))

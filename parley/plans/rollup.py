@@ -33,66 +33,73 @@ def entity_key(df: DataFrame) -> Column:
     return F.coalesce(*options, F.lit("unknown"))
 
 
-def entity_measures(features: DataFrame) -> DataFrame:
-    """Counts, mean score and label per entity.
-
-    The sums combine before the shuffle, so a hot entity is no hot task. Scores are added as
-    decimals: the mean, and with it the label, does not depend on how the rows are spread.
+def _entity_totals(features: DataFrame) -> DataFrame:
+    """Sums and distinct concerns per entity in one pass over the features.
+
+    A call becomes one row per concern, and its measures ride on the first of them. The first
+    aggregate (entity, concern) combines before its shuffle, so a hot entity is spread and shrinks to
+    its vocabulary; only that reaches the second one. The list that one task builds is the result
+    itself and never one entry per call. Scores are added as decimals, so that the mean, and with it
+    the label, does not depend on how the rows are spread.
     """
-    score = _optional(features, "nlp_features.sentiment_score", F.lit(0.0))
+    none = F.array().cast("array<string>")
+    concerns = F.concat(
+        _optional(features, f"{ANALYSIS}.call_analysis.primary_topics", none),
+        _optional(features, f"{ANALYSIS}.complaint_analysis.complaint_keywords", none),
+        _optional(features, f"{ANALYSIS}.key_topics", none),
+    )
+    score = _optional(features, "nlp_features.sentiment_score", F.lit(0.0)).cast("decimal(18,8)")
     label = _optional(features, "nlp_features.sentiment_label", F.lit("neutral"))
-    agg = (
-        features.select(entity_key(features).alias("entity_id"), score.alias("score"), label.alias("label"))
+    rows = features.select(
+        entity_key(features).alias("entity_id"),
+        score.alias("score"),
+        label.alias("label"),
+        F.posexplode_outer(concerns).alias("pos", "concern"),
+    )
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    return (
+        rows.groupBy("entity_id", "concern")
+        .agg(
+            F.count_if(first).alias("calls"),
+            F.sum(F.when(first, F.col("score"))).alias("score"),
+            *[F.count_if(first & (F.col("label") == name)).alias(name) for name in V.SENTIMENT_LABELS],
+        )
         .groupBy("entity_id")
         .agg(
-            F.count(F.lit(1)).alias("call_count"),
-            F.avg(F.col("score").cast("decimal(18,8)")).alias("__mean"),
-            *[F.count_if(F.col("label") == name).alias(name) for name in V.SENTIMENT_LABELS],
+            F.sum("calls").alias("call_count"),
+            (F.sum("score") / F.sum("calls")).alias("mean"),
+            F.sort_array(F.collect_list("concern")).alias("concerns"),
+            *[F.sum(name).alias(name) for name in V.SENTIMENT_LABELS],
         )
     )
-    return agg.select(
-        "entity_id",
-        "call_count",
-        "__mean",
-        F.round("__mean", 4).cast("double").alias("avg_sentiment_score"),
-        X.score_label(F.col("__mean")).alias("sentiment_label"),
+
+
+def _measures() -> list[Column]:
+    return [
+        F.col("call_count"),
+        F.round("mean", 4).cast("double").alias("avg_sentiment_score"),
+        X.score_label(F.col("mean")).alias("sentiment_label"),
         F.struct(*V.SENTIMENT_LABELS).alias("sentiment_counts"),
         (F.col("negative") / F.col("call_count")).alias("negative_rate"),
-    )
+    ]
 
 
-def entity_concerns(features: DataFrame) -> DataFrame:
-    """Sorted distinct concerns per entity.
+def entity_measures(features: DataFrame) -> DataFrame:
+    """Counts, mean score and label per entity."""
+    return _entity_totals(features).select("entity_id", *_measures())
 
-    Rows are made distinct before anything is collected, so the list that one task builds is the
-    result itself and never one entry per call.
-    """
-    none = F.array().cast("array<string>")
-    concerns = F.concat(
-        _optional(features, f"{ANALYSIS}.call_analysis.primary_topics", none),
-        _optional(features, f"{ANALYSIS}.complaint_analysis.complaint_keywords", none),
-        _optional(features, f"{ANALYSIS}.key_topics", none),
-    )
-    return (
-        features.select(entity_key(features).alias("entity_id"), F.explode(concerns).alias("concern"))
-        .distinct()
-        .groupBy("entity_id")
-        .agg(F.sort_array(F.collect_list("concern")).alias("concerns"))
-    )
+
+def entity_concerns(features: DataFrame) -> DataFrame:
+    """Sorted distinct concerns per entity."""
+    return _entity_totals(features).select("entity_id", "concerns")
 
 
 def rollup(features: DataFrame, rollup_date: str) -> DataFrame:
     """One row per entity: measures, concerns and suggestions."""
-    joined = entity_measures(features).join(entity_concerns(features), "entity_id", "left")
-    concerns = F.coalesce("concerns", F.array().cast("array<string>"))
-    return joined.select(
+    return _entity_totals(features).select(
         "entity_id",
-        "call_count",
-        "avg_sentiment_score",
-        "sentiment_label",
-        concerns.alias("concerns"),
-        "sentiment_counts",
-        "negative_rate",
-        suggestions(F.col("__mean"), concerns, F.col("call_count")).alias("improvement_suggestions"),
+        *_measures(),
+        "concerns",
+        suggestions(F.col("mean"), F.col("concerns"), F.col("call_count")).alias("improvement_suggestions"),
         F.lit(rollup_date).alias("rollup_date"),
     )
