@@ -11,6 +11,7 @@ from parley.functions import vocabulary as V
 from parley.plans import flows as FL
 from parley.plans.features import feature_record
 from parley.plans.rollup import entity_concerns, entity_key, entity_measures, rollup
+from parley.plans.throughput import compare_profiles
 
 
 def _features(spark, sf):
@@ -188,3 +189,14 @@ def flow_sentiment_table(spark, sf):
 )
 def flow_leading_topics(spark, sf):
     return FL.leading_topics(FL.topic_flows(_records(spark, sf)))
+
+
+@check(
+    "throughput_profiles",
+    f"""WITH {_ENTITY}, n AS (SELECT count(DISTINCT entity_id) AS n FROM ent)
+        SELECT unnest(['baseline', 'tuned']) AS profile, n AS records, true AS measured FROM n""",
+)
+def throughput_profiles(spark, sf):
+    """The rollup under both profiles; times vary, so only the row counts can be compared."""
+    out = compare_profiles(spark, lambda: rollup(_features(spark, sf), "2024-01-31"), runs=1)
+    return out.select("profile", "records", (F.col("records_per_second") > 0).alias("measured"))
