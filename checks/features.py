@@ -11,6 +11,7 @@ from parley.functions import text as X
 from parley.functions import vocabulary as V
 from parley.functions.rules import derived_fields, rule_insight
 from parley.plans.features import feature_record
+from parley.sources.calls import spread_input
 
 
 def _in(words) -> str:
@@ -212,7 +213,7 @@ def _replace_chain(column: str) -> str:
 
 @check("fea_html_decode", f"SELECT page_id, md5({_replace_chain('html')}) AS decoded FROM pages")
 def fea_html_decode(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.md5(X.decode_entities(F.col("html"))).alias("decoded"))
+    return spread_input(table(spark, sf, "pages")).select("page_id", F.md5(X.decode_entities(F.col("html"))).alias("decoded"))
 
 
 @check(

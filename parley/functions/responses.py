@@ -10,17 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import vocabulary as V
+from parley.functions.text import EDGES
 from parley.schemas import CATEGORIES, ENUMS, INSIGHT_FIELDS
 
 # Spellings of true and false that are accepted where a flag is expected.
 TRUE_WORDS = ["true", "t", "yes", "y", "on", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
 
-_EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-
-
 def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGE_BLANKS, "")
+    return F.regexp_replace(text, EDGES, "")
 
 
 def clean_response(raw: Column) -> Column:

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from parley.functions import vocabulary as V
 
-# Whitespace as a text editor sees it: Unicode spaces and the four separator control characters.
-BLANKS = r"(?U)[\s\x1c-\x1f]+"
+# Whitespace as a text editor sees it, Unicode spaces and the separator controls. Listed
+# one by one, because a Unicode-aware ``\\s`` is looked up character by character.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANKS = SPACE + "+"
+EDGES = f"^{BLANKS}|{BLANKS}$"
 
 
 def tokens(text: Column) -> Column:
     """Whitespace-separated tokens, punctuation kept."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
 def word_count(text: Column) -> Column:
@@ -164,7 +167,7 @@ def segments(text: Column, speakers: Sequence[str] = ("rep", "customer")) -> Col
         lambda s, i: F.struct(
             i.alias("pos"),
             F.element_at(names, i % len(speakers) + 1).alias("speaker"),
-            F.regexp_replace(s, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "").alias("text"),
+            F.regexp_replace(s, EDGES, "").alias("text"),
         ),
     )
     kept = F.filter(parts, lambda p: p["text"] != "")

@@ -9,26 +9,67 @@ bucket. Results are exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.settings import work_folder
+
 BUCKET_SECONDS = 600
+# A bucket is one task's sort. Above this size the rows are cut by range instead.
+BUCKET_ROWS = 20_000_000
 
 
 def time_bucket(ts: Column, seconds: int = BUCKET_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds)
 
 
-def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, totals: dict[str, Column]
+def _range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
+    """Even slices along keys and order, numbered in ``__b``.
+
+    Slice bounds come from sampling, so the cut is written once to the shared work folder: every
+    later reader, also one that replaces a lost executor, sees the same slices.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, "slices")
+    df.repartitionByRange(slices, *keys, *order).withColumn("__b", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _bucketed(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, max_rows: int | None
 ) -> DataFrame:
-    """Add running totals over ``keys`` in ``order``. ``bucket`` must not decrease along ``order``.
+    """Number the buckets of each key in ``__b``.
 
-    The offsets frame has one row per key and bucket, so its window sees the number of buckets of a
-    key and not its rows.
+    The given bucket is kept as long as no bucket holds more than ``max_rows`` rows. A burst, or
+    timestamps that are cut to days, can put a third of a log into one bucket; then even range slices
+    take its place, which split ties in time by the rest of the order.
     """
     work = df.withColumn("__b", bucket)
+    if max_rows is None:
+        return work
+    size = work.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    if (size[0] or 0) <= max_rows:
+        return work
+    return _range_slices(df, keys, order, ceil(size[1] / max_rows) + 1)
+
+
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    bucket: Column,
+    totals: dict[str, Column],
+    max_rows: int | None = BUCKET_ROWS,
+) -> DataFrame:
+    """Add running totals over ``keys`` in ``order``, which must be unique within a key.
+
+    ``bucket`` must not decrease along ``order``. Bucket sizes are checked by one aggregate over the
+    key and order columns. The offsets frame has one row per key and bucket, so its window sees the
+    number of buckets of a key and not its rows.
+    """
+    work = _bucketed(df, keys, order, bucket, max_rows)
     inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = work.withColumns({name: F.sum(col).over(inside) for name, col in totals.items()})
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,10 +93,15 @@ def running_totals(
 
 
 def with_rank(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str = "rank"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    bucket: Column,
+    name: str = "rank",
+    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Exact 1-based position of each row within its key."""
-    return running_totals(df, keys, order, bucket, {name: F.lit(1).cast("bigint")})
+    return running_totals(df, keys, order, bucket, {name: F.lit(1).cast("bigint")}, max_rows)
 
 
 def last_rows_blocks(df: DataFrame, keys: Sequence[str], rank: str, last: int, block: int | None = None) -> DataFrame:
@@ -90,6 +136,7 @@ def trailing_totals(
     seconds: int,
     totals: dict[str, Column],
     bucket_seconds: int = BUCKET_SECONDS,
+    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Totals over the rows of the last ``seconds`` up to and with the current one.
 
@@ -113,6 +160,7 @@ def trailing_totals(
         ["__at", "__leaves", tie],
         time_bucket(F.col("__at"), bucket_seconds),
         {n: F.col(f"__v_{n}") for n in totals},
+        max_rows,
     )
     return summed.where("__leaves = 0").drop("__at", "__leaves", *[f"__v_{n}" for n in totals])
 

@@ -44,36 +44,41 @@ def _holds_anything(df: DataFrame, path: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(f"{path}.{f.name}").isNotNull() for f in dtype])
 
 
-def normalised_mentions(df: DataFrame, campaigns: Sequence[str] = (), strict: bool = False) -> DataFrame:
-    """One row per valid topic mention: ``topic`` (consolidated) and ``sentiment`` (three labels).
+def raw_mentions(df: DataFrame, campaigns: Sequence[str] = ()) -> DataFrame:
+    """One row per topic mention as written: ``topic``, ``label`` of the analysis, ``own`` label.
 
-    The camelCase analysis is used when it holds anything, else the snake_case one. A record without
-    a usable label in its analysis falls back to its own ``sentiment``; without one it is left out.
+    The camelCase analysis is used when it holds anything, else the snake_case one.
     """
     camel = _holds_anything(df, CAMEL)
-    raw = F.when(camel, _field(df, f"{CAMEL}.overallSentiment")).otherwise(_field(df, f"{SNAKE}.overall_sentiment"))
+    label = F.when(camel, _field(df, f"{CAMEL}.overallSentiment")).otherwise(_field(df, f"{SNAKE}.overall_sentiment"))
     topics = F.when(camel, _topic_list(df, f"{CAMEL}.primaryTopics")).otherwise(
         _topic_list(df, f"{SNAKE}.primary_topics")
     )
-    label = F.coalesce(X.normalize_sentiment(raw, strict), X.normalize_sentiment(_field(df, "sentiment"), strict))
     if campaigns:
         campaign = F.coalesce(
             F.nullif(_field(df, "campaign_type"), F.lit("")),
             _field(df, "processed_insights.campaignStructure.primaryCampaignType"),
         )
         df = df.where(campaign_contains(campaign, campaigns))
-    return (
-        df.select(label.alias("sentiment"), topics.alias("__topics"))
-        .where("sentiment IS NOT NULL")
-        .select("sentiment", F.explode("__topics").alias("__topic"))
-        .where(X.is_real_topic(F.col("__topic")))
-        .select(X.consolidate_topic(F.col("__topic")).alias("topic"), "sentiment")
-    )
+    return df.select(
+        label.alias("label"), _field(df, "sentiment").alias("own"), F.explode(topics).alias("topic")
+    ).where(X.is_real_topic(F.col("topic")))
 
 
 def topic_flows(df: DataFrame, campaigns: Sequence[str] = (), strict: bool = False) -> DataFrame:
+    """Mentions per consolidated topic and three-way sentiment.
+
+    Mentions are counted as written first. The long rule chains then run once per distinct wording
+    and not once per mention. A record without a usable label in its analysis falls back to its own
+    one; without either it is left out.
+    """
+    written = raw_mentions(df, campaigns).groupBy("topic", "label", "own").agg(F.count(F.lit(1)).alias("n"))
+    label = F.coalesce(X.normalize_sentiment(F.col("label"), strict), X.normalize_sentiment(F.col("own"), strict))
     return (
-        normalised_mentions(df, campaigns, strict).groupBy("topic", "sentiment").agg(F.count(F.lit(1)).alias("mentions"))
+        written.select(X.consolidate_topic(F.col("topic")).alias("topic"), label.alias("sentiment"), "n")
+        .where("sentiment IS NOT NULL")
+        .groupBy("topic", "sentiment")
+        .agg(F.sum("n").alias("mentions"))
     )
 
 
@@ -103,14 +108,18 @@ def topic_table(flows: DataFrame, top: int = 8) -> DataFrame:
 
 
 def flows_of_top_topics(flows: DataFrame, top: int = 10) -> DataFrame:
-    leaders = (
+    """Flows of the ``top`` largest topics.
+
+    A topic carries its flows (one per label, so at most three) through the top-k, which spares a
+    join of the flows with themselves.
+    """
+    return (
         flows.groupBy("topic")
-        .agg(F.sum("mentions").alias("__m"))
+        .agg(F.sum("mentions").alias("__m"), F.collect_list(F.struct("sentiment", "mentions")).alias("__f"))
         .orderBy(F.desc("__m"), F.asc("topic"))
         .limit(top)
-        .select("topic")
+        .select("topic", F.inline("__f"))
     )
-    return flows.join(leaders, "topic", "left_semi")
 
 
 def sentiment_table(flows: DataFrame) -> DataFrame:

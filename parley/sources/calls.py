@@ -40,3 +40,14 @@ def typed_calls(df: DataFrame, date_column: str = "call_date") -> DataFrame:
     if date_column not in df.columns:
         return df
     return df.withColumn(date_column, F.try_to_date(F.col(date_column)))
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores.
+
+    A gzip file or a Parquet row group is one task, however large it is. Before costly per-row work
+    such an input is dealt out evenly; an input with enough splits is left as it is. For frames that
+    only scan and project.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -74,17 +74,22 @@ def test_rolling_quality(spark, flags, rate, meets):
     assert round(last.quality_rate, 6) == rate and last.meets_sla == meets and last.window_size == len(flags)
 
 
-def test_rolling_windows_match_brute_force_over_many_blocks(spark):
+@pytest.mark.parametrize("spread, max_rows", [(100_000, None), (100_000, 200), (1, 200)])
+def test_rolling_windows_match_brute_force_over_many_blocks(spark, spread, max_rows):
+    """Spread over time; cut into range slices; and all at one instant, where only slices help."""
     import random
 
     rng = random.Random(7)
-    rows = [(rng.randrange(100_000), rng.random() > 0.3, rng.randrange(100)) for _ in range(1500)]
+    rows = [(rng.randrange(spread), rng.random() > 0.3, rng.randrange(100)) for _ in range(1000)]
     df = log(spark, rows).withColumn("latency_ms", F.round(F.rand(3) * 100, 2)).cache()
     local = sorted(df.collect(), key=lambda r: (r.ts, r.event_id))
-    quality = {r.event_id: r.failure_count for r in C.rolling_quality(df, ["team"], last=40).collect()}
-    latency = {r.event_id: r for r in C.rolling_latency(df, ["team"], last=40).collect()}
-    tokens = {r.event_id: r.used_before for r in C.token_use(df, ["team"], F.col("output_tokens"), 900).collect()}
-    ranks = {r.event_id: r["rank"] for r in with_rank(df, ["team"], ["ts", "event_id"], F.floor(F.unix_timestamp("ts") / 60)).collect()}
+    quality = {r.event_id: r.failure_count for r in C.rolling_quality(df, ["team"], last=40, max_rows=max_rows).collect()}
+    latency = {r.event_id: r for r in C.rolling_latency(df, ["team"], last=40, max_rows=max_rows).collect()}
+    used_frame = C.token_use(df, ["team"], F.col("output_tokens"), 900, max_rows=max_rows)
+    tokens = {r.event_id: r.used_before for r in used_frame.collect()}
+    minute = F.floor(F.unix_timestamp("ts") / 60)
+    ranked = with_rank(df, ["team"], ["ts", "event_id"], minute, max_rows=max_rows)
+    ranks = {r.event_id: r["rank"] for r in ranked.collect()}
     for i, row in enumerate(local):
         window = local[max(0, i - 39) : i + 1]
         assert quality[row.event_id] == sum(r.failed for r in window)
