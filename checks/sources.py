@@ -11,6 +11,7 @@ from checks.registry import check
 from checks.views import CALLS, LG, calls, docs, ins, lg, meta, table
 from checks.views import INS, META
 from parley.functions.rules import rule_insight
+from parley.plans.daily import run_day
 from parley.plans.features import feature_record
 from parley.plans.rollup import rollup
 from parley.settings import work_folder
@@ -226,3 +227,30 @@ def run_metrics(spark, sf):
         F.count(F.lit(1)).alias("rows_written"),
         F.lit(m["elapsed_seconds"] > 0).alias("took_time"),
     )
+
+
+@check(
+    "daily_run",
+    f"""WITH {CALLS}, {META}, latest AS (SELECT * FROM meta WHERE conversation_id <> '' AND version = 2)
+        SELECT advertiser_id AS entity_id, count(*) AS call_count, '2024-01-31' AS rollup_date,
+               (SELECT count(*) FROM calls JOIN latest ON latest.conversation_id = CAST(o_custkey AS VARCHAR)) AS record_count
+        FROM calls JOIN latest ON latest.conversation_id = CAST(o_custkey AS VARCHAR) GROUP BY 1""",
+)
+def daily_run(spark, sf):
+    """Calls keyed by customer through the whole day, twice, and the rollup that results."""
+    folder = work_folder(spark, "day")
+    keyed = calls(spark, sf).withColumn("conversation_id", F.col("o_custkey").cast("string"))
+    dim = table(spark, sf, "customer").select(
+        (F.col("c_custkey") % 50).alias("bucket"),
+        F.col("c_mktsegment").alias("vertical"),
+        F.lit("premium").alias("tier"),
+        F.col("c_custkey").alias("version"),
+    )
+    for _ in range(2):
+        m = run_day(keyed, meta(spark, sf), dim, folder, "2024-01-31", 0)
+    return spark.read.parquet(f"{folder}/rollup").select(
+        "entity_id",
+        "call_count",
+        F.col("rollup_date").cast("string").alias("rollup_date"),
+        F.lit(m["record_count"]).cast("bigint").alias("record_count"),
+    )
