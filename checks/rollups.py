@@ -198,5 +198,6 @@ def flow_leading_topics(spark, sf):
 )
 def throughput_profiles(spark, sf):
     """The rollup under both profiles; times vary, so only the row counts can be compared."""
-    out = compare_profiles(spark, lambda: rollup(_features(spark, sf), "2024-01-31"), runs=1)
+    here = {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}
+    out = compare_profiles(spark, lambda: rollup(_features(spark, sf), "2024-01-31"), runs=1, overrides=here)
     return out.select("profile", "records", (F.col("records_per_second") > 0).alias("measured"))

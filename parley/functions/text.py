@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 
 from parley.functions import vocabulary as V
 
-# Whitespace as a text editor sees it, Unicode spaces and the separator controls. Listed
-# one by one, because a Unicode-aware ``\\s`` is looked up character by character.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-BLANKS = SPACE + "+"
-EDGES = f"^{BLANKS}|{BLANKS}$"
+# Whitespace as a text editor sees it, Unicode spaces and the separator controls.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+EDGES = rf"^[{SPACES}]+|[{SPACES}]+$"
 
 
 def tokens(text: Column) -> Column:
-    """Whitespace-separated tokens, punctuation kept."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
+    """Whitespace-separated tokens, punctuation kept.
+
+    All spaces become blanks first: a split on one plain character needs no regular expression.
+    """
+    plain = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def word_count(text: Column) -> Column:

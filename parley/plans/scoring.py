@@ -46,7 +46,8 @@ def score_calls(calls: DataFrame, scorer: Scorer, max_attempts: int = V.MAX_ATTE
 
     A refused answer is quoted in the next prompt together with the reason; after an exception the
     plain prompt is sent again. Calls that are done send NULL to the later tries.
-    Adds ``insight, attempts, latency_seconds, success, error, fallback_used, response``.
+    Write the result before anything is computed from it: every read of an unwritten frame would
+    call the scorer again. Adds ``insight, attempts, latency_seconds, success, error, fallback_used, response``.
     """
     df = calls.withColumn("__prompt", P.short_prompt(F.col("transcript"))).withColumn("__send", F.col("__prompt"))
     tries = range(1, max_attempts + 1)
