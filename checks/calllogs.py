@@ -44,18 +44,20 @@ def _percentile_sql(group: str) -> str:
     )
     return f"""WITH {LG}, r AS (SELECT *, row_number() OVER ({part}ORDER BY latency_ms) AS rn, count(*) OVER ({part}) AS n
           FROM lg WHERE latency_ms IS NOT NULL)
-        SELECT {keys}count(*) AS calls, round(avg(latency_ms), 4) AS mean, min(latency_ms) AS min, max(latency_ms) AS max,
+        SELECT {keys}count(*) AS calls, round(avg(latency_ms) * count(*), 2) AS total, min(latency_ms) AS min, max(latency_ms) AS max,
                {marks} FROM r {by}"""
 
 
 @check("log_latency_by_team", _percentile_sql("team"))
 def log_latency_by_team(spark, sf):
-    return C.latency_distribution(lg(spark, sf), "latency_ms", ["team"]).withColumn("mean", F.round("mean", 4))
+    out = C.latency_distribution(lg(spark, sf), "latency_ms", ["team"])
+    return out.withColumn("total", F.round(F.col("mean") * F.col("calls"), 2)).drop("mean")
 
 
 @check("log_latency_total", _percentile_sql(""))
 def log_latency_total(spark, sf):
-    return C.latency_distribution(lg(spark, sf), "latency_ms", []).withColumn("mean", F.round("mean", 4))
+    out = C.latency_distribution(lg(spark, sf), "latency_ms", [])
+    return out.withColumn("total", F.round(F.col("mean") * F.col("calls"), 2)).drop("mean")
 
 
 @check(

@@ -175,7 +175,7 @@ def fea_metric_sentiment(spark, sf):
                {_any('low', V.COMPETITOR_TERMS)} AS rival, {_tags('low', V.PAIN_TAGS)} AS pains, 'v1.2' AS version,
                CAST(1700000000000 AS BIGINT) AS processed_at, count(*) AS calls,
                CAST(sum(len(words)) AS BIGINT) AS words, CAST(sum(people) AS BIGINT) AS people,
-               CAST(sum(duration_seconds) AS BIGINT) AS seconds, round(sum(round(score, 4)), 3) AS score
+               CAST(sum(duration_seconds) AS BIGINT) AS seconds, CAST(sum(CAST(round(round(score, 4) * 10000) AS BIGINT)) AS BIGINT) AS score_units
         FROM lab GROUP BY ALL""",
 )
 def fea_record(spark, sf):
@@ -199,7 +199,7 @@ def fea_record(spark, sf):
         F.sum("metadata.word_count").alias("words"),
         F.sum("metadata.participant_count").alias("people"),
         F.sum("metadata.duration_seconds").alias("seconds"),
-        F.round(F.sum("score"), 3).alias("score"),
+        F.sum(F.round(F.col("score") * 10000).cast("bigint")).alias("score_units"),
     )
 
 
