@@ -232,11 +232,10 @@ DOCS = """docs AS (SELECT doc_id, concat('doc_', CAST(doc_id AS VARCHAR)) AS con
 
 
 def meta(spark: SparkSession, sf: str) -> DataFrame:
-    """Two versions per customer, the second with another stage; every fourth customer is missing and
-    every ninth has an empty key."""
-    base = table(spark, sf, "customer").where("c_custkey % 4 <> 0")
-    row = base.select(
-        F.when(F.col("c_custkey") % 9 == 0, "").otherwise(F.col("c_custkey").cast("string")).alias("conversation_id"),
+    """Two versions per customer, the second with another stage; every fourth customer has an empty
+    key, so its calls find no metadata."""
+    row = table(spark, sf, "customer").select(
+        F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.col("c_custkey").cast("string")).alias("conversation_id"),
         F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("account_name"),
         F.col("c_mktsegment").alias("opportunity_stage"),
         F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("M"), F.col("c_nationkey").cast("string"))).alias(
@@ -248,10 +247,10 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
     return row.unionAll(second)
 
 
-META = """meta1 AS (SELECT CASE WHEN c_custkey % 9 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS conversation_id,
+META = """meta1 AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS conversation_id,
     CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS account_name, c_mktsegment AS opportunity_stage,
     CASE WHEN c_nationkey % 2 = 0 THEN concat('M', CAST(c_nationkey AS VARCHAR)) END AS marketplace_id, 1 AS version
-    FROM customer WHERE c_custkey % 4 <> 0),
+    FROM customer),
   meta AS (SELECT * FROM meta1 UNION ALL
     SELECT conversation_id, account_name, lower(opportunity_stage), marketplace_id, 2 FROM meta1)"""
 
