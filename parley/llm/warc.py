@@ -90,7 +90,9 @@ def records(src: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
             if end >= 0 and len(data) > end + 8 + length:
                 raise ValueError("a block is longer than its content length")
             if not rest and not member.eof and not (rest := src.read(READ_BYTES)):
-                raise ValueError("the archive ends within a record")
+                data += member.flush()
+                if not member.eof:
+                    raise ValueError("the archive ends within a record")
         rest = member.unused_data
         if end < 0 or len(data) != end + 8 + length or data[-4:] != b"\r\n\r\n":
             raise ValueError("a record's length is not its content length")
@@ -167,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
             for row in batch.to_pylist():
                 if out is None:
                     path, count, size = f"{base}/pages-{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(path)
+                    out = store.open_output_stream(path, compression=None)
                 digest = base64.b32encode(bytes.fromhex(row["digest"])).decode()
                 revisit = row["first"] is not None and row["page_id"] != row["first"]
                 data = record(row["page_id"], row["url"], row["payload"], digest, row["first"], revisit)
@@ -199,7 +201,7 @@ def read_archives(files: DataFrame, folder: str, payloads: bool = True) -> DataF
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 rows, size = [], 0
-                # a ".gz" name would make the stream decompress on its own
+                # or the name's ending would make the stream decompress on its own
                 with store.open_input_stream(path, compression=None) as src:
                     for headers, block in records(src):
                         kind = headers["warc-type"]
