@@ -80,7 +80,13 @@ class Words:
         total = np.empty(len(low) + 1, np.uint64)
         total[0] = 0
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
-        self.hash = mixed((total[self.end] - total[self.start]) * down[self.start])
+        self._total, self._down = total, down
+        self.hash = self.prefix(len(low))
+
+    def prefix(self, size: int) -> np.ndarray:
+        """Hash of the first ``size`` bytes of each word."""
+        end = np.minimum(self.end, self.start + size)
+        return mixed((self._total[end] - self._total[self.start]) * self._down[self.start])
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Text number and hash of each distinct run of ``k`` words, in text order; a shorter text is one run."""

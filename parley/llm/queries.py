@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, language, mixing, sharding, tokens, warc
+from parley.llm import decontaminate, language, mixing, neighbours, sharding, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -29,6 +29,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~language.held_out(F.col("doc_id"), 3, 1)))
+    kept = F.coalesce(language.held_out(F.col("doc_id"), 3, 1), F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", kept.alias("held_out"), "score", "predicted")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(read(spark, sf_dir, "documents"))
 
@@ -46,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
     "op4_warc": op4_warc,
+    "op6_neighbours": op6_neighbours,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
