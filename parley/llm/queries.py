@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, language, mixing, neighbours, sharding, tokens, toxicity, warc
+from parley.llm import decontaminate, jaccard, language, mixing, neighbours, sharding, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -24,6 +24,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", F.col("passes.position").alias("positions"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(read(spark, sf_dir, "documents"), words=3, percent=90).drop("row")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archived(read(spark, sf_dir, "pages"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -57,6 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
+    "op3_jaccard": op3_jaccard,
     "op4_warc": op4_warc,
     "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
