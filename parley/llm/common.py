@@ -90,19 +90,23 @@ class Words:
 
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Text number and hash of each distinct run of ``k`` words, in text order; a shorter text is one run."""
-        n, counts = len(self.hash), np.diff(self.first)
+        return self.runs(k, self.doc, self.first)
+
+    def runs(self, k: int, part: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts: ``part`` of each word, and the first word of each part."""
+        n, counts = len(self.hash), np.diff(first)
         h = np.zeros(max(n - k + 1, 0), np.uint64)
         for j in range(k):
             h = mixed(h * np.uint64(3) + self.hash[j : j + len(h)])
-        whole = np.flatnonzero(self.doc[k - 1 :] == self.doc[: len(h)]) if n >= k else np.zeros(0, int)
+        whole = np.flatnonzero(part[k - 1 :] == part[: len(h)]) if n >= k else np.zeros(0, int)
         short = np.flatnonzero((counts > 0) & (counts < k))
         extra = np.empty(len(short), np.uint64)
         for i, d in enumerate(short):
             x = np.uint64(counts[d]) + np.zeros(1, np.uint64)
-            for w in self.hash[self.first[d] : self.first[d + 1]]:
+            for w in self.hash[first[d] : first[d + 1]]:
                 x = mixed(x * np.uint64(5) + w)
             extra[i] = x[0]
-        doc, h = np.concatenate((self.doc[whole], short)), np.concatenate((h[whole], extra))
+        doc, h = np.concatenate((part[whole], short)), np.concatenate((h[whole], extra))
         order = np.lexsort((h, doc))
         doc, h = doc[order], h[order]
         keep = np.ones(len(h), bool)

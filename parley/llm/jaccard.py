@@ -11,7 +11,7 @@ segments get which allowance is chosen for each band by cost: rows to index agai
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +108,7 @@ class Bands:
 SETS = "doc_id long, row long, n long, id long"
 
 
-def _identity(doc: np.ndarray, shingle: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def identity(doc: np.ndarray, shingle: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Size of each set and a 64-bit name that equal sets share."""
     ends = np.searchsorted(doc, np.arange(n + 1))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(shingle ^ np.uint64(0xD1342543DE82EF95)))))
@@ -121,7 +121,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                n, name = _identity(*Words(texts).shingles(words), len(texts))
+                n, name = identity(*Words(texts).shingles(words), len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("row"), pa.array(n.astype(np.int64)), pa.array(name, mask=n == 0)], ["doc_id", "row", "n", "id"]
                 )
@@ -129,16 +129,16 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, SETS)
 
 
-def _bit(known: np.ndarray, value: np.ndarray) -> np.ndarray:
+def bit(known: np.ndarray, value: np.ndarray) -> np.ndarray:
     place = value & ((1 << MAP_BITS) - 1)
     return (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _map_of(rows: DataFrame, column: str) -> bytes:
+def map_of(rows: DataFrame, column: str) -> bytes:
     """A bit for each value, by its low bits; 2 ** MAP_BITS bits whatever the number of rows."""
     low = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    word, bit = F.shiftright(low, 6).cast("int"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")
-    bits = rows.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    word, one = F.shiftright(low, 6).cast("int"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")
+    bits = rows.select(word.alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     out = np.zeros(1 << (MAP_BITS - 6), np.int64)
     out[bits["word"].to_numpy(int)] = bits["bits"].to_numpy(np.int64)
     return out.tobytes()
@@ -154,10 +154,10 @@ def signed(docs: DataFrame, words: int, bands: Bands, present: bytes | None = No
         for batch in batches:
             for _, texts in pieces(batch, "text"):
                 doc, shingle = Words(texts).shingles(words)
-                _, name = _identity(doc, shingle, len(texts))
+                _, name = identity(doc, shingle, len(texts))
                 doc, sig = bands.signatures(doc, shingle, len(texts))
                 if known is not None:
-                    keep = _bit(known, sig)
+                    keep = bit(known, sig)
                     doc, sig = doc[keep], sig[keep]
                 for at in range(0, len(sig), 500_000):
                     yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 500_000]), pa.array(name[doc[at : at + 500_000]])], ["sig", "id"])
@@ -169,12 +169,12 @@ def _with_texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame
     """The pairs with a text of either class; texts that no pair needs are not shuffled."""
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     rows = written(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row")), "needed")
-    shared = docs.sparkSession.sparkContext.broadcast(_map_of(rows, "row"))
+    shared = docs.sparkSession.sparkContext.broadcast(map_of(rows, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            yield batch.filter(pa.array(_bit(known, batch.column("row").to_numpy())))
+            yield batch.filter(pa.array(bit(known, batch.column("row").to_numpy())))
 
     found = docs.select("row", "text")
     found = found.mapInArrow(run, found.schema).join(rows, "row").groupBy("id").agg(F.any_value("text").alias("text"))
@@ -195,7 +195,12 @@ VERIFIED = "a long, b long, common long, total long"
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
-    """``a, b, common, total``: exact sizes of intersection and union, from the whole texts."""
+    """``a, b, common, total`` of pairs of classes."""
+    return compared(_with_texts(pairs, docs, sets), words)
+
+
+def compared(rows: DataFrame, words: int) -> DataFrame:
+    """``a, b, common, total``: exact sizes of intersection and union, from the whole texts ``text_a`` and ``text_b``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
@@ -211,7 +216,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) ->
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "common", "total"])
 
-    return written(_with_texts(pairs, docs, sets).mapInArrow(run, VERIFIED), "verified")
+    return written(rows.mapInArrow(run, VERIFIED), "verified")
 
 
 def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame | None:
@@ -222,7 +227,7 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     bands = Bands(percent, {r[0]: r[1] for r in count.groupBy(band.alias("band")).agg(F.sum("c")).collect()})
     found = signed(docs, words, bands).groupBy("sig").agg(F.min("id").alias("hub"), F.max("id").alias("other"))
     shared = written(found.filter("hub <> other").select("sig", "hub"), "shared")
-    members = signed(docs, words, bands, _map_of(shared, "sig")).distinct()
+    members = signed(docs, words, bands, map_of(shared, "sig")).distinct()
     members = written(members.join(shared, "sig").filter("id <> hub").select("sig", "id", "hub"), "members")
     pairs = written(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     if pairs.isEmpty():
@@ -230,10 +235,10 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     known = verified(pairs, docs, sets, words)
     similar = F.col("common") * 100 >= F.col("total") * percent
     reached = written(components(known.filter(similar)), "reached")
-    return _rest(members, known, reached, docs, sets, words, percent)
+    return rest(members, known, reached, lambda pairs: verified(pairs, docs, sets, words), percent)
 
 
-def _rest(members: DataFrame, known: DataFrame, reached: DataFrame, docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+def rest(members: DataFrame, known: DataFrame, reached: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Joins components that meet in a signature though not by way of its hub.
 
     The hub has been compared with all members of a signature. Where the others are still in several
@@ -260,7 +265,7 @@ def _rest(members: DataFrame, known: DataFrame, reached: DataFrame, docs: DataFr
         pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
         pairs = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            known = known.unionAll(verified(pairs, docs, sets, words))
+            known = known.unionAll(verify(pairs))
             reached = written(components(known.filter(similar)), "reached")
         done = hubs.select("sig", F.col("hub").alias("id"))
         left = left.select("sig", "id", "far").join(done, ["sig", "id"], "left_anti")
@@ -278,7 +283,7 @@ def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     Equal sets are one class, so copies never meet as pairs. Classes are told apart by 64-bit hashes
     of their shingles' hashes. Of the classes that share a signature, the one with the smallest name is
     compared with the others, on their texts; classes that are then still in different components are
-    compared further, as ``_rest`` says. No group is gathered in one task, and no partner is left out.
+    compared further, as ``rest`` says. No group is gathered in one task, and no partner is left out.
     """
     docs = named(docs).select("doc_id", "row", "text")
     sets = written(shingle_sets(docs, words), "sets")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, jaccard, language, mixing, neighbours, sharding, tokens, toxicity, warc
+from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -33,6 +33,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = passages.repeats(read(spark, sf_dir, "documents")).withColumn("n", F.col("last") - F.col("first"))
+    return spans.groupBy("doc_id", "row").agg(
+        F.count("*").alias("n_spans"),
+        F.sum("n").alias("repeated_words"),
+        F.sum(F.when(F.col("removed"), F.col("n")).otherwise(0)).alias("removed_words"),
+        F.array_sort(F.collect_list(F.struct("first", "last", "removed"))).alias("spans"),
+    ).drop("row")
+
+
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
@@ -58,15 +68,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
     "op3_jaccard": op3_jaccard,
     "op4_warc": op4_warc,
+    "op5_passages": op5_passages,
     "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {}
