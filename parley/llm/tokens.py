@@ -39,7 +39,7 @@ BLOCK = 1024
 PERCENTILE = 0.95
 END_ID = 2
 #: Distinct pieces of text whose ids a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 800_000, 64
+REMEMBERED, LONGEST = 1_400_000, 64
 #: White space of the tokenizer's splitting rule.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SOURCE = "byte_bpe_50k.json"
@@ -192,10 +192,11 @@ class Writer:
         self.rest, self.waiting, self.ids = [], 0, 0
         out.write(MAGIC)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
-        self.rest.append(ids)
-        self.waiting += len(ids)
+    def add(self, doc_id: int | None, *ids: np.ndarray) -> None:
+        n = sum(map(len, ids))
+        self.docs.append((doc_id, n))
+        self.rest += ids
+        self.waiting += n
         if self.waiting >= 256 * BLOCK:
             self._blocks(self.waiting - self.waiting % BLOCK)
 
@@ -261,7 +262,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     path = tokenizer or default_tokenizer()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, store = None, None
+        writer, store, encoder, end = None, None, _encoder(path), np.array([end_id], np.uint32)
         part = TaskContext.get().partitionId()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -270,7 +271,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                     store.create_dir(base)
                     name = f"{base}/part-{part:05d}-{uuid.uuid4().hex[:12]}.pfor"
                     writer = Writer(name, store.open_output_stream(name))
-                writer.add(doc_id, np.append(_encoder(path).encode(text or ""), np.uint32(end_id)))
+                writer.add(doc_id, encoder.encode(text or ""), end)
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pylist(
@@ -309,7 +310,8 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
-    dealt = files.repartition(F.col("path")).select("path", "before")
+    # a number of tasks that is given is kept, where small rows would be gathered into one
+    dealt = files.repartition(max(files.count(), 1), "path").select("path", "before")
     return dealt.mapInArrow(scan, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
