@@ -24,7 +24,7 @@ from parley.llm.components import components
 #: Bits of the map that spares rows of which no other set has the signature; it is an aid only.
 MAP_BITS = 26
 #: Members of a signature's group that are compared with all others of it in one round.
-HUBS = 16
+HUBS = 256
 
 
 class Bands:
