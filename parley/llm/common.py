@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parley.settings import work_folder
 
 #: Bytes of text that a task turns into arrays at a time; one longer text is a piece of its own.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 #: White space of the word pattern [^\x20\x09-\x0D]+.
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
