@@ -224,7 +224,7 @@ def read_archives(files: DataFrame, folder: str, payloads: bool = True) -> DataF
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return files.repartition(F.col("path")).select("path").mapInArrow(scan, RECORD)
+    return files.repartition(max(files.count(), 1), "path").select("path").mapInArrow(scan, RECORD)
 
 
 def archived(pages: DataFrame, least_bytes: int = 0, payloads: bool = False) -> DataFrame:
