@@ -134,7 +134,7 @@ def _spans(part: pa.RecordBatch, words: Words, phrases: Phrases) -> tuple[pa.Arr
     order = np.argsort(doc, kind="stable")
     hit, word, length, doc = hit[order], word[order], length[order], doc[order]
     where, first = np.unique(doc, return_index=True)
-    for d, a, b in zip(where.tolist(), first.tolist(), [*first[1:].tolist(), len(doc)], strict=True):
+    for d, a, b in zip(where.tolist(), first.tolist(), np.append(first, len(doc))[1:].tolist(), strict=True):
         base = words.first[d]
         begin = np.concatenate((word[a:b], np.array([s["first_word"] + base for s in out[d]], int)))
         end = np.concatenate((word[a:b] + length[a:b], np.array([s["end_word"] + base for s in out[d]], int)))
