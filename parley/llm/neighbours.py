@@ -26,9 +26,9 @@ BLOCK = 4096
 #: A vector is also kept in lists whose centroid is at most this much farther than its nearest, in so many lists at most.
 REPLICATE, REPLICAS = 1.12, 4
 #: A query reads the lists whose centroid is at most this much farther than its nearest one.
-PRUNE = 1.45
+PRUNE = 1.35
 #: Neighbours of a centroid in the graph, and centroids that a search keeps.
-DEGREE, BEAM = 24, 96
+DEGREE, BEAM = 24, 56
 
 
 @dataclass
