@@ -185,10 +185,12 @@ def _compare(k: int):
         for at in range(0, len(asks), 512):
             score = targets[at : at + 512] @ points.T
             score[asks[at : at + 512, None] == ids] = -np.inf
-            best = np.argsort(-score, axis=1, kind="stable")[:, : k + REPLICAS]
-            value = np.take_along_axis(score, best, axis=1)
-            row, place = np.nonzero(value > -np.inf)
-            parts.append((asks[at : at + 512][row], ids[best[row, place]], value[row, place]))
+            # the last bits of a matrix product depend on its shape: equal vectors have to tie
+            best = np.argsort(-np.round(score, 12), axis=1, kind="stable")[:, : k + REPLICAS]
+            row, place = np.nonzero(np.take_along_axis(score, best, axis=1) > -np.inf)
+            chosen = best[row, place]
+            exact = np.einsum("ij,ij->i", targets[at : at + 512][row], points[chosen])
+            parts.append((asks[at : at + 512][row], ids[chosen], exact))
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
         return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
 
