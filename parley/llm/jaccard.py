@@ -10,6 +10,7 @@ segments get which allowance is chosen for each band by cost: rows to index agai
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -23,8 +24,9 @@ from parley.llm.components import components
 
 #: Bits of the map that spares rows of which no other set has the signature; it is an aid only.
 MAP_BITS = 26
-#: Members of a signature's group that are compared with all others of it in one round.
-HUBS = 256
+#: Members of a signature's group that are compared with the others in the first rounds, and in later ones: few at
+#: first, as most of a large group of near copies joins by way of any of them.
+HUBS = (4, 16, 64, 256)
 
 
 class Bands:
@@ -250,7 +252,7 @@ def rest(members: DataFrame, known: DataFrame, reached: DataFrame, verify: Calla
     distance = known.select(F.col("a").alias("hub"), F.col("b").alias("id"), far.alias("far"))
     left, similar = members.join(distance, ["hub", "id"]).select("sig", "id", "far"), F.col("common") * 100 >= F.col("total") * percent
     most = 1 - percent / 100 + 1e-9
-    while True:
+    for turn in itertools.count():
         now = left.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
         split = now.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
         left = written(now.join(split, "sig", "left_semi"), "left")
@@ -259,7 +261,7 @@ def rest(members: DataFrame, known: DataFrame, reached: DataFrame, verify: Calla
         size = left.groupBy("sig", "component").agg(F.count("*").alias("n"))
         main = size.groupBy("sig").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
         place = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
-        hubs = left.join(main, "sig").filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS)
+        hubs = left.join(main, "sig").filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS[min(turn, len(HUBS) - 1)])
         hubs = written(hubs.select("sig", F.col("id").alias("hub"), F.col("far").alias("hub_far"), F.col("component").alias("hub_component")), "hubs")
         pairs = left.join(hubs, "sig").filter("component <> hub_component").filter(F.abs(F.col("far") - F.col("hub_far")) <= most)
         pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
