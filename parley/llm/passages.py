@@ -23,7 +23,7 @@ WORDS, PERCENT = 5, 80
 #: Bands of so many hashes each: a pair at 0.8 collides with probability 1 - (1 - 0.8**2)**5 = 0.994.
 BANDS, ROWS = 5, 2
 #: Words of the shortest paragraph that is compared and of the shortest span that is a repeat.
-LEAST_PARAGRAPH, LEAST_SPAN = 8, 30
+LEAST_PARAGRAPH, LEAST_SPAN = 5, 30
 _SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
