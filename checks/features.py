@@ -11,7 +11,6 @@ from parley.functions import text as X
 from parley.functions import vocabulary as V
 from parley.functions.rules import derived_fields, rule_insight
 from parley.plans.features import feature_record
-from parley.sources.calls import spread_input
 
 
 def _in(words) -> str:
@@ -213,7 +212,7 @@ def _replace_chain(column: str) -> str:
 
 @check("fea_html_decode", f"SELECT page_id, md5({_replace_chain('html')}) AS decoded FROM pages")
 def fea_html_decode(spark, sf):
-    return spread_input(table(spark, sf, "pages")).select("page_id", F.md5(X.decode_entities(F.col("html"))).alias("decoded"))
+    return table(spark, sf, "pages").select("page_id", F.md5(X.decode_entities(F.col("html"))).alias("decoded"))
 
 
 @check(
@@ -272,7 +271,7 @@ def topic_sql(column: str) -> str:
     """SQL twin of topic consolidation for lower-case topics."""
     groups = " ".join(f"WHEN {_any(column, terms)} THEN '{name}'" for name, terms in V.TOPIC_GROUPS.items())
     title = f"array_to_string(list_transform(string_split(regexp_replace({column}, '[_-]', ' ', 'g'), ' '), lambda w: concat(upper(substr(w, 1, 1)), substr(w, 2))), ' ')"
-    return f"CASE {groups} ELSE substr({title}, 1, 40) END"
+    return f"CASE {groups} ELSE {title} END"
 
 
 @check(
@@ -302,12 +301,12 @@ _SHORT_HEAD = P.SHORT_HEADER.format(keys=", ".join(P.INSIGHT_FIELDS)).replace("'
 _FULL_HEAD = (P.FULL_HEADER.format(n=10) + P.category_block() + "\n\nConversation:\n").replace("'", "''")
 
 
-@check("fea_prompt", f"SELECT doc_id, md5(concat('{_SHORT_HEAD}', substr(text, 1, 4000))) AS prompt FROM documents")
+@check("fea_prompt", f"SELECT doc_id, md5(concat('{_SHORT_HEAD}', coalesce(text, ''))) AS prompt FROM documents")
 def fea_prompt(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(P.short_prompt(F.col("transcript"))).alias("prompt"))
 
 
-@check("fea_full_prompt", f"SELECT doc_id, md5(concat('{_FULL_HEAD}', substr(text, 1, 4000))) AS prompt FROM documents")
+@check("fea_full_prompt", f"SELECT doc_id, md5(concat('{_FULL_HEAD}', coalesce(text, ''))) AS prompt FROM documents")
 def fea_full_prompt(spark, sf):
     return docs(spark, sf).select("doc_id", F.md5(P.full_prompt(F.col("transcript"))).alias("prompt"))
 
@@ -376,7 +375,7 @@ def fea_derived_fields(spark, sf):
 
 @check(
     "fea_token_estimate",
-    f"SELECT doc_id, CAST(least(len({_tokens('text')}), 150) AS INT) AS tokens FROM documents",
+    f"SELECT doc_id, CAST(len({_tokens('text')}) AS INT) AS tokens FROM documents",
 )
 def fea_token_estimate(spark, sf):
     return docs(spark, sf).select("doc_id", X.token_estimate(F.col("transcript")).alias("tokens"))

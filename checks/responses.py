@@ -11,7 +11,6 @@ from parley.functions import responses as R
 from parley.functions import vocabulary as V
 from parley.functions.rules import derived_fields
 from parley.plans import scoring as S
-from parley.sources.calls import spread_input
 
 FENCE = "```"
 NESTED = (
@@ -53,7 +52,7 @@ def _case_sql(position: int) -> str:
 
 def _answers(spark, sf):
     raws = F.array(*[F.lit(v[0]) for v in CASES.values()])
-    return spread_input(table(spark, sf, "orders").select("o_orderkey")).select(
+    return table(spark, sf, "orders").select("o_orderkey").select(
         "o_orderkey", F.element_at(raws, (F.col("o_orderkey") % N + 1).cast("int")).alias("raw")
     )
 

@@ -22,7 +22,7 @@ def _features(spark, sf):
 
 
 _ENTITY = f"""{CALLS}, {_scored('calls', V.POSITIVE_WORDS, V.NEGATIVE_WORDS)},
-  ent AS (SELECT *, CASE WHEN o_custkey % 10 = 0 THEN substr(conversation_id, 1, 10) ELSE advertiser_id END AS entity_id,
+  ent AS (SELECT *, CASE WHEN o_custkey % 10 = 0 THEN conversation_id ELSE advertiser_id END AS entity_id,
           round(score, 4) AS s FROM lab)"""
 
 _MEASURES = """m AS (SELECT entity_id, count(*) AS call_count, avg(s) AS mean, CAST(sum(CAST(round(s * 10000) AS BIGINT)) AS BIGINT) AS k,

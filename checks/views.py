@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.sources.calls import spread_input
 
 KEYWORDS = {"R": "below_target_roas", "A": "high_cpc"}
 KEYWORD_ELSE = "budget_exhaustion"
@@ -190,7 +189,7 @@ LG = """lg AS (SELECT event_id, ts, concat('Team_', chr(CAST(65 + user_id % 18 A
 def calls(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     parts = [_pick(key % mod, words) for mod, words in PHRASES]
-    return spread_input(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")).select(
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice").select(
         "o_orderkey",
         "o_custkey",
         _conv("o_orderkey").alias("conversation_id"),
@@ -218,7 +217,7 @@ CALLS = """calls AS (SELECT o_orderkey, o_custkey,
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_input(table(spark, sf, "documents")).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id"),
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("conversation_id"),
         F.col("n_chars").cast("int").alias("duration_seconds"),

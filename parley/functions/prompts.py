@@ -46,14 +46,20 @@ def category_block() -> str:
     )
 
 
-def short_prompt(text: Column, template: str | None = None, max_chars: int = V.PROMPT_CHARS) -> Column:
+def _shown(text: Column, max_chars: int | None) -> Column:
+    """The whole text, unless a length is asked for."""
+    whole = F.coalesce(text, F.lit(""))
+    return whole if max_chars is None else F.substring(whole, 1, max_chars)
+
+
+def short_prompt(text: Column, template: str | None = None, max_chars: int | None = None) -> Column:
     head = template or SHORT_HEADER.format(keys=", ".join(INSIGHT_FIELDS))
-    return F.concat(F.lit(head), F.substring(F.coalesce(text, F.lit("")), 1, max_chars))
+    return F.concat(F.lit(head), _shown(text, max_chars))
 
 
-def full_prompt(text: Column, max_chars: int = V.PROMPT_CHARS) -> Column:
+def full_prompt(text: Column, max_chars: int | None = None) -> Column:
     head = FULL_HEADER.format(n=len(INSIGHT_FIELDS)) + category_block() + "\n\nConversation:\n"
-    return F.concat(F.lit(head), F.substring(F.coalesce(text, F.lit("")), 1, max_chars))
+    return F.concat(F.lit(head), _shown(text, max_chars))
 
 
 def retry_prompt(prompt: Column, previous: Column, reason: Column) -> Column:

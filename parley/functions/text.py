@@ -103,14 +103,16 @@ def normalize_sentiment(raw: Column, strict: bool = False) -> Column:
 def consolidate_topic(
     topic: Column,
     groups: Mapping[str, Sequence[str]] = V.TOPIC_GROUPS,
-    max_chars: int = V.TOPIC_MAX_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
     """Name of the first topic group with a hit, else a title-cased form of the topic itself.
 
     ``initcap`` differs from other title-casing rules after digits and apostrophes.
     """
     text = F.lower(F.trim(topic))
-    expr = F.substring(F.initcap(F.regexp_replace(F.trim(topic), "[_-]", " ")), 1, max_chars)
+    expr = F.initcap(F.regexp_replace(F.trim(topic), "[_-]", " "))
+    if max_chars is not None:
+        expr = F.substring(expr, 1, max_chars)
     for name, terms in reversed(list(groups.items())):
         expr = F.when(mentions(text, terms), name).otherwise(expr)
     return expr
@@ -186,5 +188,5 @@ def segments(text: Column, speakers: Sequence[str] = ("rep", "customer")) -> Col
     )
 
 
-def token_estimate(text: Column, max_tokens: int = V.MAX_OUTPUT_TOKENS) -> Column:
-    return F.least(word_count(text), F.lit(max_tokens))
+def token_estimate(text: Column, max_tokens: int | None = None) -> Column:
+    return word_count(text) if max_tokens is None else F.least(word_count(text), F.lit(max_tokens))

@@ -42,7 +42,6 @@ TOPIC_GROUPS = {
     "Reporting": ["reporting", "analytics", "reporting_analytics"],
     "Action Items": ["action", "recommendation", "optimization_rec"],
 }
-TOPIC_MAX_CHARS = 40
 BLANK_TOPICS = ["", "Unknown", "null"]
 
 SENTIMENT_LABELS = ["positive", "neutral", "negative"]
@@ -68,7 +67,6 @@ SUGGEST_NONE = "Campaign performing within normal parameters — continue monito
 TREND_MIN_CALLS = 3
 
 LABEL_CUT = 0.1
-PROMPT_CHARS = 4000
 MAX_OUTPUT_TOKENS = 150
 MAX_ATTEMPTS = 4
 INVALID_REASON = "response did not conform to required JSON schema"

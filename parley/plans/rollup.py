@@ -26,10 +26,10 @@ def _optional(df: DataFrame, path: str, empty: Column) -> Column:
 
 
 def entity_key(df: DataFrame) -> Column:
-    """``entity_id``, else ``advertiser_id``, else the start of the conversation id, else unknown."""
+    """``entity_id``, else ``advertiser_id``, else the conversation id, else unknown."""
     options = [F.nullif(F.col(c), F.lit("")) for c in ("entity_id", "advertiser_id") if c in df.columns]
     if _path(df, "metadata.conversation_id"):
-        options.append(F.substring("metadata.conversation_id", 1, 10))
+        options.append(F.nullif(F.col("metadata.conversation_id"), F.lit("")))
     return F.coalesce(*options, F.lit("unknown"))
 
 

@@ -9,26 +9,24 @@ from pyspark.sql import types as T
 from parley.schemas import CALL_TYPE, METADATA_TYPE
 
 
-def read_call_exports(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType = CALL_TYPE,
-    min_file_bytes: int = 1000,
-    max_records: int | None = None,
-) -> DataFrame:
-    """Gzipped JSON lines. Blank and broken lines, other files and near-empty files are skipped.
-
-    ``max_records`` is a sampling feature for previews; the default reads everything.
-    """
-    df = (
-        spark.read.schema(schema)
-        .option("mode", "DROPMALFORMED")
-        .option("pathGlobFilter", "*.gz")
-        .option("recursiveFileLookup", "true")
-        .json(path)
-        .where(F.col("_metadata.file_size") >= min_file_bytes)
-    )
-    return df if max_records is None else df.limit(max_records)
+def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Lines of gzipped exports with their file; each is parsed whole, whatever columns are asked for later."""
+    lines = spark.read.option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    whole = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    return lines.withColumn("call", F.from_json("value", whole, options))
+
+
+def read_call_exports(spark: SparkSession, path: str, schema: T.StructType = CALL_TYPE) -> DataFrame:
+    """Calls of gzipped JSON lines, of files of any size. Blank lines are skipped; ``bad_lines`` has the broken ones."""
+    calls = _parsed(spark, path, schema).where("call._broken IS NULL")
+    return calls.select(*[F.col(f"call.`{f.name}`") for f in schema.fields])
+
+
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType = CALL_TYPE) -> DataFrame:
+    """``file, line`` of what ``read_call_exports`` can't read: not JSON, or a field of another type."""
+    return _parsed(spark, path, schema).where("call._broken IS NOT NULL").select("file", F.col("value").alias("line"))
 
 
 def read_metadata(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -40,14 +38,3 @@ def typed_calls(df: DataFrame, date_column: str = "call_date") -> DataFrame:
     if date_column not in df.columns:
         return df
     return df.withColumn(date_column, F.try_to_date(F.col(date_column)))
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores.
-
-    A gzip file or a Parquet row group is one task, however large it is. Before costly per-row work
-    such an input is dealt out evenly; an input with enough splits is left as it is. For frames that
-    only scan and project.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

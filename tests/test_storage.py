@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 
 from parley.settings import PROFILES, work_folder
 from parley.sources import tables
-from parley.sources.calls import read_call_exports
+from parley.sources.calls import bad_lines, read_call_exports
 from parley.sources.landing import marketplace_of
 from parley.streaming import ingest, monitors
 
 
-def test_small_and_foreign_files_are_skipped(spark, tmp_path):
-    line = '{"conversation_id": "c%d", "transcript": "%s"}\n'
-    body = "".join(line % (i, uuid.uuid4().hex) for i in range(60))
-    (tmp_path / "big.gz").write_bytes(gzip.compress((body + "\n\nnot json\n").encode()))
-    (tmp_path / "small.gz").write_bytes(gzip.compress((line % (99, "x")).encode()))
+def test_files_of_any_size_are_read_and_broken_lines_kept_apart(spark, tmp_path):
+    line = '{"conversation_id": "c%d", "duration_seconds": %s, "transcript": "%s"}\n'
+    body = "".join(line % (i, "5", uuid.uuid4().hex) for i in range(60))
+    (tmp_path / "big.gz").write_bytes(gzip.compress((body + "\n\nnot json\n" + line % (70, '"long"', "x")).encode()))
+    (tmp_path / "small.gz").write_bytes(gzip.compress((line % (99, "5", "x")).encode()))
     (tmp_path / "other.json").write_text(body)
-    assert (tmp_path / "big.gz").stat().st_size >= 1000
-    assert read_call_exports(spark, str(tmp_path)).count() == 60
-    assert read_call_exports(spark, str(tmp_path), min_file_bytes=1).count() == 61
-    assert read_call_exports(spark, str(tmp_path), max_records=7).count() == 7
+    calls = read_call_exports(spark, str(tmp_path))
+    assert calls.count() == 61
+    assert len(calls.select("conversation_id").collect()) == len(calls.select("duration_seconds", "transcript").collect()) == 61
+    bad = bad_lines(spark, str(tmp_path)).collect()
+    assert len(bad) == 2 and all(r.file.endswith("big.gz") for r in bad)
 
 
 def test_marketplace_rule(spark):
