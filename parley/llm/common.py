@@ -106,12 +106,20 @@ class Words:
             for w in self.hash[first[d] : first[d + 1]]:
                 x = mixed(x * np.uint64(5) + w)
             extra[i] = x[0]
-        doc, h = np.concatenate((part[whole], short)), np.concatenate((h[whole], extra))
-        order = np.lexsort((h, doc))
-        doc, h = doc[order], h[order]
+        doc, h = part[whole], h[whole]
+        ends = np.flatnonzero(np.diff(doc, append=-1)) + 1
+        begin = 0
+        for end in ends.tolist():  # sorting each part's values in place is much faster than sorting by part and value
+            h[begin:end].sort()
+            begin = end
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-        return doc[keep], h[keep]
+        doc, h = doc[keep], h[keep]
+        if len(short):
+            doc, h = np.concatenate((doc, short)), np.concatenate((h, extra))
+            order = np.argsort(doc, kind="stable")
+            doc, h = doc[order], h[order]
+        return doc, h
 
 
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -167,8 +167,8 @@ def signed(docs: DataFrame, words: int, bands: Bands, present: bytes | None = No
     return docs.select("text").mapInArrow(run, "sig long, id long")
 
 
-def _with_texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with a text of either class; texts that no pair needs are not shuffled."""
+def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, text``, written: a text of each class in the pairs; texts that no pair needs are not shuffled."""
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     rows = written(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row")), "needed")
     shared = docs.sparkSession.sparkContext.broadcast(map_of(rows, "row"))
@@ -180,10 +180,7 @@ def _with_texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame
 
     found = docs.select("row", "text")
     found = found.mapInArrow(run, found.schema).join(rows, "row").groupBy("id").agg(F.any_value("text").alias("text"))
-    found = written(found, "needed-texts")
-    one = found.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    two = found.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+    return written(found, "needed-texts")
 
 
 def grams(text: bytes, words: int) -> set:
@@ -196,9 +193,11 @@ def grams(text: bytes, words: int) -> set:
 VERIFIED = "a long, b long, common long, total long"
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int) -> DataFrame:
-    """``a, b, common, total`` of pairs of classes."""
-    return compared(_with_texts(pairs, docs, sets), words)
+def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``a, b, common, total`` of pairs of classes; ``texts`` has the text of either."""
+    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    return compared(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b"), words)
 
 
 def compared(rows: DataFrame, words: int) -> DataFrame:
@@ -234,10 +233,12 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     pairs = written(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     if pairs.isEmpty():
         return None
-    known = verified(pairs, docs, sets, words)
+    # each member of a signature is in a pair with its hub, so these are all the texts that later pairs need
+    texts = _texts(pairs, docs, sets)
+    known = verified(pairs, texts, words)
     similar = F.col("common") * 100 >= F.col("total") * percent
     reached = written(components(known.filter(similar)), "reached")
-    return rest(members, known, reached, lambda pairs: verified(pairs, docs, sets, words), percent)
+    return rest(members, known, reached, lambda pairs: verified(pairs, texts, words), percent)
 
 
 def rest(members: DataFrame, known: DataFrame, reached: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
