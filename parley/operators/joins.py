@@ -55,13 +55,16 @@ def lookup_bucket(key: Column, buckets: int = LOOKUP_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets))
 
 
-def lookup_dimension(df: DataFrame, dim: DataFrame, bucket: Column, version: Sequence[str]) -> DataFrame:
+def lookup_dimension(
+    df: DataFrame, dim: DataFrame, bucket: Column, version: Sequence[str], buckets: int = LOOKUP_BUCKETS
+) -> DataFrame:
     """Left lookup of ``vertical`` and ``tier`` by bucket number.
 
-    The dimension is reduced to one row per bucket, so the broadcast side has at most as many rows
-    as there are buckets.
+    The dimension is cut to the numbers below ``buckets`` and reduced to one row for each, so the broadcast
+    side has at most as many rows as there are buckets.
     """
-    small = dim.groupBy("bucket").agg(F.max_by(F.struct("vertical", "tier"), F.struct(*version)).alias("__d"))
+    numbers = dim.where((F.col("bucket") >= 0) & (F.col("bucket") < buckets) & (F.col("bucket") % 1 == 0))
+    small = numbers.groupBy("bucket").agg(F.max_by(F.struct("vertical", "tier"), F.struct(*version)).alias("__d"))
     return (
         df.withColumn("__bucket", bucket)
         .join(F.broadcast(small), F.col("__bucket") == F.col("bucket"), "left")
@@ -71,14 +74,25 @@ def lookup_dimension(df: DataFrame, dim: DataFrame, bucket: Column, version: Seq
     )
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column, salts: int = 16) -> DataFrame:
-    """Inner equi join whose hot keys are spread over ``salts`` tasks.
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, spread: Column, salts: int = 16, hot_share: float = 0.01
+) -> DataFrame:
+    """Inner equi join that spreads the hot keys of the left side over ``salts`` tasks.
 
-    ``spread`` is a column of the left side that varies within a key (an id). The right side is
-    repeated once per salt, so it should be the smaller one.
+    A key is hot if it has at least ``hot_share`` of the left rows, so there are at most ``1 / hot_share`` of them,
+    which are broadcast. Only their rows of the right side are repeated, once per salt. ``spread`` is a column of
+    the left side that varies within a key (an id).
     """
-    lhs = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    rhs = right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    counts = left.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    hot = F.broadcast(counts.where(F.col("__n") >= total * hot_share).select("__key"))
+    is_hot = F.col("__key").isNotNull()
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    lhs = left.join(hot, F.col(key) == F.col("__key"), "left")
+    lhs = lhs.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(zero)).drop("__key")
+    rhs = right.join(hot, F.col(key) == F.col("__key"), "left")
+    rhs = rhs.withColumn("__salt", F.explode(F.when(is_hot, every).otherwise(F.array(zero)))).drop("__key")
     return lhs.join(rhs, [key, "__salt"]).drop("__salt")
 
 

@@ -9,86 +9,52 @@ bucket. Results are exact.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.settings import work_folder
-
-BUCKET_SECONDS = 600
-# A bucket is one task's sort. Above this size the rows are cut by range instead.
-BUCKET_ROWS = 20_000_000
+# A bucket is one task's sort; a span of buckets is one task's offsets.
+BUCKET_SECONDS = 10
+SPAN_BUCKETS = 8640
 
 
 def time_bucket(ts: Column, seconds: int = BUCKET_SECONDS) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds)
 
 
-def _range_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
-    """Even slices along keys and order, numbered in ``__b``.
-
-    Slice bounds come from sampling, so the cut is written once to the shared work folder: every
-    later reader, also one that replaces a lost executor, sees the same slices.
-    """
-    spark = df.sparkSession
-    path = work_folder(spark, "slices")
-    df.repartitionByRange(slices, *keys, *order).withColumn("__b", F.spark_partition_id()).write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _bucketed(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, max_rows: int | None
-) -> DataFrame:
-    """Number the buckets of each key in ``__b``.
-
-    The given bucket is kept as long as no bucket holds more than ``max_rows`` rows. A burst, or
-    timestamps that are cut to days, can put a third of a log into one bucket; then even range slices
-    take its place, which split ties in time by the rest of the order.
-    """
-    work = df.withColumn("__b", bucket)
-    if max_rows is None:
-        return work
-    size = work.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
-    if (size[0] or 0) <= max_rows:
-        return work
-    return _range_slices(df, keys, order, ceil(size[1] / max_rows) + 1)
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the left side's keys stay."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(named, match, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def running_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    bucket: Column,
-    totals: dict[str, Column],
-    max_rows: int | None = BUCKET_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, totals: dict[str, Column]
 ) -> DataFrame:
     """Add running totals over ``keys`` in ``order``, which must be unique within a key.
 
-    ``bucket`` must not decrease along ``order``. Bucket sizes are checked by one aggregate over the
-    key and order columns. The offsets frame has one row per key and bucket, so its window sees the
-    number of buckets of a key and not its rows.
+    ``bucket`` must not decrease along ``order``; rows with a NULL bucket come first. Offsets are summed in two
+    levels, buckets within a span and spans within a key, so that no window sees a key's rows or all its buckets.
     """
-    work = _bucketed(df, keys, order, bucket, max_rows)
-    inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    work = df.withColumn("__b", bucket).withColumn("__span", F.floor(F.col("__b") / SPAN_BUCKETS))
+    inside = Window.partitionBy(*keys, "__span", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = work.withColumns({name: F.sum(col).over(inside) for name, col in totals.items()})
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        work.groupBy(*keys, "__b")
-        .agg(*[F.sum(col).alias(f"__s_{name}") for name, col in totals.items()])
-        .select(
-            *[F.col(k).alias(f"__k_{k}") for k in keys],
-            F.col("__b").alias("__ob"),
-            *[F.coalesce(F.sum(f"__s_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in totals],
-        )
-    )
-    cond = F.col("__b") == F.col("__ob")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    sums = work.groupBy(*keys, "__span", "__b").agg(*[F.sum(col).alias(f"__s_{name}") for name, col in totals.items()])
+    spans = sums.groupBy(*keys, "__span").agg(*[F.sum(f"__s_{name}").alias(f"__s_{name}") for name in totals])
+
+    def before(name: str, within: Sequence[str], by: str) -> Column:
+        w = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(f"__s_{name}").over(w), F.lit(0))
+
+    outer = spans.select(*keys, "__span", *[before(n, keys, "__span").alias(f"__p_{n}") for n in totals])
+    inner = sums.select(*keys, "__span", "__b", *[before(n, [*keys, "__span"], "__b").alias(f"__o_{n}") for n in totals])
+    offsets = null_safe_join(inner, outer, [*keys, "__span"])
     return (
-        local.join(offsets, cond)
-        .withColumns({name: F.col(name) + F.col(f"__o_{name}") for name in totals})
-        .drop("__b", "__ob", *[f"__k_{k}" for k in keys], *[f"__o_{n}" for n in totals])
+        null_safe_join(local, offsets, [*keys, "__span", "__b"])
+        .withColumns({name: F.col(name) + F.col(f"__o_{name}") + F.col(f"__p_{name}") for name in totals})
+        .drop("__b", "__span", *[f"__o_{n}" for n in totals], *[f"__p_{n}" for n in totals])
     )
 
 
@@ -98,10 +64,9 @@ def with_rank(
     order: Sequence[str],
     bucket: Column,
     name: str = "rank",
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Exact 1-based position of each row within its key."""
-    return running_totals(df, keys, order, bucket, {name: F.lit(1).cast("bigint")}, max_rows)
+    return running_totals(df, keys, order, bucket, {name: F.lit(1).cast("bigint")})
 
 
 def last_rows_blocks(df: DataFrame, keys: Sequence[str], rank: str, last: int, block: int | None = None) -> DataFrame:
@@ -136,7 +101,6 @@ def trailing_totals(
     seconds: int,
     totals: dict[str, Column],
     bucket_seconds: int = BUCKET_SECONDS,
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Totals over the rows of the last ``seconds`` up to and with the current one.
 
@@ -160,14 +124,14 @@ def trailing_totals(
         ["__at", "__leaves", tie],
         time_bucket(F.col("__at"), bucket_seconds),
         {n: F.col(f"__v_{n}") for n in totals},
-        max_rows,
     )
     return summed.where("__leaves = 0").drop("__at", "__leaves", *[f"__v_{n}" for n in totals])
 
 
 def _magnitude_bin(value: Column, per_octave: int) -> Column:
-    """Bin that never decreases with the value; its width grows with the magnitude."""
-    return F.floor(F.signum(value) * F.log2(F.abs(value) * 1e6 + 1) * per_octave)
+    """Bin that never decreases with the value; its width grows with the magnitude. NaN is sorted last."""
+    bins = F.floor(F.signum(value) * F.log2(F.abs(value) * 1e6 + 1) * per_octave)
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(bins)
 
 
 def _position_in(counts: DataFrame, keys: Sequence[str], by: str, position: str) -> DataFrame:
@@ -205,8 +169,8 @@ def exact_percentiles(df: DataFrame, value: str, groups: Sequence[str], points:
         .withColumn("point", F.explode(F.array(*[F.lit(float(p)) for p in points])))
         .withColumn("__k", F.floor(F.col("__all") * F.col("point")))
     )
-    in_bin = rows.join(_position_in(hist, keys, "__c", "__k"), [*groups, "__c"]).withColumn("__f", fine)
+    in_bin = null_safe_join(rows, _position_in(hist, keys, "__c", "__k"), [*groups, "__c"]).withColumn("__f", fine)
     fine_hist = in_bin.groupBy(*keys, "__f").agg(F.count(F.lit(1)).alias("__n"), F.min("__rest").alias("__k"))
-    sliver = in_bin.drop("__rest").join(_position_in(fine_hist, keys, "__f", "__k"), [*keys, "__f"])
+    sliver = null_safe_join(in_bin.drop("__rest"), _position_in(fine_hist, keys, "__f", "__k"), [*keys, "__f"])
     values = sliver.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"), F.min("__rest").alias("__k"))
     return _position_in(values, keys, "__v", "__k").select(*keys, F.col("__v").alias("value"))

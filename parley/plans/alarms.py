@@ -10,8 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from parley.functions import vocabulary as V
+from parley.operators.scan import null_safe_join
 
 # Signal -> (metric column, breach test, reason pattern, limit).
 SIGNALS = {
@@ -44,17 +46,23 @@ def fired_with_cooldown(
 ) -> DataFrame:
     """Mark the rows that fire: ``wants`` holds and the last fire is at least ``hours`` ago.
 
-    Whether a row fires depends on the one that fired before it, so the wanting rows of a key are
-    folded in order. They are a part of the daily history of that key, and the fold keeps one
-    timestamp as state.
+    A wanting row after a pause of at least ``hours`` always fires, so the wanting times of a key are cut at such
+    pauses and each piece is folded on its own, with one timestamp as state. Of rows with equal keys and times at
+    most one fires. NULL is a key like any other; a row without a time never fires.
     """
     gap = int(hours * 3600 * 1_000_000)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     marked = df.withColumn("__t", micros).withColumn("__w", F.coalesce(wants, F.lit(False)))
+    same = Window.partitionBy(*keys, "__t", "__w").orderBy(*(plain or ["__t"]))
+    marked = marked.withColumn("__n", F.row_number().over(same))
+    w = Window.partitionBy(*keys).orderBy("__t")
+    new = F.coalesce(F.col("__t") - F.lag("__t").over(w) >= gap, F.lit(True))
+    times = marked.where("__w AND __t IS NOT NULL").select(*keys, "__t").distinct().withColumn("__new", new.cast("int"))
+    times = times.withColumn("__piece", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     empty = F.array().cast("array<bigint>")
     fires = (
-        marked.where("__w")
-        .groupBy(*keys)
+        times.groupBy(*keys, "__piece")
         .agg(F.sort_array(F.collect_list("__t")).alias("__ts"))
         .select(
             *keys,
@@ -72,9 +80,9 @@ def fired_with_cooldown(
         .withColumn("__hit", F.lit(True))
     )
     return (
-        marked.join(fires, [*keys, "__t"], "left")
-        .withColumn("fired", F.coalesce("__hit", F.lit(False)))
-        .drop("__t", "__w", "__hit")
+        null_safe_join(marked, fires, [*keys, "__t"], "left")
+        .withColumn("fired", F.coalesce(F.col("__hit") & F.col("__w") & (F.col("__n") == 1), F.lit(False)))
+        .drop("__t", "__w", "__n", "__hit")
     )
 
 

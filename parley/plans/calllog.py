@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from parley.functions import vocabulary as V
 from parley.operators.scan import (
-    BUCKET_ROWS,
     exact_percentiles,
     last_rows_blocks,
+    null_safe_join,
     running_totals,
     time_bucket,
     trailing_totals,
@@ -60,7 +60,7 @@ def latency_distribution(
     )
     if not groups:
         return basic.withColumns({n: wide.select(n).scalar() for n in names.values()})
-    return basic.join(wide, list(groups), "left")
+    return null_safe_join(basic, wide, groups, "left")
 
 
 def rolling_quality(
@@ -69,7 +69,6 @@ def rolling_quality(
     order: Sequence[str] = ("ts", "event_id"),
     last: int = V.ROLLING_CALLS,
     sla: float = V.QUALITY_SLA,
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Quality over the last ``last`` calls of a key, for every call.
 
@@ -78,7 +77,7 @@ def rolling_quality(
     """
     one = F.lit(1).cast("bigint")
     bad = F.when(F.coalesce("schema_valid", F.lit(False)), 0).otherwise(1).cast("bigint")
-    ranked = running_totals(log, keys, order, time_bucket(F.col(order[0])), {"__rank": one, "__bad": bad}, max_rows)
+    ranked = running_totals(log, keys, order, time_bucket(F.col(order[0])), {"__rank": one, "__bad": bad})
     blocks = last_rows_blocks(ranked, keys, "__rank", last)
     w = Window.partitionBy(*keys, "__block").orderBy("__rank")
     failures = F.col("__bad") - F.coalesce(F.lag("__bad", last).over(w), F.lit(0))
@@ -99,7 +98,6 @@ def rolling_latency(
     order: Sequence[str] = ("ts", "event_id"),
     last: int = V.ROLLING_CALLS,
     point: float = 0.95,
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Mean and percentile element of the last ``last`` calls of a key, for every call.
 
@@ -108,7 +106,7 @@ def rolling_latency(
     """
     one = F.lit(1).cast("bigint")
     log = log.where(F.col(latency).isNotNull())
-    ranked = running_totals(log, keys, order, time_bucket(F.col(order[0])), {"__rank": one}, max_rows)
+    ranked = running_totals(log, keys, order, time_bucket(F.col(order[0])), {"__rank": one})
     blocks = last_rows_blocks(ranked, keys, "__rank", last)
     out = [*keys, *[o for o in order if o not in keys], latency]
     schema = ", ".join(f"`{n}` {log.schema[n].dataType.simpleString()}" for n in out)
@@ -147,12 +145,11 @@ def token_use(
     budget: int = V.TOKENS_PER_WINDOW,
     max_tokens: int = V.MAX_OUTPUT_TOKENS,
     burndown: float = 1.0,
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Token use of the trailing window before each call, and what the call would bring it to."""
     own = F.coalesce(tokens, F.lit(0)).cast("bigint")
     amounts = {"__used": own, "__calls": F.lit(1).cast("bigint")}
-    summed = trailing_totals(log, keys, "ts", "event_id", seconds, amounts, max_rows=max_rows)
+    summed = trailing_totals(log, keys, "ts", "event_id", seconds, amounts)
     before = (F.col("__used") - own) * burndown
     return summed.withColumns(
         {
@@ -187,12 +184,11 @@ def failure_bursts(
     keys: Sequence[str],
     seconds: int = V.FAILURE_WINDOW_SECONDS,
     limit: int = V.FAILURE_LIMIT,
-    max_rows: int | None = BUCKET_ROWS,
 ) -> DataFrame:
     """Failures at which the trailing window holds at least ``limit`` failures."""
     failed = log.where("failed")
     one = {"failures": F.lit(1).cast("bigint")}
-    counted = trailing_totals(failed, keys, "ts", "event_id", seconds, one, max_rows=max_rows)
+    counted = trailing_totals(failed, keys, "ts", "event_id", seconds, one)
     return counted.where(F.col("failures") >= limit)
 
 
