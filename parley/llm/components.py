@@ -17,7 +17,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v")
     known = both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    known, before = written(known, "edges"), None
+    known = written(known, "edges")
+    before = _state(known)
     while True:
         # large star: every neighbour above u hangs on the smallest of u and its neighbours
         ways = known.unionAll(known.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,9 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "v")
         small = small.select(F.col("m").alias("u"), F.col("u").alias("v")).unionAll(small.select(F.col("m").alias("u"), "v"))
         known = written(small.filter("u <> v").distinct(), "edges")
-        state = known.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
+        state = _state(known)
         if state == before:
             break
         before = state
     roots = known.select(F.col("v").alias("id"), F.col("u").alias("component"))
     return roots.unionAll(known.select(F.col("u").alias("id"), F.col("u").alias("component"))).distinct()
+
+
+def _state(edges: DataFrame) -> tuple:
+    """What tells whether a round has changed the edges."""
+    return tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import Words, has, mixed, pieces, written
@@ -26,7 +26,9 @@ from parley.llm.components import components
 MAP_BITS = 26
 #: Members of a signature's group that are compared with the others in the first rounds, and in later ones: few at
 #: first, as most of a large group of near copies joins by way of any of them.
-HUBS = (4, 16, 64, 256)
+HUBS = (1, 32, 256)
+#: A set's sketch: for each of so many times 64 cells, whether an odd number of shingles falls into it.
+SKETCH = [f"p{i}" for i in range(4)]
 
 
 class Bands:
@@ -131,6 +133,22 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, SETS)
 
 
+def sketches(doc: np.ndarray, shingle: np.ndarray, n: int) -> list[np.ndarray]:
+    """The columns ``SKETCH`` of each set. Two sets differ in at least as many shingles as their sketches in bits."""
+    cells = 64 * len(SKETCH)
+    place = (mixed(shingle ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(cells)).astype(np.int64)
+    odd = np.bincount(doc * cells + place, minlength=n * cells).reshape(n, cells) & 1
+    packed = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+    return [np.ascontiguousarray(packed[:, i]) for i in range(len(SKETCH))]
+
+
+def may_link(percent: int) -> Column:
+    """Whether the sizes and sketches of a set and of a ``hub`` leave it open that they are similar; never wrong about a link."""
+    bits = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"hub_{p}"))) for p in SKETCH), F.lit(0))
+    differ = F.greatest(bits.cast("long"), F.abs(F.col("n") - F.col("hub_n")))
+    return differ * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent)
+
+
 def bit(known: np.ndarray, value: np.ndarray) -> np.ndarray:
     place = value & ((1 << MAP_BITS) - 1)
     return (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
@@ -147,7 +165,7 @@ def map_of(rows: DataFrame, column: str) -> bytes:
 
 
 def signed(docs: DataFrame, words: int, bands: Bands, present: bytes | None = None) -> DataFrame:
-    """``sig, id`` of the sets; those alone that a map of signatures has, if one is given."""
+    """``sig, id`` of the sets; if a map of signatures is given, those alone that it has, with ``n`` and the sketch of the set."""
     shared = docs.sparkSession.sparkContext.broadcast((bands, present))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,20 +174,24 @@ def signed(docs: DataFrame, words: int, bands: Bands, present: bytes | None = No
         for batch in batches:
             for _, texts in pieces(batch, "text"):
                 doc, shingle = Words(texts).shingles(words)
-                _, name = identity(doc, shingle, len(texts))
+                size, name = identity(doc, shingle, len(texts))
+                of_set = [name]
+                if known is not None:
+                    of_set += [size.astype(np.int64), *sketches(doc, shingle, len(texts))]
                 doc, sig = bands.signatures(doc, shingle, len(texts))
                 if known is not None:
                     keep = bit(known, sig)
                     doc, sig = doc[keep], sig[keep]
                 for at in range(0, len(sig), 500_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 500_000]), pa.array(name[doc[at : at + 500_000]])], ["sig", "id"])
+                    mine = doc[at : at + 500_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 500_000]), *[pa.array(x[mine]) for x in of_set]], columns)
 
-    return docs.select("text").mapInArrow(run, "sig long, id long")
+    columns = ["sig", "id", *(["n", *SKETCH] if present else [])]
+    return docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
-def _texts(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``id, text``, written: a text of each class in the pairs; texts that no pair needs are not shuffled."""
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+def _texts(ids: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, text``, written: a text of each of these classes; other texts are not shuffled."""
     rows = written(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row")), "needed")
     shared = docs.sparkSession.sparkContext.broadcast(map_of(rows, "row"))
 
@@ -228,50 +250,61 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     bands = Bands(percent, {r[0]: r[1] for r in count.groupBy(band.alias("band")).agg(F.sum("c")).collect()})
     found = signed(docs, words, bands).groupBy("sig").agg(F.min("id").alias("hub"), F.max("id").alias("other"))
     shared = written(found.filter("hub <> other").select("sig", "hub"), "shared")
-    members = signed(docs, words, bands, map_of(shared, "sig")).distinct()
-    members = written(members.join(shared, "sig").filter("id <> hub").select("sig", "id", "hub"), "members")
-    pairs = written(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    if pairs.isEmpty():
+    if shared.isEmpty():
         return None
-    # each member of a signature is in a pair with its hub, so these are all the texts that later pairs need
-    texts = _texts(pairs, docs, sets)
-    known = verified(pairs, texts, words)
-    similar = F.col("common") * 100 >= F.col("total") * percent
-    reached = written(components(known.filter(similar)), "reached")
-    return rest(members, known, reached, lambda pairs: verified(pairs, texts, words), percent)
+    members = signed(docs, words, bands, map_of(shared, "sig")).distinct()
+    members = written(members.join(shared.select("sig"), "sig", "left_semi"), "members")
+    texts = _texts(members.select("id").distinct(), docs, sets)
+    return joined(members, lambda pairs: verified(pairs, texts, words), percent)
 
 
-def rest(members: DataFrame, known: DataFrame, reached: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Joins components that meet in a signature though not by way of its hub.
+def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """``id, component`` of the sets that are similar to another one, by way of the groups ``sig`` of ``members``.
 
-    The hub has been compared with all members of a signature. Where the others are still in several
-    components, a few of them, outside of the largest component, are compared with all members of other
-    components, and are then done with; and so on until each signature has one component. A pair
-    is spared if its distances to the hub differ by more than two similar sets' may: 1 - Jaccard is a metric.
+    As long as a group has several components, a few of its members, outside of the largest component, are
+    compared with all members of other components, and are then done with. A pair is verified unless the
+    sizes and sketches rule it out, so what is verified grows with the links and not with the groups. Each
+    round ties the components that its links join.
     """
-    far = F.lit(1.0) - F.col("common") / F.col("total")
-    distance = known.select(F.col("a").alias("hub"), F.col("b").alias("id"), far.alias("far"))
-    left, similar = members.join(distance, ["hub", "id"]).select("sig", "id", "far"), F.col("common") * 100 >= F.col("total") * percent
-    most = 1 - percent / 100 + 1e-9
+    spark = members.sparkSession
+    reached, known = spark.createDataFrame([], "id long, component long"), spark.createDataFrame([], "a long, b long")
+    left = members.select("sig", "id", "n", *SKETCH)
     for turn in itertools.count():
         now = left.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
         split = now.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
         left = written(now.join(split, "sig", "left_semi"), "left")
         if left.isEmpty():
             return reached
-        size = left.groupBy("sig", "component").agg(F.count("*").alias("n"))
-        main = size.groupBy("sig").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+        size = left.groupBy("sig", "component").agg(F.count("*").alias("m"))
+        main = size.groupBy("sig").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
         place = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
         hubs = left.join(main, "sig").filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS[min(turn, len(HUBS) - 1)])
-        hubs = written(hubs.select("sig", F.col("id").alias("hub"), F.col("far").alias("hub_far"), F.col("component").alias("hub_component")), "hubs")
-        pairs = left.join(hubs, "sig").filter("component <> hub_component").filter(F.abs(F.col("far") - F.col("hub_far")) <= most)
-        pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        pairs = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        hubs = written(hubs.select("sig", *[F.col(c).alias(f"hub_{c}") for c in ("id", "n", *SKETCH, "component")]), "hubs")
+        pairs = left.join(hubs, "sig").filter("component <> hub_component").filter(may_link(percent))
+        pairs = pairs.select(
+            F.least("id", "hub_id").alias("a"),
+            F.greatest("id", "hub_id").alias("b"),
+            F.least("component", "hub_component").alias("x"),
+            F.greatest("component", "hub_component").alias("y"),
+        ).distinct()
+        pairs = written(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            known = known.unionAll(verify(pairs))
-            reached = written(components(known.filter(similar)), "reached")
-        done = hubs.select("sig", F.col("hub").alias("id"))
-        left = left.select("sig", "id", "far").join(done, ["sig", "id"], "left_anti")
+            found = verify(pairs.select("a", "b"))
+            known = known.unionAll(found.select("a", "b"))
+            reached = _tied(reached, pairs.join(found.filter(F.col("common") * 100 >= F.col("total") * percent), ["a", "b"]))
+        done = hubs.select("sig", F.col("hub_id").alias("id"))
+        left = left.drop("component").join(done, ["sig", "id"], "left_anti")
+
+
+def _tied(reached: DataFrame, links: DataFrame) -> DataFrame:
+    """``reached`` after links between its components ``x`` and ``y``; a set that it lacks is a component of its own."""
+    ties = written(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "ties")
+    if ties.isEmpty():
+        return reached
+    tied = written(components(ties), "tied")
+    new = tied.select(F.col("id").alias("component"), F.col("component").alias("new"))
+    moved = reached.join(new, "component", "left").select("id", F.coalesce("new", "component").alias("component"))
+    return written(moved.unionAll(tied.join(reached, "id", "left_anti")), "reached")
 
 
 def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -284,9 +317,8 @@ def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     table gives no rows; further columns are ignored. ``row`` is a hash of id and text.
 
     Equal sets are one class, so copies never meet as pairs. Classes are told apart by 64-bit hashes
-    of their shingles' hashes. Of the classes that share a signature, the one with the smallest name is
-    compared with the others, on their texts; classes that are then still in different components are
-    compared further, as ``rest`` says. No group is gathered in one task, and no partner is left out.
+    of their shingles' hashes. Classes that share a signature are compared on their texts, as ``joined``
+    says. No group is gathered in one task, and no partner is left out.
     """
     docs = named(docs).select("doc_id", "row", "text")
     sets = written(shingle_sets(docs, words), "sets")

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import Words, mixed, pieces, written
-from parley.llm.components import components
-from parley.llm.jaccard import bit, compared, identity, map_of, named, rest
+from parley.llm.jaccard import SKETCH, bit, identity, joined, map_of, named, sketches, verified
 
 WORDS, PERCENT = 5, 80
 #: Bands of so many hashes each: a pair at 0.8 collides with probability 1 - (1 - 0.8**2)**5 = 0.994.
@@ -47,7 +46,8 @@ class Paragraphs:
         self.text, self.count = words.doc[first[:-1][long]], np.diff(first)[long]
         self.number = np.flatnonzero(long)
         self.first = first[:-1][long] - words.first[self.text]
-        self.name = name[long]
+        self.name, self.size = name[long], size[long].astype(np.int64)
+        self.sketch = [x[long] for x in sketches(unit, shingle, len(first) - 1)]
         self.bytes = (words.start[first[:-1][long]], words.end[first[1:][long] - 1])
         self.raw = words.text
         keep = long[unit]
@@ -63,7 +63,7 @@ class Paragraphs:
 
 
 def _signed(docs: DataFrame, present: bytes | None = None) -> DataFrame:
-    """``sig, id, row``: band signatures, class and text of each paragraph."""
+    """``sig, id, row, n`` and sketch: band signatures, class, text and set of each paragraph."""
     shared = docs.sparkSession.sparkContext.broadcast(present)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +73,11 @@ def _signed(docs: DataFrame, present: bytes | None = None) -> DataFrame:
                 found, rows = Paragraphs(texts), part.column("row").to_numpy()
                 for sig in found.signatures:
                     keep = bit(known, sig) if known is not None else np.ones(len(sig), bool)
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(found.name[keep]), pa.array(rows[found.text[keep]])], ["sig", "id", "row"])
+                    of_set = (found.name, rows[found.text], *([found.size, *found.sketch] if present else []))
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), *[pa.array(x[keep]) for x in of_set]], columns)
 
-    return docs.select("row", "text").mapInArrow(run, "sig long, id long, row long")
+    columns = ["sig", "id", "row", *(["n", *SKETCH] if present else [])]
+    return docs.select("row", "text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
 def _listed(docs: DataFrame, ids: DataFrame, texts: bool) -> DataFrame:
@@ -105,23 +107,13 @@ def _listed(docs: DataFrame, ids: DataFrame, texts: bool) -> DataFrame:
 def _clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes that share a band signature with another text's paragraph, and components of those that are similar."""
     found = _signed(docs).groupBy("sig").agg(F.min("id").alias("hub"), F.max("id").alias("other"), F.min("row").alias("x"), F.max("row").alias("y"))
-    shared = written(found.filter("hub <> other OR x <> y").select("sig", "hub"), "bands")
-    members = _signed(docs, map_of(shared, "sig")).select("sig", "id").distinct()
+    shared = written(found.filter("hub <> other OR x <> y").select("sig", F.expr("hub <> other").alias("varied")), "bands")
+    members = _signed(docs, map_of(shared, "sig")).select("sig", "id", "n", *SKETCH).distinct()
     members = written(members.join(shared, "sig"), "band-members")
     ids = written(members.select("id").distinct(), "paragraph-classes")
-    members = members.filter("id <> hub")
-    pairs = written(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-        text = written(_listed(docs, written(ends, "needed"), texts=True), "paragraph-texts")
-        one = text.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        two = text.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        return compared(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b"), WORDS)
-
-    known = verify(pairs)
-    reached = written(components(known.filter(F.col("common") * 100 >= F.col("total") * PERCENT)), "reached")
-    return ids, rest(members, known, reached, verify, PERCENT)
+    members = members.filter("varied").drop("varied")
+    texts = written(_listed(docs, written(members.select("id").distinct(), "needed"), texts=True), "paragraph-texts")
+    return ids, joined(members, lambda pairs: verified(pairs, texts, WORDS), PERCENT)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
