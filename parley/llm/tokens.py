@@ -143,14 +143,11 @@ class Encoder:
             return np.zeros(0, np.uint32)
         if len(self.known) > REMEMBERED or self.used > 8 * REMEMBERED:
             self.forget()
-        try:
-            at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
-        except KeyError:
-            new = dict.fromkeys(x for x in found if x not in self.known)
-            if long := [x for x in new if len(x) > LONGEST]:
-                return self._with_long(found, set(long))
+        if new := set(found).difference(self.known):
+            if max(map(len, new)) > LONGEST:
+                return self._with_long(found, {x for x in new if len(x) > LONGEST})
             self._learn(list(new))
-            at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
         size = self.size[at]
         ends = np.cumsum(size)
         return self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])]
