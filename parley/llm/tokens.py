@@ -19,9 +19,10 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
+        self.blank = re.compile(f"[{_SPACE}]").match
         self.forget()
 
     def forget(self) -> None:
@@ -123,10 +125,26 @@ class Encoder:
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str], ends: set[str]) -> None:
+        # pieces from white space up to another character stay apart in one text; a text's first and last may not
+        outer = [x for x in ends & new if not self.blank(x) or self.blank(x[-1])]
+        self._keep(list(new.difference(outer)), self._in_one)
+        self._keep(outer, self._each)
+
+    def _in_one(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces and their numbers: those of one text, cut where the next piece starts."""
+        out = self.tokenizer.encode("".join(some), add_special_tokens=False)
+        start = np.fromiter(map(itemgetter(0), out.offsets), np.int64)
+        cuts = np.searchsorted(start, np.cumsum(np.fromiter(map(len, some), np.int64)))
+        return np.array(out.ids, np.uint32), np.diff(cuts, prepend=0)
+
+    def _each(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64)
+
+    def _keep(self, new: list[str], encoded: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
         for k in range(0, len(new), 8192):
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(new[k : k + 8192], add_special_tokens=False)]
-            flat, size = np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64)
+            flat, size = encoded(new[k : k + 8192])
             n, m = len(self.known), len(self.known) + len(size)
             while m > len(self.start):
                 self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
@@ -146,7 +164,7 @@ class Encoder:
         if new := set(found).difference(self.known):
             if max(map(len, new)) > LONGEST:
                 return self._with_long(found, {x for x in new if len(x) > LONGEST})
-            self._learn(list(new))
+            self._learn(new, {found[0], found[-1]})
         at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
         size = self.size[at]
         ends = np.cumsum(size)
@@ -154,7 +172,7 @@ class Encoder:
 
     def _with_long(self, found: list[str], long: set[str]) -> np.ndarray:
         """Long pieces are encoded each time and not remembered."""
-        self._learn([x for x in dict.fromkeys(found) if x not in long and x not in self.known])
+        self._learn(set(found).difference(self.known, long), {found[0], found[-1]})
         parts = []
         for x in found:
             if x in long:
