@@ -308,12 +308,13 @@ def _tied(reached: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, row, n_shingles, component_id`` of each row of ``docs``.
+    """``doc_id, row, n_shingles, component_id, component`` of each row of ``docs``.
 
     A set holds the distinct runs of ``words`` words (A-Z lower-cased); a text with fewer words is one
     run; a NULL text or one without words has an empty set and links with nothing. Two documents link
     if ``100 * intersection >= percent * union``; ``component_id`` is the smallest doc_id among the rows that links
-    lead to, NULL if none of them has an id. Rows with equal ids are documents of their own. An empty
+    lead to, NULL if none of them has an id. Rows with equal ids are documents of their own, so components
+    may share a ``component_id``; ``component`` is the one name of each, NULL for an empty set. An empty
     table gives no rows; further columns are ignored. ``row`` is a hash of id and text.
 
     Equal sets are one class, so copies never meet as pairs. Classes are told apart by 64-bit hashes
@@ -322,15 +323,15 @@ def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """
     docs = named(docs).select("doc_id", "row", "text")
     sets = written(shingle_sets(docs, words), "sets")
-    classes = sets.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least"))
+    classes = sets.filter("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("least")).withColumn("component", F.col("id"))
     reached = _links(docs, sets, words, percent)
     if reached is not None:
-        classes = classes.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        classes = classes.drop("component").join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
         whole = classes.groupBy("component").agg(F.min("least").alias("least"))
-        classes = classes.drop("least").join(whole, "component").select("id", "least")
+        classes = classes.drop("least").join(whole, "component").select("id", "least", "component")
     rows = sets.join(classes, "id", "left")
-    component = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return rows.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    least = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return rows.select("doc_id", "row", F.col("n").alias("n_shingles"), least.alias("component_id"), "component")
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -346,7 +347,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     are equal in id and text, one stays. The columns are those of ``docs``.
     """
     rows = linked(docs, words, percent)
-    filled = rows.filter("n_shingles > 0").groupBy("component_id").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("__row"))
+    filled = rows.filter("n_shingles > 0").groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("__row"))
     keep = filled.select("__row").unionAll(rows.filter("n_shingles = 0").select(F.col("row").alias("__row"))).distinct()
     named_rows = docs.withColumn("__row", F.xxhash64(has(docs, "doc_id", "long"), has(docs, "text", "string")))
     return named_rows.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)

@@ -25,7 +25,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked(read(spark, sf_dir, "documents"), words=3, percent=90).drop("row")
+    return jaccard.linked(read(spark, sf_dir, "documents"), words=3, percent=90).drop("row", "component")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,6 +136,17 @@ def test_jaccard_join_of_odd_rows(docs):
     assert kept.columns == docs.columns and kept.filter("text LIKE 'the same%'").count() == 1
 
 
+def test_one_of_each_keeps_unrelated_documents_without_or_with_equal_ids(spark):
+    text = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (7, text("d")), (7, text("e")), (None, text("a") + " z"), (8, text("d") + " z"), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in jaccard.one_of_each(table).collect())
+    assert len(kept) == 6 and [x for x in kept if x[0]] == [(7, text("d")), (7, text("e"))]
+    assert [x[1] for x in kept if x[1].startswith(("b", "c"))] == [text("b"), text("c")]
+    apart = spark.createDataFrame(rows[:5], "doc_id long, text string")
+    assert jaccard.one_of_each(apart).count() == 5
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 102), (102, 101)]
     out = components(spark.createDataFrame(edges, "a long, b long")).toPandas()
