@@ -1,9 +1,10 @@
-"""Repeated passages: MinHash bands over paragraphs, exact verification, removal by components.
+"""Repeated passages: equal runs of words wherever they stand, and MinHash bands over paragraphs for near copies.
 
-A line of a text is cut into paragraphs where a sentence ends in a word of even hash, so that a passage is
-cut alike wherever it stands. Equal paragraphs are one class. Classes that collide in a band are
-compared exactly (words in runs of five, Jaccard 0.8 or more) and clustered. Neighbouring paragraphs of
-a text whose clusters occur in several texts make a span; spans of enough words are repeats.
+Every run of 30 words that stands in several texts is found: a text's runs are named by the least hash among their
+shorter runs, names that several texts have are counted first, and the runs themselves only where one is shared.
+A line of a text is also cut into paragraphs where a sentence ends in a word of even hash. Equal paragraphs are
+one class. Classes that collide in a band are compared exactly (words in runs of five, Jaccard 0.8 or more) and
+clustered. Words in runs or clusters of several texts make spans; spans of enough words are repeats.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ WORDS, PERCENT = 5, 80
 BANDS, ROWS = 5, 2
 #: Words of the shortest paragraph that is compared and of the shortest span that is a repeat.
 LEAST_PARAGRAPH, LEAST_SPAN = 5, 30
+#: Words of the shorter runs whose least hash stands for the LEAST_SPAN words that they lie in.
+PRINT = 15
 _SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -116,40 +119,134 @@ def _clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ids, joined(members, lambda pairs: verified(pairs, texts, WORDS), PERCENT)
 
 
+def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, least hash of shorter runs and name of each run of ``LEAST_SPAN`` words within a text."""
+    n = len(words.hash) - LEAST_SPAN + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = np.zeros(len(words.hash) - PRINT + 1, np.uint64)
+    for j in range(PRINT):
+        h = mixed(h * np.uint64(3) + words.hash[j : j + len(h)])
+    name = mixed(h[:n] * np.uint64(3) + mixed(h[LEAST_SPAN - PRINT : LEAST_SPAN - PRINT + n]))
+    least, width, whole = h, 1, LEAST_SPAN - PRINT + 1
+    while width < whole:  # the minimum of twice as many, up to all shorter runs
+        step = min(width, whole - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    at = np.flatnonzero(words.doc[:n] == words.doc[LEAST_SPAN - 1 :])
+    return at, least[at].view(np.int64), name[at].view(np.int64)
+
+
+def _runs(docs: DataFrame, present: bytes | None = None) -> DataFrame:
+    """``sig, row`` of the least hashes of each text; with a map of them ``name, doc_id, row, start`` of the runs that it has."""
+    shared = docs.sparkSession.sparkContext.broadcast(present)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(shared.value, np.uint8) if shared.value else None
+        for batch in batches:
+            for part, texts in pieces(batch, "text"):
+                words = Words(texts)
+                at, sig, name = windows(words)
+                doc = words.doc[at]
+                if known is None:
+                    keep = np.ones(len(sig), bool)
+                    keep[1:] = (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])
+                    rows = part.column("row").to_numpy()
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(rows[doc[keep]])], ["sig", "row"])
+                    continue
+                keep = bit(known, sig)
+                at, doc, name = at[keep], doc[keep], name[keep]
+                for i in range(0, len(at), 500_000):
+                    d = pa.array(doc[i : i + 500_000])
+                    start = (at - words.first[doc])[i : i + 500_000].astype(np.int32)
+                    columns = [pa.array(name[i : i + 500_000]), part.column("doc_id").take(d), part.column("row").take(d), pa.array(start)]
+                    yield pa.RecordBatch.from_arrays(columns, ["name", "doc_id", "row", "start"])
+
+    out = "name long, doc_id long, row long, start int" if present else "sig long, row long"
+    return docs.select("doc_id", "row", "text").mapInArrow(run, out)
+
+
+def _equal_runs(docs: DataFrame) -> DataFrame:
+    """``row, id, runs`` of each text with runs that other texts have: twice the first word of each, and one more if no text before has it."""
+    several = _runs(docs).groupBy("sig").agg(F.min("row").alias("x"), F.max("row").alias("y")).filter("x <> y").select("sig")
+    found = written(_runs(docs, map_of(written(several, "prints"), "sig")), "runs")
+    names = found.groupBy("name").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", _order()).alias("keeper"))
+    found = found.join(names.filter("x <> y"), "name")
+    at = F.col("start") * 2 + (F.col("keeper") == F.col("row")).cast("int")
+    # the runs of one text: at most one for each of its words
+    return found.groupBy("row").agg(F.first("doc_id").alias("id"), F.collect_set(at).alias("runs"))
+
+
+def _order():
+    """Texts by id, those without one last."""
+    return F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+
+
+def spans_of(parts: list[tuple[int, int, int, bool]], runs: np.ndarray) -> list[tuple[int, int, list[int], bool]]:
+    """``first, last, clusters, removed`` from a text's paragraphs (first, words, cluster, kept) and equal runs.
+
+    Words less than ``LEAST_PARAGRAPH`` apart are in one run, and count if it has ``LEAST_SPAN`` of them.
+    """
+    kept_run, start = runs % 2 == 1, runs // 2
+    first = np.concatenate((np.array([p[0] for p in parts], np.int64), start))
+    last = np.concatenate((np.array([p[0] + p[1] for p in parts], np.int64), start + LEAST_SPAN))
+    kept = np.concatenate((np.array([p[3] for p in parts], bool), kept_run))
+    n = int(last.max(initial=0))
+
+    def cover(mine: np.ndarray) -> np.ndarray:
+        return np.cumsum(np.bincount(first[mine], minlength=n + 1) - np.bincount(last[mine], minlength=n + 1))[:n] > 0
+
+    covered, gone = cover(np.ones(len(first), bool)), cover(~kept)
+    at = np.flatnonzero(covered)
+    if not len(at):
+        return []
+    begin = np.concatenate(([True], np.diff(at) > LEAST_PARAGRAPH))  # a shorter gap does not end a run
+    group = np.cumsum(begin) - 1
+    enough = np.bincount(group) >= LEAST_SPAN
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) > 1) | (gone[at[1:]] != gone[at[:-1]])
+    head = np.flatnonzero(new)
+    starts, ends = at[head], at[np.append(head[1:], len(at)) - 1] + 1
+    clusters: list[dict[int, None]] = [{} for _ in head]
+    for a, size, cluster, _ in parts:
+        for i in range(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, a + size, "left"))):
+            clusters[i][cluster] = None
+    return [(int(starts[i]), int(ends[i]), list(clusters[i]), bool(gone[starts[i]])) for i in np.flatnonzero(enough[group[head]])]
+
+
+SPANS = "doc_id long, row long, first int, last int, clusters array<long>, removed boolean"
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("clusters", pa.list_(pa.int64())), ("removed", pa.bool_())])
+    for batch in batches:
+        out = []
+        for i in range(len(batch)):  # one text at a time
+            key, row = batch.column("doc_id")[i].as_py(), batch.column("row")[i].as_py()
+            parts = [(p["first"], p["words"], p["cluster"], p["kept"]) for p in batch.column("parts")[i].as_py() or []]
+            runs = np.array(batch.column("runs")[i].as_py() or [], np.int64)
+            out += [(key, row, *s) for s in spans_of(parts, runs)]
+        columns = list(zip(*out, strict=True)) or [[]] * len(schema)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """A row for each repeated span: ``doc_id, row, first, last, clusters, removed``.
 
-    ``first`` up to ``last`` are words (runs of anything but white space). ``clusters`` are those of its paragraphs;
-    the span is ``removed`` unless, for one of them, no text with a smaller doc_id (then ``row``; without an
-    id last) has a paragraph of that cluster in any place. A text repeats only what another row has; rows that are
-    equal in id and text are one. NULL and empty texts have no paragraphs. An empty table gives no rows;
-    further columns are ignored. Whole texts are read, and no group is left out.
+    ``first`` up to ``last`` are words (runs of anything but white space) that stand in equal runs of ``LEAST_SPAN`` words
+    or similar paragraphs of several texts. ``clusters`` are those of its paragraphs, none if equal runs alone make
+    the span. Words are ``removed`` if a text with a smaller doc_id (then ``row``; without an id last) has one of
+    their runs or clusters in any place; a span ends where that changes. A text repeats only what another
+    row has; rows that are equal in id and text are one. NULL and empty texts have no paragraphs. An empty table
+    gives no rows; further columns are ignored. Whole texts are read, and no group is left out.
     """
     docs = named(docs).select("doc_id", "row", "text")
     ids, reached = _clusters(docs)
     rows = _listed(docs, ids, texts=False).join(reached, "id", "left").withColumn("cluster", F.coalesce("component", "id"))
     rows = written(rows.select("doc_id", "row", "number", "first", "words", "cluster"), "paragraphs")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    several = rows.groupBy("cluster").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", order).alias("keeper"))
+    several = rows.groupBy("cluster").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", _order()).alias("keeper"))
     several = several.filter("x <> y").select("cluster", "keeper")
     parts = rows.join(several, "cluster").withColumn("kept", F.col("keeper") == F.col("row"))
     # the paragraphs of one text: their number is that of its lines and sentences
     listed = parts.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("number", "first", "words", "cluster", "kept"))).alias("parts"))
-    empty = F.array().cast("array<struct<number:int,first:int,last:int,clusters:array<bigint>,kept:boolean>>")
-
-    def add(done, p):
-        last = F.try_element_at(done, F.lit(-1))
-        one = F.struct(p["number"].alias("number"), p["first"].alias("first"), (p["first"] + p["words"]).alias("last"), F.array(p["cluster"]).alias("clusters"), p["kept"].alias("kept"))
-        more = F.struct(
-            p["number"].alias("number"),
-            last["first"].alias("first"),
-            (p["first"] + p["words"]).alias("last"),
-            F.concat(last["clusters"], F.array(p["cluster"])).alias("clusters"),
-            (last["kept"] | p["kept"]).alias("kept"),
-        )
-        joins = (F.size(done) > 0) & (p["number"] == last["number"] + 1)
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(more))).otherwise(F.concat(done, F.array(one)))
-
-    spans = listed.withColumn("span", F.explode(F.aggregate("parts", empty, add)))
-    spans = spans.filter(F.col("span.last") - F.col("span.first") >= LEAST_SPAN)
-    return spans.select("doc_id", "row", "span.first", "span.last", F.array_distinct("span.clusters").alias("clusters"), (~F.col("span.kept")).alias("removed"))
+    whole = listed.join(_equal_runs(docs), "row", "full").select(F.coalesce("doc_id", "id").alias("doc_id"), "row", "parts", "runs")
+    return whole.mapInArrow(_spans, SPANS)

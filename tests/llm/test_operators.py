@@ -177,6 +177,39 @@ def test_passages(spark, docs):
     assert passages.repeats(docs.limit(0)).count() == 0
 
 
+def test_passages_inside_lines_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    fresh = itertools.count()
+    fill = lambda n: [f"f{next(fresh)}" for _ in range(n)]
+    texts = [fill(int(n)) for n in rng.integers(20, 90, 14)]
+    for size in (29, 30, 31, 51, 55, 71, 120):
+        passage = fill(size)
+        for i in rng.choice(14, 3, replace=False):
+            at = int(rng.integers(len(texts[i]) + 1))
+            texts[i][at:at] = passage
+    seen = {}
+    for i, words in enumerate(texts):
+        for j in range(len(words) - 29):
+            seen.setdefault(tuple(words[j : j + 30]), set()).add(i)
+    want, gone = set(), set()
+    for i, words in enumerate(texts):
+        for j in range(len(words) - 29):
+            rows = seen[tuple(words[j : j + 30])]
+            if len(rows) > 1:
+                want |= {(i, x) for x in range(j, j + 30)}
+                gone |= {(i, x) for x in range(j, j + 30)} if min(rows) < i else set()
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = passages.repeats(table).collect()
+    assert {(r.doc_id, x) for r in out for x in range(r["first"], r["last"])} == want
+    assert {(r.doc_id, x) for r in out if r.removed for x in range(r["first"], r["last"])} == gone and gone
+
+
+def test_short_gap_bridges_paragraphs():
+    spans = passages.spans_of([(0, 28, 1, False), (31, 24, 2, False)], np.zeros(0, np.int64))
+    assert [s[:2] for s in spans] == [(0, 28), (31, 55)]
+    assert passages.spans_of([(0, 28, 1, False), (40, 24, 2, False)], np.zeros(0, np.int64)) == []
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(900)]
