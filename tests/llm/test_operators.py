@@ -210,6 +210,11 @@ def test_short_gap_bridges_paragraphs():
     assert passages.spans_of([(0, 28, 1, False), (40, 24, 2, False)], np.zeros(0, np.int64)) == []
 
 
+def test_what_first_occurs_here_does_not_keep_the_repeats_beside_it():
+    spans = passages.spans_of([(0, 20, 1, False), (20, 20, 2, True), (40, 20, 3, False)], np.zeros(0, np.int64))
+    assert [(a, b, removed) for a, b, _, removed in spans] == [(0, 20, True), (20, 40, False), (40, 60, True)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(900)]
