@@ -158,9 +158,9 @@ def map_of(rows: DataFrame, column: str) -> bytes:
     """A bit for each value, by its low bits; 2 ** MAP_BITS bits whatever the number of rows."""
     low = F.col(column).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
     word, one = F.shiftright(low, 6).cast("int"), F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))")
-    bits = rows.select(word.alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = rows.select(word.alias("word"), one.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    out[bits["word"].to_numpy(int)] = bits["bits"].to_numpy(np.int64)
+    out[bits["word"].to_numpy()] = bits["bits"].to_numpy()
     return out.tobytes()
 
 
