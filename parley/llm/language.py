@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import has, pieces
+from parley.llm.common import has, pieces, written
 
 UNKNOWN = "und"
-#: Letter triples are counted in so many places, for so many languages (those with most letters).
-PLACES, MAX_LANGUAGES = 1 << 15, 100
+#: Letter triples are counted in so many places, for so many languages; more of them are an error.
+PLACES, MAX_LANGUAGES = 1 << 15, 500
 #: Cost of a change of language between two words, in nats.
 SWITCH = 12.0
 #: A language uses a script if at least this share of its letters is in it.
@@ -132,11 +132,13 @@ def learned(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame) -> Model:
-    """A model of all rows with a text and a language; it has a bounded size, whatever the number of rows."""
+    """A model of all rows with a text and a language; every language is kept, and over ``MAX_LANGUAGES`` are an error."""
     counts = learned(docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    total = counts.groupBy("lang").agg(F.sum("n").alias("letters")).orderBy(F.desc("letters"), "lang").limit(MAX_LANGUAGES)
-    table = counts.join(F.broadcast(total.select("lang")), "lang").toPandas()
-    languages = sorted(table["lang"].unique().tolist())
+    counts = written(counts, "letters")
+    languages = sorted(r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; map them to fewer before learning")
+    table = counts.toPandas()
     n = np.zeros((len(languages), PLACES + len(NAMES)))
     if len(table):
         n[table["lang"].map({x: i for i, x in enumerate(languages)}), table["feature"]] = table["n"]
@@ -146,14 +148,18 @@ def fit(docs: DataFrame) -> Model:
     return Model(languages, scores.T.astype(np.float32).copy(), (uses & (scripts > 0)).T.copy())
 
 
-def word_scores(letters: Letters, model: Model) -> np.ndarray:
-    """Log probability of each word under each language; only the languages of its script are candidates."""
-    if not len(letters.begin):
-        return np.zeros((0, len(model.languages)), np.float32)
-    out = np.add.reduceat(model.scores[letters.place], letters.first[:-1], axis=0)
-    candidates = model.uses[letters.script]
-    candidates |= ~candidates.any(axis=1, keepdims=True)
-    return np.where(candidates, out, out - np.float32(1e4))
+def word_scores(letters: Letters, model: Model, a: int, b: int) -> np.ndarray:
+    """Log probability of words ``a`` up to ``b`` under each language; only the languages of its script are candidates."""
+    out = np.zeros((b - a, len(model.languages)), np.float32)
+    step = max(ENTRIES // (8 * len(model.languages)), 1)
+    for i in range(a, b, step):
+        first = letters.first[i : min(i + step, b) + 1]
+        mine = out[i - a : i - a + step]
+        np.add.reduceat(model.scores[letters.place[first[0] : first[-1]]], first[:-1] - first[0], axis=0, out=mine)
+        candidates = model.uses[letters.script[i : i + len(mine)]]
+        candidates |= ~candidates.any(axis=1, keepdims=True)
+        mine[~candidates] -= np.float32(1e4)
+    return out
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -164,8 +170,8 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
     begin, sizes = first[:-1][order], sizes[order]
     steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # texts with more than t words
-    back, label = np.empty(scores.shape, np.uint8), np.zeros(len(scores), np.uint8)
-    stay, last = np.arange(languages, dtype=np.uint8), np.zeros(len(sizes), np.intp)
+    back, label = np.empty(scores.shape, np.uint16), np.zeros(len(scores), np.uint16)
+    stay, last = np.arange(languages, dtype=np.uint16), np.zeros(len(sizes), np.intp)
     value = np.zeros((active[0] if steps else 0, languages), np.float32)
     for t in range(steps):
         k = active[t]
@@ -176,7 +182,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
         jump = (value[np.arange(k), best] - np.float32(switch))[:, None]
         moved = value < jump
         at = begin[:k] + t
-        back[at] = np.where(moved, best[:, None].astype(np.uint8), stay)
+        back[at] = np.where(moved, best[:, None].astype(np.uint16), stay)
         value = np.where(moved, jump, value) + scores[at]
         if t % 64 == 0:  # only differences within a text count
             value -= value.max(axis=1, keepdims=True)
@@ -195,22 +201,22 @@ RESULT = "lang_pred string, score double, spans array<struct<lang:string,first:i
 def _predict(texts: list[bytes], model: Model) -> list[pa.Array]:
     letters = Letters(texts)
     n, words = len(texts), letters.word
-    labels = np.zeros(len(letters.begin), np.uint8)
+    labels = np.zeros(len(letters.begin), np.uint16)
     weight = np.zeros((n, max(len(model.languages), 1)))
     total = np.zeros_like(weight)
     size = np.diff(letters.first)
     if model.languages:
-        scores = word_scores(letters, model)
         limit, a = max(ENTRIES // len(model.languages), 1), 0
         while a < n:
             b = max(int(np.searchsorted(words, words[a] + limit, side="right")) - 1, a + 1)
-            labels[words[a] : words[b]] = viterbi(scores[words[a] : words[b]], words[a : b + 1] - words[a])
+            scores, first = word_scores(letters, model, words[a], words[b]), words[a : b + 1] - words[a]
+            labels[words[a] : words[b]] = viterbi(scores, first)
+            filled = np.flatnonzero(np.diff(first))
+            if len(filled):
+                total[a + filled] = np.add.reduceat(scores, first[:-1][filled], axis=0, dtype=np.float64)
             a = b
         doc = np.repeat(np.arange(n), np.diff(words))
         np.add.at(weight, (doc, labels), size)
-        filled = np.flatnonzero(np.diff(words))
-        if len(filled):
-            total[filled] = np.add.reduceat(scores.astype(np.float64), words[:-1][filled], axis=0)
     some = weight.sum(axis=1) > 0
     best = weight.argmax(axis=1)
     share = weight.max(axis=1) / np.maximum(weight.sum(axis=1), 1)

@@ -104,6 +104,17 @@ def test_language_of_held_out_rows(spark, docs, empty):
     assert set(language.identify(docs, language.fit(empty)).toPandas().lang_pred) == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    word = lambda i: "".join(chr(97 + (i // 26**k + 7 * k) % 26) * 3 for k in range(3))
+    rows = [(f"l{i}", f"{word(i)} " * 6) for i in range(300)]
+    table = spark.createDataFrame(rows, "lang string, text string")
+    out = language.identify(table, language.fit(table)).collect()
+    assert len({r.lang_pred for r in out}) == 300 and all(r.lang == r.lang_pred for r in out)
+    many = spark.range(language.MAX_LANGUAGES + 1).select(F.lit("a b").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="languages"):
+        language.fit(many)
+
+
 def brute_components(texts, words, percent):
     sets = [jaccard.grams((t or "").encode(), words) for t in texts]
     root = list(range(len(sets)))
