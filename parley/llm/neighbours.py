@@ -26,9 +26,9 @@ BLOCK = 4096
 #: A vector is also kept in lists whose centroid is at most this much farther than its nearest, in so many lists at most.
 REPLICATE, REPLICAS = 1.12, 4
 #: A query reads the lists whose centroid is at most this much farther than its nearest one.
-PRUNE = 1.35
+PRUNE = 1.45
 #: Neighbours of a centroid in the graph, and centroids that a search keeps.
-DEGREE, BEAM = 24, 56
+DEGREE, BEAM = 24, 96
 
 
 @dataclass
@@ -46,7 +46,7 @@ class Index:
         """Best-first search of the graph, for many queries side by side: near centroids and their distances.
 
         Each query keeps a beam of centroids; a step looks at the neighbours of all of them, until no
-        beam changes.
+        beam changes. If a beam ends before the distance ratio does, all centroids are measured.
         """
         width = min(BEAM, len(self.centroids))
         ids = np.repeat(self.entries[None, :], len(points), axis=0)
@@ -55,6 +55,10 @@ class Index:
             near = self.graph[beam[:, : max(width // 4, 1)]].reshape(len(points), -1)
             wider, far = self._best(points, np.concatenate((beam, near), axis=1), width)
             if wider.shape == beam.shape and (wider == beam).all():
+                if width < len(self.centroids) and (far[:, -1] <= far[:, 0] * PRUNE).any():
+                    d = self.distances(points)
+                    beam = np.argsort(d, axis=1, kind="stable")
+                    far = np.take_along_axis(d, beam, axis=1)
                 return beam, far
             beam = wider
 

@@ -240,6 +240,17 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.limit(0), table).count() == 0
 
 
+def test_search_ends_with_the_distance_ratio():
+    x = np.random.default_rng(5).normal(size=(400, 16))
+    order = np.argsort(((x[:, None] - x) ** 2).sum(axis=2), axis=1)[:, : neighbours.DEGREE + 1]
+    index = neighbours.Index(9.0, x, order, np.arange(0, 400, 20))
+    points = np.random.default_rng(6).normal(size=(8, 16))
+    near, far = index.search(points)
+    for p, ids, d in zip(points, near, far, strict=True):
+        want = np.sqrt(((x - p) ** 2).sum(axis=1))
+        assert set(np.flatnonzero(want <= want.min() * neighbours.PRUNE)) <= set(ids[d <= d[0] * neighbours.PRUNE + 1e-9])
+
+
 def test_toxicity_of_held_out_rows(spark, docs):
     rng = np.random.default_rng(3)
     rows = []
