@@ -12,12 +12,16 @@ from parley.llm.common import has, read
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; the model is learned from the rows that name one."""
+    """Documents with a letter; the model is learned from the rows that name a language. If none does, no language decides."""
     columns = docs.columns
     known = docs.select(has(docs, "text", "string").alias("text"), has(docs, "lang", "string").alias("lang"))
     marked = docs.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(columns)], has(docs, "text", "string").alias("text"))
-    found = langid.identify(marked, langid.fit(known))
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(columns)])
+    model = langid.fit(known)
+    if model.languages:
+        found = langid.identify(marked, model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    else:
+        found = marked.filter(F.col("text").rlike(r"[\p{L}\p{M}]"))
+    return found.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

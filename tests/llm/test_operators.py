@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, tokens, toxicity, warc
+from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, stages, tokens, toxicity, warc
 from parley.llm.components import components
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
@@ -267,5 +267,13 @@ def test_toxicity_of_held_out_rows(spark, docs):
     assert toxicity.score(docs, toxicity.fit(docs, table.limit(0).select("doc_id", "toxic"))).filter("predicted = 1").count() == 0
 
 
+def test_language_stage_keeps_texts_if_nothing_is_learned(spark):
+    rows = [(1, "the of and"), (2, "и в не"), (3, "123 ..."), (4, None), (5, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (table, table.withColumn("lang", F.lit(None).cast("string"))):
+        out = stages.language(spark, docs, "")
+        assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 2]
+
+
 def test_stages_are_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "mixing", "token_output"]
