@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, tokens, toxicity, warc
+from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, repair, sharding, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -68,6 +68,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Every conversation row, some with a planted fault; ``present`` is false for the dropped ones."""
+    one = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", one("role").alias("role"), one("text").alias("text"), F.concat_ws(":", one("conv_id"), one("turn")).alias("key"))
+    rows = rows.withColumn("kind", F.crc32("key") % 20)
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.col("kind") != 0).alias("present"), times.alias("copy"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(damaged(read(spark, sf_dir, "conversations")), F.col("present"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
+    "op13_repair": op13_repair,
     "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {}
