@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, repair, sharding, tokens, toxicity, warc
+from parley.llm import alignment, decontaminate, jaccard, language, mixing, neighbours, passages, repair, sharding, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -68,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.with_corpus_counts(read(spark, sf_dir, "documents"))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Every conversation row, some with a planted fault; ``present`` is false for the dropped ones."""
     one = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
+    "op12_alignment": op12_alignment,
     "op13_repair": op13_repair,
     "pipeline": pipeline,
 }
