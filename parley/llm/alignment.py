@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import written
+from parley.llm.common import pieces, written
 
 #: Distinct pieces that a worker remembers, and the longest of them in characters.
 REMEMBERED, LONGEST = 500_000, 64
@@ -209,28 +209,28 @@ class Aligner:
         self.counts[n : len(self.groups)] = counts
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
-    def align(self, text: str | None) -> tuple[bytes, int, int, int, np.ndarray]:
-        """Groups as text, tokens of A and B, groups, and the code of every link (A's id times B's size, plus B's id)."""
-        nothing = b"", 0, 0, 0, np.zeros(0, np.int64)
-        if not text:
-            return nothing
-        found = self.find(f" {text}")
+    def align(self, texts: list[str | None]) -> Iterator[tuple[bytes, int, int, int, np.ndarray]]:
+        """Of each text its groups as text, tokens of A and B, groups, and the code of every link.
+
+        A link's code is A's id times the size of B's vocabulary, plus B's id.
+        """
+        found = [self.find(f" {x}") if x else [] for x in texts]
         if len(self.known) > REMEMBERED:
             self.forget()
-        if new := set(found).difference(self.known):
-            self.learn(sorted(new))
-        at = list(map(self.known.__getitem__, found))
-        parts = list(map(self.groups.__getitem__, at))
-        if None in parts:
-            out = nothing
-        else:
-            n_a, n_b, n_groups = self.counts[at].sum(axis=0).tolist()
-            out = b";".join(parts), n_a, n_b, n_groups, np.concatenate(list(map(self.codes.__getitem__, at)))
+        new = set().union(*found).difference(self.known)
+        self.learn(sorted(new))
+        for parts in found:
+            at = list(map(self.known.__getitem__, parts))
+            parts = list(map(self.groups.__getitem__, at))
+            if not parts or None in parts:
+                yield b"", 0, 0, 0, np.zeros(0, np.int64)
+            else:
+                codes = np.concatenate(list(map(self.codes.__getitem__, at)))
+                yield b";".join(parts), *self.counts[at].sum(axis=0).tolist(), codes
         for x in new:
             if len(x) > LONGEST:
                 i = self.known.pop(x)
-                self.groups[i], self.codes[i] = b"", out[4][:0]
-        return out
+                self.groups[i], self.codes[i] = b"", np.zeros(0, np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -255,10 +255,9 @@ def aligned(docs: DataFrame, paths: tuple[str, str] | None = None, groups: bool
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(paths)
         kind = _code_type(len(aligner.vocab_a.tokens) * len(aligner.vocab_b.tokens))
-        for batch in batches:
+        for batch, texts in (some for whole in batches for some in pieces(whole, "text")):
             rows, size = [], 0
-            for i in range(batch.num_rows):
-                text, n_a, n_b, n_groups, codes = aligner.align(batch.column(1)[i].as_py())
+            for i, (text, n_a, n_b, n_groups, codes) in enumerate(aligner.align([x.decode() for x in texts])):
                 sha = hashlib.sha256(text).hexdigest() if n_a else ""
                 rows.append((n_a, n_b, n_groups, len(codes), sha, np.sort(codes).astype(kind).tobytes(), text.decode() if groups else None))
                 size += 8 * len(codes) + len(text) * groups

@@ -83,7 +83,7 @@ def test_memory_may_be_emptied(tokenizers, monkeypatch):
     aligner = alignment.Aligner(*alignment.default_tokenizers())
     texts = odd_texts()
     for text, want in zip(texts, brute(texts, tokenizers), strict=True):
-        groups, n_a, n_b, n_groups, codes = aligner.align(text)
+        [(groups, n_a, n_b, n_groups, codes)] = aligner.align([text])
         assert (n_a, n_b, n_groups, len(codes), hashlib.sha256(groups).hexdigest() if n_a else "") == (*want[:4], want[6])
 
 
