@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import alignment, decontaminate, jaccard, language, mixing, neighbours, passages, repair, sharding, tokens, toxicity, warc
+from parley.llm import alignment, decontaminate, jaccard, language, mixing, neighbours, passages, repair, sharding, suffixes, tokens, toxicity, warc
 from parley.llm.common import has, read, written
 
 
@@ -68,6 +68,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark")))
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.without_repeats(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.with_corpus_counts(read(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_tokens": op9_tokens,
     "op10_decontamination": op10_decontamination,
+    "op11_suffixes": op11_suffixes,
     "op12_alignment": op12_alignment,
     "op13_repair": op13_repair,
     "pipeline": pipeline,
