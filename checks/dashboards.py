@@ -66,16 +66,17 @@ _LOW = f"low AS (SELECT lower(transcript) AS low FROM calls)"
     "kpi_category_coverage",
     f"""WITH {CALLS}, {_LOW}, c AS (SELECT count(*) AS n, 0 AS none FROM low)
         SELECT CAST(position AS INT) AS position, category, CAST(calls AS BIGINT) AS calls, calls::DOUBLE / n AS share FROM (
-          SELECT 1 AS position, 'identificationMetrics' AS category, n AS calls, n FROM c
-          UNION ALL SELECT 2, 'campaignStructure', n, n FROM c
+          SELECT 1 AS position, 'identificationMetrics' AS category, none AS calls, n FROM c
+          UNION ALL SELECT 2, 'campaignStructure', none, n FROM c
           UNION ALL SELECT 3, 'campaignScale', n, n FROM c
           UNION ALL SELECT 4, 'budgetAndBidding',
              (SELECT count(*) FROM low WHERE contains(low, 'budget') OR {_any('low', ['auto', 'suggest'])}), n FROM c
           UNION ALL SELECT 5, 'callAnalysis', n, n FROM c
           UNION ALL SELECT 6, 'seasonalContext', none, n FROM c
-          UNION ALL SELECT 7, 'actionItems', n, n FROM c
-          UNION ALL SELECT 8, 'complaintAnalysis', n, n FROM c
-          UNION ALL SELECT 9, 'featureAdaptability', n, n FROM c
+          UNION ALL SELECT 7, 'actionItems', none, n FROM c
+          UNION ALL SELECT 8, 'complaintAnalysis',
+             (SELECT count(*) FROM low WHERE contains(low, 'roas') OR {_any('low', ['google', 'meta', 'microsoft'])}), n FROM c
+          UNION ALL SELECT 9, 'featureAdaptability', none, n FROM c
           UNION ALL SELECT 10, 'performanceMetricsSentiment', n, n FROM c)""",
 )
 def kpi_category_coverage(spark, sf):
@@ -130,7 +131,7 @@ def kpi_outcome_flow(spark, sf):
     "kpi_outcome_of_rules",
     f"""WITH {CALLS}, {_LOW} SELECT CASE WHEN {_any('low', V.RULE_POSITIVE)} THEN 'positive'
           WHEN {_any('low', V.RULE_NEGATIVE)} THEN 'negative' ELSE 'neutral' END AS sentiment,
-          'actioned' AS outcome, count(*) AS calls FROM low GROUP BY ALL""",
+          'unresolved' AS outcome, count(*) AS calls FROM low GROUP BY ALL""",
 )
 def kpi_outcome_of_rules(spark, sf):
     i = calls(spark, sf).select(rule_insight(F.col("transcript")).alias("i"))

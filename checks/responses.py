@@ -218,8 +218,7 @@ def batch_result(spark, sf):
     f"""WITH {CALLS}, {_BATCH}, c AS (SELECT o_orderkey % 20 <> 0 AS ok, lower(transcript) AS low FROM calls),
         m AS (SELECT *, CASE WHEN {_any('low', V.RULE_POSITIVE)} THEN 'positive' WHEN {_any('low', V.RULE_NEGATIVE)} THEN 'negative'
                 ELSE 'neutral' END AS mood FROM c),
-        t AS (SELECT CASE WHEN contains(low, 'roas') THEN 'Performance Metrics' ELSE 'Budget Optimization' END AS v FROM m WHERE ok
-              UNION ALL SELECT 'Campaign Structure' FROM m WHERE ok),
+        t AS (SELECT CASE WHEN contains(low, 'roas') THEN 'Performance Metrics' ELSE 'Budget Optimization' END AS v FROM m WHERE ok),
         tc AS (SELECT v, count(*) AS n FROM t GROUP BY 1)
         SELECT count(*) AS total_calls, count(*) FILTER (WHERE ok) AS processed_calls, count(*) FILTER (WHERE NOT ok) AS failed_calls,
           round(100.0 * count(*) FILTER (WHERE ok AND mood = 'positive') / count(*) FILTER (WHERE ok), 4)::DOUBLE AS positive_sentiment_pct,

@@ -161,7 +161,10 @@ def table_register_and_discover(spark, sf):
         CAST(day(o_orderdate) AS INT) AS day,
         CASE WHEN contains(low, 'roas') THEN 'negative' ELSE 'neutral' END AS performancemetricssentiment_roassentiment,
         CASE WHEN contains(low, 'roas') THEN 'below_target_roas' ELSE '' END AS complaintanalysis_complaintkeywords,
-        'Sponsored_Products' AS campaignstructure_primarycampaigntype, CAST(66 AS INT) AS n_columns
+        CASE WHEN contains(low, 'roas') THEN 'Performance Metrics' ELSE 'Budget Optimization' END AS callanalysis_primarytopics,
+        CASE WHEN contains(low, 'budget') THEN 'limited' ELSE 'good' END AS campaignscale_scaleperception,
+        contains(low, 'budget') AS campaignscale_scaleissuesreported,
+        CASE WHEN contains(low, 'budget') THEN 'budget_limited' ELSE '-' END AS budgetandbidding_budgetutilization, CAST(66 AS INT) AS n_columns
         FROM low JOIN orders USING (o_orderkey)""",
 )
 def table_flatten_insights(spark, sf):
@@ -178,7 +181,10 @@ def table_flatten_insights(spark, sf):
         "day",
         "performancemetricssentiment_roassentiment",
         F.array_join("complaintanalysis_complaintkeywords", "|").alias("complaintanalysis_complaintkeywords"),
-        "campaignstructure_primarycampaigntype",
+        F.array_join("callanalysis_primarytopics", "|").alias("callanalysis_primarytopics"),
+        "campaignscale_scaleperception",
+        "campaignscale_scaleissuesreported",
+        F.coalesce("budgetandbidding_budgetutilization", F.lit("-")).alias("budgetandbidding_budgetutilization"),
         F.lit(len(flat.columns)).alias("n_columns"),
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.functions import vocabulary as V
-from parley.functions.text import conditional_label, mentions
+from parley.functions.text import mentions
 from parley.schemas import INSIGHT_TYPE
 
 
@@ -32,81 +33,31 @@ def _typed_struct(spec: dict, fields: T.StructType) -> Column:
     return F.struct(*cols)
 
 
-def _texts(*values: str) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def _decided(low: Column, dtype: T.DataType, cases: list[tuple[list[str], object]], otherwise: object) -> Column:
+    """Value of the first case with a term in the text; a list field takes it as its one entry."""
 
+    def value(v: object) -> Column:
+        if isinstance(dtype, T.ArrayType):
+            return F.array(*([] if v is None else [F.lit(v)])).cast(dtype)
+        return F.lit(v).cast(dtype)
 
-def rule_insight(text: Column) -> Column:
-    """Ten-category insight of a transcript by keyword rules.
+    out = value(otherwise)
+    for terms, found in reversed(cases):
+        out = F.when(mentions(low, terms), value(found)).otherwise(out)
+    return out
 
-    The rules see the transcript alone, never a prompt around it.
+
+def rule_insight(text: Column, rules: Mapping[str, tuple] = V.INSIGHT_RULES) -> Column:
+    """Insight of a transcript as far as keywords decide it.
+
+    ``rules``: ``category.field`` -> (ordered cases of terms and value, value without any). Every other field
+    keeps its default. The rules see the transcript alone, never a prompt around it.
     """
     low = F.lower(F.coalesce(text, F.lit("")))
-    roas, budget = low.contains("roas"), low.contains("budget")
-    mood = (
-        F.when(mentions(low, V.RULE_POSITIVE), "positive")
-        .when(mentions(low, V.RULE_NEGATIVE), "negative")
-        .otherwise("neutral")
-    )
-    on_roas = conditional_label(low, "roas", F.lit("negative"))
-    on_cpc = conditional_label(low, "cpc", F.lit("negative"))
-    neutral = F.lit("neutral")
-    spec = {
-        "identificationMetrics": {"repName": F.lit("Rep"), "campaignNames": _texts("Main Campaign")},
-        "campaignStructure": {
-            "primaryCampaignType": F.lit("Sponsored_Products"),
-            "targetingTypes": _texts("Keyword", "Product"),
-        },
-        "campaignScale": {
-            "scaleIssuesReported": budget,
-            "scalePerception": F.when(budget, "limited").otherwise("good"),
-        },
-        "budgetAndBidding": {
-            "budgetUtilization": F.when(budget, "budget_limited"),
-            "bidAdjustments": F.when(mentions(low, ["auto", "suggest"]), _texts("enable_auto_bidding")).otherwise(
-                F.array().cast("array<string>")
-            ),
-        },
-        "callAnalysis": {
-            "primaryTopics": F.array(
-                F.when(roas, "Performance Metrics").otherwise("Budget Optimization"),
-                F.lit("Campaign Structure"),
-            ),
-            "primaryTopicSentiment": mood,
-            "secondaryTopics": _texts("Targeting Issues"),
-            "resolutionType": F.lit("partial"),
-            "overallSentiment": mood,
-            "customerExperience": F.lit("intermediate"),
-            "urgencyLevel": F.when(mentions(low, V.RULE_URGENT), "high").otherwise("medium"),
-            "currentIssue": F.when(roas, "below_target_roas"),
-            "resolutionSummary": F.lit("Discussed optimization strategies"),
-        },
-        "actionItems": {
-            "immediateActions": _texts("review_bids", "check_targeting"),
-            "bidOptimizations": _texts("enable_auto_bidding"),
-            "nextSteps": _texts("follow_up_in_1_week"),
-        },
-        "complaintAnalysis": {
-            "complaintKeywords": F.when(roas, _texts("below_target_roas")).otherwise(F.array().cast("array<string>")),
-            "programMentioned": F.when(mentions(low, V.RULE_COMPETITORS), "Google Ads"),
-            "complaintSeverity": F.lit("medium"),
-        },
-        "featureAdaptability": {
-            "knownFeatures": _texts("auto_bidding"),
-            "discussedFeatures": _texts("target_roas"),
-            "featureAdaptability": F.lit("intermediate"),
-        },
-        "performanceMetricsSentiment": {
-            "roasSentiment": on_roas,
-            "cpcSentiment": on_cpc,
-            "targetingClausesSentiment": neutral,
-            "biddingStrategiesSentiment": neutral,
-            "roasSentimentAdvertiser": on_roas,
-            "cpcSentimentAdvertiser": on_cpc,
-            "targetingClausesSentimentAdvertiser": neutral,
-            "advertiserPerception": mood,
-        },
-    }
+    spec: dict[str, dict[str, Column]] = {}
+    for path, (cases, otherwise) in rules.items():
+        category, field = path.split(".")
+        spec.setdefault(category, {})[field] = _decided(low, INSIGHT_TYPE[category].dataType[field].dataType, cases, otherwise)
     return _typed_struct(spec, INSIGHT_TYPE)
 
 

@@ -53,6 +53,21 @@ RULE_POSITIVE = ["great", "excellent", "success", "happy"]
 RULE_NEGATIVE = ["issue", "problem", "frustrated", "fail"]
 RULE_URGENT = ["issue", "problem", "fail"]
 RULE_COMPETITORS = ["google", "meta", "microsoft"]
+# Field -> (terms -> value in the order of testing, value without any of them).
+INSIGHT_RULES = {
+    "callAnalysis.overallSentiment": ([(RULE_POSITIVE, "positive"), (RULE_NEGATIVE, "negative")], "neutral"),
+    "callAnalysis.urgencyLevel": ([(RULE_URGENT, "high")], "medium"),
+    "callAnalysis.primaryTopics": ([(["roas"], "Performance Metrics")], "Budget Optimization"),
+    "callAnalysis.currentIssue": ([(["roas"], "below_target_roas")], None),
+    "campaignScale.scaleIssuesReported": ([(["budget"], True)], False),
+    "campaignScale.scalePerception": ([(["budget"], "limited")], "good"),
+    "budgetAndBidding.budgetUtilization": ([(["budget"], "budget_limited")], None),
+    "budgetAndBidding.bidAdjustments": ([(["auto", "suggest"], "enable_auto_bidding")], None),
+    "complaintAnalysis.complaintKeywords": ([(["roas"], "below_target_roas")], None),
+    "complaintAnalysis.programMentioned": ([(RULE_COMPETITORS, "Google Ads")], None),
+    "performanceMetricsSentiment.roasSentiment": ([(["roas"], "negative")], "neutral"),
+    "performanceMetricsSentiment.cpcSentiment": ([(["cpc"], "negative")], "neutral"),
+}
 
 # Suggestions, in listing order: terms sought in the joined concerns -> advice.
 SUGGESTIONS = [
