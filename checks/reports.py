@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from checks.views import INS, KW, LG, ins, insight_table, keyword_table, lg
+from checks.views import INS, KW, LG, ins, insight_catalog, lg
 from parley.operators import filters
 from parley.plans import reports
 
 YEAR, MONTH = 1997, 6
 
 
-def _report(spark, sf, name, view, build, month=MONTH):
-    build(spark, sf).createOrReplaceTempView(view)
-    return reports.run_report(spark, name, view, YEAR, month)
+def _report(spark, sf, name, month=MONTH):
+    return reports.run_report(spark, name, insight_catalog(spark, sf), YEAR, month)
 
 
 @check(
@@ -25,7 +24,7 @@ def _report(spark, sf, name, view, build, month=MONTH):
         FROM ins WHERE year = {YEAR} AND month = {MONTH} GROUP BY ALL""",
 )
 def daily_sentiment_trend(spark, sf):
-    return _report(spark, sf, "daily_sentiment_trend", "insights_daily", insight_table)
+    return _report(spark, sf, "daily_sentiment_trend")
 
 
 @check(
@@ -37,7 +36,7 @@ def daily_sentiment_trend(spark, sf):
         FROM m GROUP BY keyword ORDER BY frequency DESC, keyword LIMIT 20""",
 )
 def top_complaint_keywords(spark, sf):
-    return _report(spark, sf, "top_complaint_keywords", "insights_keywords", keyword_table)
+    return _report(spark, sf, "top_complaint_keywords")
 
 
 @check(
@@ -47,7 +46,7 @@ def top_complaint_keywords(spark, sf):
         FROM ins WHERE year = {YEAR} AND month = {MONTH} GROUP BY campaign_type, sentiment""",
 )
 def campaign_type_sentiment(spark, sf):
-    return _report(spark, sf, "campaign_type_sentiment", "insights_campaign", insight_table)
+    return _report(spark, sf, "campaign_type_sentiment")
 
 
 @check(
@@ -58,7 +57,7 @@ def campaign_type_sentiment(spark, sf):
         ORDER BY calls DESC, advertiser_id, roas_sent_rep, roas_sent_advertiser, advertiser_perception NULLS FIRST LIMIT 50""",
 )
 def roas_by_advertiser(spark, sf):
-    return _report(spark, sf, "roas_sentiment_by_advertiser", "insights_roas", insight_table)
+    return _report(spark, sf, "roas_sentiment_by_advertiser")
 
 
 @check(
@@ -70,7 +69,7 @@ def roas_by_advertiser(spark, sf):
           AS high_urgency_pct FROM ins WHERE year = {YEAR} GROUP BY ALL""",
 )
 def urgency_escalation(spark, sf):
-    return _report(spark, sf, "urgency_escalation_rate", "insights_urgency", insight_table, None)
+    return _report(spark, sf, "urgency_escalation_rate", None)
 
 
 @check(
@@ -78,10 +77,23 @@ def urgency_escalation(spark, sf):
     f"""WITH {INS} SELECT CAST(max(call_date) AS VARCHAR) AS last_day FROM ins WHERE year = {YEAR} AND month = {MONTH}""",
 )
 def freshness(spark, sf):
-    df = reports.latest_partition(insight_table(spark, sf), YEAR, MONTH)
+    df = reports.latest_partition(spark.table(insight_catalog(spark, sf)), YEAR, MONTH)
     return df.select(F.col("last_day").cast("string").alias("last_day"))
 
 
+@check(
+    "filter_period",
+    f"""WITH {INS} SELECT month, count(*) AS calls, count(*) FILTER (WHERE month = {MONTH}) AS calls_of_month
+        FROM ins WHERE year = {YEAR} GROUP BY month""",
+)
+def filter_period(spark, sf):
+    """Calls of a year by month, and those of a month by the narrower predicate."""
+    insights = spark.table(insight_catalog(spark, sf))
+    month = reports.in_period(insights, YEAR, MONTH).groupBy("month").agg(F.count(F.lit(1)).alias("calls_of_month"))
+    year = reports.in_period(insights, YEAR).groupBy("month").agg(F.count(F.lit(1)).alias("calls"))
+    return year.join(month, "month", "left").select("month", "calls", F.coalesce("calls_of_month", F.lit(0)).alias("calls_of_month"))
+
+
 @check(
     "report_freshness_hours",
     f"""WITH {LG} SELECT CAST(max(ts) AS DATE)::VARCHAR AS last_day,

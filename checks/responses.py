@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.features import _any
@@ -11,6 +13,8 @@ from parley.functions import responses as R
 from parley.functions import vocabulary as V
 from parley.functions.rules import derived_fields
 from parley.plans import scoring as S
+from parley.plans.insights import run_insights
+from parley.settings import work_folder
 
 FENCE = "```"
 NESTED = (
@@ -125,29 +129,30 @@ def val_quarantine(spark, sf):
 
 
 def _sample_scorer():
-    """A scorer that answers by the first word of the transcript, as a closure for the workers."""
+    """A scorer of batches that answers by the first word of each transcript, as a closure for the workers."""
 
-    def score(prompt: str) -> str:
+    def answer(prompt: str) -> str | Exception:
         head = prompt.rsplit("Conversation:\n", 1)[1]
         retried = "<previous_response>" in prompt
         if head.startswith("case0 ") and not retried:
             return "no JSON here"
         if head.startswith("case1 "):
-            raise RuntimeError("service is down")
+            return RuntimeError("service is down")
         if head.startswith("case2 "):
             return '{"callAnalysis":{}}'
         mood = "positive" if "great" in head else "negative"
         return '{"callAnalysis":{"primaryTopics":["t"],"overallSentiment":"%s","urgencyLevel":"high"}}' % mood
 
-    return score
+    return lambda prompts: [answer(p) for p in prompts]
+
+
+def _numbered(spark, sf):
+    case = F.concat(F.lit("case"), (F.col("o_orderkey") % 6).cast("string"), F.lit(" "), F.col("transcript"))
+    return calls(spark, sf).withColumn("transcript", case)
 
 
 def _scored(spark, sf):
-    numbered = calls(spark, sf).withColumn(
-        "transcript",
-        F.concat(F.lit("case"), (F.col("o_orderkey") % 6).cast("string"), F.lit(" "), F.col("transcript")),
-    )
-    return S.score_calls(numbered, _sample_scorer())
+    return S.score_calls(_numbered(spark, sf), _sample_scorer())
 
 
 @check(
@@ -172,6 +177,57 @@ def score_calls(spark, sf):
     )
 
 
+@check(
+    "score_default",
+    f"""WITH {CALLS}, c AS (SELECT o_orderkey, lower(transcript) AS low FROM calls)
+        SELECT o_orderkey, CAST(1 AS INT) AS attempts, 0.0::DOUBLE AS latency_seconds, true AS success, '' AS error, '-' AS last_exception,
+          false AS fallback_used, CASE WHEN {_any('low', ['great', 'excellent', 'success', 'happy'])} THEN 'positive'
+            WHEN {_any('low', ['issue', 'problem', 'frustrated', 'fail'])} THEN 'negative' ELSE 'neutral' END AS sentiment,
+          CASE WHEN {_any('low', ['issue', 'problem', 'fail'])} THEN 'high' ELSE 'medium' END AS urgency FROM c""",
+)
+def score_default(spark, sf):
+    """The full output of the default scorer; the labels are read from the response text."""
+    return S.score_by_rules(calls(spark, sf)).select(
+        "o_orderkey",
+        "attempts",
+        "latency_seconds",
+        "success",
+        "error",
+        F.coalesce("last_exception", F.lit("-")).alias("last_exception"),
+        "fallback_used",
+        F.get_json_object("response", "$.callAnalysis.overallSentiment").alias("sentiment"),
+        F.get_json_object("response", "$.callAnalysis.urgencyLevel").alias("urgency"),
+    )
+
+
+@check(
+    "insights_run",
+    f"""WITH {CALLS} SELECT CAST(o_orderdate AS DATE)::VARCHAR AS call_date, count(*) AS scored,
+          count(*) FILTER (WHERE o_orderkey % 6 NOT IN (1, 2)) AS published,
+          count(*) FILTER (WHERE o_orderkey % 6 NOT IN (1, 2) AND contains(transcript, 'great')) AS positive
+        FROM calls JOIN orders USING (o_orderkey) WHERE year(o_orderdate) = 1997 AND month(o_orderdate) <= 3 GROUP BY 1""",
+)
+def insights_run(spark, sf):
+    """A quarter's calls scored, published and read back by day; run twice, with the second run in place of the first."""
+    name, folder = f"insights_{uuid.uuid4().hex[:12]}", work_folder(spark, "insights")
+    days = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("call_date"))
+    quarter = days.where("year(call_date) = 1997 AND month(call_date) <= 3")
+    for _ in range(2):
+        scored = run_insights(_numbered(spark, sf).join(quarter, "o_orderkey"), name, folder, "2024-01-31", _sample_scorer())
+    day = F.make_date("year", "month", "day")
+    good = F.count_if(F.col("callanalysis_overallsentiment") == "positive")
+    found = spark.table(name).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("published"), good.alias("positive"))
+    all_calls = scored.groupBy("call_date").agg(F.count(F.lit(1)).alias("scored"))
+    joined = all_calls.join(found, F.col("call_date") == F.col("day"), "left")
+    zero = F.lit(0).cast("long")
+    return joined.select(
+        F.col("call_date").cast("string").alias("call_date"),
+        "scored",
+        F.coalesce("published", zero).alias("published"),
+        F.coalesce("positive", zero).alias("positive"),
+    )
+
+
 @check(
     "score_fallback",
     f"""SELECT o_orderkey, o_orderkey % 7 = 0 AS fallback_used,

@@ -8,9 +8,14 @@ metadata per customer, in two versions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.functions.rules import empty_insight_with
+from parley.plans.insights import publish_insights
+from parley.settings import work_folder
 
 KEYWORDS = {"R": "below_target_roas", "A": "high_cpc"}
 KEYWORD_ELSE = "budget_exhaustion"
@@ -141,28 +146,40 @@ def insights_with_lists(spark: SparkSession, sf: str) -> DataFrame:
     return base.join(both, "o_orderkey", "left")
 
 
-def insight_table(spark: SparkSession, sf: str) -> DataFrame:
-    """``ins`` under the flat column names of the stored insights table."""
-    return ins(spark, sf).select(
-        "conversation_id",
-        "advertiser_id",
-        F.col("sentiment").alias("callanalysis_overallsentiment"),
-        F.col("urgency").alias("callanalysis_urgencylevel"),
-        F.col("campaign_type").alias("campaignstructure_primarycampaigntype"),
-        F.col("roas_sentiment").alias("performancemetricssentiment_roassentiment"),
-        F.col("sentiment").alias("performancemetricssentiment_roassentimentadvertiser"),
-        F.col("urgency").alias("performancemetricssentiment_advertiserperception"),
-        "year",
-        "month",
-        "day",
-    )
-
-
-def keyword_table(spark: SparkSession, sf: str) -> DataFrame:
-    base = ins(spark, sf).select("o_orderkey", "year", "month", "day")
-    return base.join(keywords(spark, sf), base.o_orderkey == F.col("l_orderkey"), "left").select(
-        "year", "month", "day", F.col("keywords").alias("complaintanalysis_complaintkeywords")
-    )
+_CATALOG: dict[tuple[str, str], str] = {}
+
+
+def insight_records(spark: SparkSession, sf: str) -> DataFrame:
+    """``ins`` as nested insight records, with complaint keywords."""
+    none = F.array().cast("array<string>")
+    spec = {
+        "callAnalysis": {"overallSentiment": F.col("sentiment"), "urgencyLevel": F.col("urgency"), "resolutionType": F.col("resolution_type")},
+        "campaignStructure": {"primaryCampaignType": F.col("campaign_type")},
+        "complaintAnalysis": {"complaintKeywords": F.coalesce("keywords", none)},
+        "performanceMetricsSentiment": {
+            "roasSentiment": F.col("roas_sentiment"),
+            "roasSentimentAdvertiser": F.col("sentiment"),
+            "advertiserPerception": F.col("urgency"),
+        },
+    }
+    base = insights_with_lists(spark, sf)
+    return base.select("conversation_id", "advertiser_id", "call_date", empty_insight_with(spec).alias("insight"))
+
+
+def insight_catalog(spark: SparkSession, sf: str) -> str:
+    """Name of the catalog table of ``insight_records``, partitioned by day; published once per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CATALOG:
+        name = f"insights_{uuid.uuid4().hex[:12]}"
+        rows = insight_records(spark, sf)
+        # seven years of days hold so few rows here that one task would write all of their files
+        small = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+        before = spark.conf.get(small)
+        spark.conf.set(small, "1k")
+        publish_insights(rows, name, work_folder(spark, "insights"), F.col("call_date"), keep=["conversation_id", "advertiser_id"])
+        spark.conf.set(small, before)
+        _CATALOG[key] = name
+    return _CATALOG[key]
 
 
 def lg(spark: SparkSession, sf: str) -> DataFrame:

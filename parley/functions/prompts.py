@@ -62,13 +62,22 @@ def full_prompt(text: Column, max_chars: int | None = None) -> Column:
     return F.concat(F.lit(head), _shown(text, max_chars))
 
 
+#: What is put before the prompt after a refused answer: the answer and the reason.
+RETRY_HEADER = (
+    "Your last answer <previous_response>{answer}</previous_response> was refused because: "
+    "<invalid_reason>{reason}</invalid_reason>. Answer again and follow the instructions exactly. "
+)
+
+
 def retry_prompt(prompt: Column, previous: Column, reason: Column) -> Column:
     """The earlier answer and why it was refused, then the prompt again."""
-    return F.concat(
-        F.lit("Your last answer <previous_response>"),
-        previous,
-        F.lit("</previous_response> was refused because: <invalid_reason>"),
-        reason,
-        F.lit("</invalid_reason>. Answer again and follow the instructions exactly. "),
-        prompt,
-    )
+    head, rest = RETRY_HEADER.split("{answer}")
+    middle, tail = rest.split("{reason}")
+    return F.concat(F.lit(head), previous, F.lit(middle), reason, F.lit(tail), prompt)
+
+
+def retry_text(prompt: str, previous: str, reason: str) -> str:
+    """The same for one prompt in a task."""
+    head, rest = RETRY_HEADER.split("{answer}")
+    middle, tail = rest.split("{reason}")
+    return f"{head}{previous}{middle}{reason}{tail}{prompt}"

@@ -75,10 +75,15 @@ def run_report(spark: SparkSession, name: str, table: str, year: int, month: int
     return spark.sql(sql, args=args)
 
 
+def in_period(insights: DataFrame, year: int, month: int | None = None) -> DataFrame:
+    """Rows of a year or a month, by the raw partition columns: other partitions are not even listed for the scan."""
+    rows = insights.where(F.col("year") == year)
+    return rows if month is None else rows.where(F.col("month") == month)
+
+
 def latest_partition(insights: DataFrame, year: int, month: int) -> DataFrame:
-    """Last day that has data in a month; partition columns only, so no data column is read."""
-    day = F.make_date("year", "month", "day")
-    return insights.where((F.col("year") == year) & (F.col("month") == month)).agg(F.max(day).alias("last_day"))
+    """Last day that has data in a month. Partition values alone: of a partitioned table no column is read."""
+    return in_period(insights, year, month).agg(F.max(F.make_date("year", "month", "day")).alias("last_day"))
 
 
 def freshness_hours(df: DataFrame, ts: str, now: Column) -> DataFrame:
