@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks.registry import check
-from checks.views import CALLS, LG, calls, docs, ins, lg, meta, table
+from checks.views import CALLS, LG, calls, docs, ins, insight_catalog, lg, meta, table
 from checks.views import INS, META
 from parley.functions.rules import rule_insight
 from parley.plans.daily import run_day
@@ -16,7 +16,7 @@ from parley.plans.features import feature_record
 from parley.plans.rollup import rollup
 from parley.settings import work_folder
 from parley.sources import landing, tables
-from parley.sources.calls import read_call_exports, read_metadata, typed_calls
+from parley.sources.calls import read_call_exports, read_metadata, read_split, split_exports, typed_calls
 from parley.sources.metrics import CALL_METRICS, metric_rows, write_metrics, write_with_run_metrics
 
 
@@ -37,10 +37,32 @@ _MARKET = "CASE WHEN doc_id % 7 <> 0 THEN CASE doc_id % 3 WHEN 0 THEN 'US' WHEN
         md5(text) AS transcript FROM documents WHERE doc_id % 17 <> 0""",
 )
 def source_call_exports(spark, sf):
+    read = read_call_exports(spark, _exports(spark, sf))
+    return read.select("conversation_id", "duration_seconds", F.md5("transcript").alias("transcript"))
+
+
+@check(
+    "source_bad_lines",
+    """SELECT concat('{"conversation_id": "broken ', CAST(doc_id AS VARCHAR)) AS line, CAST(1 AS BIGINT) AS n,
+        (SELECT count(*) FROM documents WHERE doc_id % 17 <> 0) AS calls, (SELECT count(*) FROM documents WHERE doc_id % 17 = 0) AS broken,
+        true AS same_rows FROM documents WHERE doc_id % 17 = 0""",
+)
+def source_bad_lines(spark, sf):
+    """Calls and broken lines of one scan; the counts are those of the write."""
+    out = work_folder(spark, "split")
+    counts = split_exports(spark, _exports(spark, sf), out)
+    good, bad = read_split(spark, out)
+    same = good.agg((F.count(F.lit(1)) == counts["calls"]).alias("same")).scalar()
+    return bad.where(F.col("file").endswith(".gz")).select(
+        "line", "n", *[F.lit(counts[c]).cast("long").alias(c) for c in ("calls", "broken")], same.alias("same_rows")
+    )
+
+
+def _exports(spark, sf):
     """Gzipped JSON lines with broken and blank lines in between, and a directory of plain files."""
     folder = work_folder(spark, "exports")
     lines = _as_calls(spark, sf).select(
-        F.when(F.col("doc_id") % 17 == 0, F.lit('{"conversation_id": "broken'))
+        F.when(F.col("doc_id") % 17 == 0, F.concat(F.lit('{"conversation_id": "broken '), F.col("doc_id").cast("string")))
         .otherwise(
             F.to_json(F.struct("conversation_id", "duration_seconds", "participants", "transcript", "marketplace_id"))
         )
@@ -50,8 +72,7 @@ def source_call_exports(spark, sf):
     text = lines.select(F.explode(F.array_compact(F.array("value", "blank"))).alias("value")).hint("rebalance")
     text.write.option("compression", "gzip").text(f"{folder}/part=gz")
     text.write.text(f"{folder}/part=plain")
-    read = read_call_exports(spark, folder)
-    return read.select("conversation_id", "duration_seconds", F.md5("transcript").alias("transcript"))
+    return folder
 
 
 @check(
@@ -189,6 +210,19 @@ def table_flatten_insights(spark, sf):
     )
 
 
+@check(
+    "table_columns",
+    """SELECT * FROM (VALUES ('advertiser_id', 'string', false), ('year', 'int', true),
+        ('month', 'int', true), ('day', 'int', true), ('callanalysis_primarytopics', 'array<string>', false),
+        ('campaignscale_scaleissuesreported', 'boolean', false), ('budgetandbidding_dailybudget', 'double', false))
+        AS t(name, type, is_partition)""",
+)
+def table_columns(spark, sf):
+    """Names, types and partition flags of the registered insights table, one column of each kind."""
+    kinds = ["advertiser_id", "year", "month", "day", "callanalysis_primarytopics", "campaignscale_scaleissuesreported", "budgetandbidding_dailybudget"]
+    return tables.table_columns(spark, insight_catalog(spark, sf)).where(F.col("name").isin(kinds))
+
+
 @check(
     "table_rollup_sink",
     f"""WITH {CALLS}, d AS (SELECT unnest(['2024-01-30', '2024-01-31']) AS rollup_date)
@@ -223,15 +257,17 @@ def metrics_sink(spark, sf):
     )
 
 
-@check("run_metrics", "SELECT count(*) AS record_count, count(*) AS rows_written, true AS took_time FROM orders")
+@check("run_metrics", "SELECT count(*) AS record_count, count(*) AS rows_written, true AS took_time, true AS same_partitions FROM orders")
 def run_metrics(spark, sf):
     """Record count of a feature run, taken while it writes."""
     folder = work_folder(spark, "run")
-    m = write_with_run_metrics(feature_record(calls(spark, sf), 0), folder)
-    return spark.read.parquet(folder).agg(
+    m = write_with_run_metrics(feature_record(calls(spark, sf), 0).repartition(5), folder)
+    return spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("file")).agg(
         F.lit(m["record_count"]).cast("bigint").alias("record_count"),
         F.count(F.lit(1)).alias("rows_written"),
         F.lit(m["elapsed_seconds"] > 0).alias("took_time"),
+        # a partition with rows writes a file, and here every one has rows
+        (F.count_distinct("file") == m["partition_count"]).alias("same_partitions"),
     )
 
 

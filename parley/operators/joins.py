@@ -23,34 +23,41 @@ def latest_by_key(df: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
     )
 
 
-def enrich_calls(
-    calls: DataFrame, metadata: DataFrame, version: Sequence[str], key: str = "conversation_id"
+# Account columns of an enriched call, and what stands in for a missing one.
+ACCOUNT_DEFAULTS = {"account_name": "", "opportunity_stage": "", "marketplace_id": "US", "advertiser_tier": "standard"}
+
+
+def with_accounts(
+    rows: DataFrame, metadata: DataFrame, version: Sequence[str], key: str = "conversation_id"
 ) -> DataFrame:
-    """Calls that have metadata, with decoded text and the account columns.
+    """Rows that have metadata, with the account columns of its last version in place of their own.
 
-    No broadcast is forced: the metadata grows with the calls, so Spark decides by size, and AQE
-    splits a hot key of the sort-merge join.
+    No broadcast is forced: the metadata grows with the calls, so Spark decides by size, and AQE splits a hot key
+    of the sort-merge join. What ``rows`` holds is what is shuffled: drop the text first. If both sides are stored
+    in buckets of the key (``tables.write_buckets``), nothing is shuffled at all.
     """
-    defaults = {
-        "account_name": "",
-        "opportunity_stage": "",
-        "marketplace_id": "US",
-        "advertiser_tier": "standard",
-    }
-    wanted = [c for c in defaults if c in metadata.columns]
+    wanted = [c for c in ACCOUNT_DEFAULTS if c in metadata.columns]
     right = latest_by_key(metadata.select(key, *wanted, *[v for v in version if v not in wanted]), key, version)
-    joined = calls.drop(*defaults).join(right.select(key, *wanted), key, "inner")
-    added = {
-        name: F.coalesce(F.col(name), F.lit(value)) if name in wanted else F.lit(value)
-        for name, value in defaults.items()
-    }
-    if "participants" in calls.columns:
-        added["participant_count"] = F.size(F.coalesce("participants", F.array()))
+    joined = rows.drop(*ACCOUNT_DEFAULTS).join(right.select(key, *wanted), key, "inner")
     return joined.withColumns(
-        {**added, "transcript": decode_entities(F.coalesce("transcript", F.lit(""))), "ingestion_enriched": F.lit(True)}
+        {
+            name: F.coalesce(F.col(name), F.lit(value)) if name in wanted else F.lit(value)
+            for name, value in ACCOUNT_DEFAULTS.items()
+        }
     )
 
 
+def enrich_calls(
+    calls: DataFrame, metadata: DataFrame, version: Sequence[str], key: str = "conversation_id"
+) -> DataFrame:
+    """Whole calls that have metadata, with decoded text and the account columns; the text goes through the join."""
+    joined = with_accounts(calls, metadata, version, key)
+    added = {"transcript": decode_entities(F.coalesce("transcript", F.lit(""))), "ingestion_enriched": F.lit(True)}
+    if "participants" in calls.columns:
+        added["participant_count"] = F.size(F.coalesce("participants", F.array()))
+    return joined.withColumns(added)
+
+
 def lookup_bucket(key: Column, buckets: int = LOOKUP_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets))
 

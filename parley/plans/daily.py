@@ -1,4 +1,4 @@
-"""The daily job: enriched calls -> feature table -> rollup table, both by date."""
+"""The daily job: calls -> features with account columns -> feature table -> rollup table, both by date."""
 
 from __future__ import annotations
 
@@ -7,12 +7,28 @@ import time
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from parley.operators.joins import enrich_calls, lookup_bucket, lookup_dimension
+from parley.functions.text import decode_entities
+from parley.operators.joins import lookup_bucket, lookup_dimension, with_accounts
 from parley.plans.features import feature_record
 from parley.plans.rollup import rollup
 from parley.sources.tables import DATE_PARTS, write_partitions, write_rollup
 
-ACCOUNT_COLUMNS = ("advertiser_id", "account_name", "opportunity_stage", "marketplace_id")
+def day_features(
+    calls: DataFrame,
+    metadata: DataFrame,
+    dimension: DataFrame,
+    run_millis: int | None = None,
+    version: tuple[str, ...] = ("version",),
+) -> DataFrame:
+    """Features of the calls that have metadata, with the account columns and the looked-up dimension.
+
+    Features come before the join: a transcript is read once, in the task that scans it, and only narrow rows are
+    joined. The lookup takes the advertiser's tier from the dimension.
+    """
+    text = calls.withColumn("transcript", decode_entities(F.coalesce("transcript", F.lit(""))))
+    features = feature_record(text, run_millis, keep=("conversation_id", "advertiser_id"))
+    joined = with_accounts(features, metadata, version).drop("advertiser_tier")
+    return lookup_dimension(joined, dimension, lookup_bucket(F.col("conversation_id")), version)
 
 
 def run_day(
@@ -31,9 +47,7 @@ def run_day(
     costs no more than its own tasks. The record count rides on the write.
     """
     start = time.perf_counter()
-    enriched = enrich_calls(calls, metadata, version)
-    features = feature_record(enriched, run_millis, keep=ACCOUNT_COLUMNS)
-    features = lookup_dimension(features, dimension, lookup_bucket(F.col("metadata.conversation_id")), version)
+    features = day_features(calls, metadata, dimension, run_millis, version)
     day = F.lit(run_date).cast("date")
     dated = features.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
     seen = Observation()

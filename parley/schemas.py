@@ -164,7 +164,7 @@ METADATA_TYPE = T.StructType(
             "opportunity_stage",
             "marketplace_id",
             "advertiser_tier",
-            "salesforce_id",
+            "account_record_id",
             "industry_vertical",
         )
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +29,38 @@ def bad_lines(spark: SparkSession, path: str, schema: T.StructType = CALL_TYPE)
     return _parsed(spark, path, schema).where("call._broken IS NOT NULL").select("file", F.col("value").alias("line"))
 
 
+def split_exports(spark: SparkSession, path: str, out: str, schema: T.StructType = CALL_TYPE) -> dict[str, int]:
+    """Write the calls and the broken lines of exports in one scan; gives ``{"calls": n, "broken": n}``.
+
+    Under ``out``, ``broken=false`` holds the calls in ``call`` and ``broken=true`` the quarantine, each with its
+    file and line. The counts ride on the write, and a re-run replaces both.
+    """
+    seen = Observation()
+    rows = _parsed(spark, path, schema).withColumn("broken", F.col("call._broken").isNotNull())
+    rows = rows.select(
+        "file",
+        F.when(F.col("broken"), F.col("value")).alias("line"),
+        F.when(~F.col("broken"), F.struct(*[F.col(f"call.`{f.name}`") for f in schema.fields])).alias("call"),
+        "broken",
+    )
+    counted = rows.observe(seen, F.count_if(~F.col("broken")).alias("calls"), F.count_if("broken").alias("broken"))
+    counted.write.partitionBy("broken").mode("overwrite").parquet(out)
+    return {name: int(seen.get[name]) for name in ("calls", "broken")}
+
+
+def read_split(spark: SparkSession, out: str, schema: T.StructType = CALL_TYPE) -> tuple[DataFrame, DataFrame]:
+    """Calls, and broken lines with their number per file and line, of what ``split_exports`` wrote."""
+    stored = T.StructType([T.StructField("file", T.StringType()), T.StructField("line", T.StringType()), T.StructField("call", schema), T.StructField("broken", T.BooleanType())])
+    rows = spark.read.schema(stored).parquet(out)
+    broken = rows.where("broken").groupBy("file", "line").agg(F.count(F.lit(1)).alias("n"))
+    return rows.where("NOT broken").select("call.*"), broken
+
+
 def read_metadata(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    return spark.read.schema(METADATA_TYPE).format(fmt).load(path)
+    """Account rows with ``version``, their order: time of the file, file, place in it. The last one of a key counts."""
+    rows = spark.read.schema(METADATA_TYPE).format(fmt).load(path)
+    place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "file_block_start")]
+    return rows.select("*", F.struct(*place, F.monotonically_increasing_id().alias("line")).alias("version"))
 
 
 def typed_calls(df: DataFrame, date_column: str = "call_date") -> DataFrame:

@@ -50,14 +50,19 @@ def write_metrics(rows: DataFrame, path: str) -> None:
 
 
 def write_with_run_metrics(df: DataFrame, path: str) -> dict:
-    """Write once and report rows, seconds and settings; the count rides on the same job."""
+    """Write once and report rows, partitions up to the last that has rows, seconds and settings.
+
+    The counts ride on the same job.
+    """
     spark: SparkSession = df.sparkSession
     seen = Observation()
     start = time.perf_counter()
-    df.observe(seen, F.count(F.lit(1)).alias("records")).write.mode("overwrite").parquet(path)
+    counts = [F.count(F.lit(1)).alias("records"), F.max(F.spark_partition_id()).alias("last")]
+    df.observe(seen, *counts).write.mode("overwrite").parquet(path)
     return {
         "record_count": int(seen.get["records"]),
         "elapsed_seconds": time.perf_counter() - start,
+        "partition_count": 0 if seen.get["last"] is None else int(seen.get["last"]) + 1,
         "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "adaptive": spark.conf.get("spark.sql.adaptive.enabled") == "true",
         "skew_join": spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true",

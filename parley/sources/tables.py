@@ -31,6 +31,16 @@ def write_rollup(df: DataFrame, path: str) -> None:
     write_partitions(df, path, ["rollup_date"])
 
 
+def write_buckets(df: DataFrame, name: str, key: str, buckets: int, path: str) -> None:
+    """A table stored in buckets of ``key``: joins and aggregates on the key read it without a shuffle.
+
+    Both sides of a join need the same number of buckets. Each task writes a file for every bucket it has rows of,
+    so rows are brought together by key first.
+    """
+    together = df.repartition(buckets, key)
+    together.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").option("path", path).saveAsTable(name)
+
+
 def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType, partitions: Sequence[str] = DATE_PARTS
 ) -> None:

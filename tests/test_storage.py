@@ -94,3 +94,85 @@ def test_replayed_ingest_lands_every_call_once(spark, tmp_path):
         stream = ingest.file_stream(spark, str(tmp_path / "in"), calls.schema)
         ingest.ingest_calls(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
+def exchanged(df):
+    """Column names that go through a shuffle or a broadcast anywhere in the plan."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    blocks = [b for b in plan.split("\n\n") if " Exchange\n" in b or "BroadcastExchange\n" in b]
+    return blocks, {name.split("#")[0].strip(" []") for b in blocks for line in b.split("\n") if line.startswith("Input") for name in line.split(":", 1)[1].split(",")}
+
+
+@pytest.fixture
+def day(spark):
+    calls = spark.range(300).select(
+        F.concat(F.lit("c"), F.col("id")).alias("conversation_id"),
+        F.concat(F.lit("a"), F.col("id") % 7).alias("advertiser_id"),
+        F.concat(F.lit("a great budget &amp; roas call "), F.col("id")).alias("transcript"),
+        F.lit(5).alias("duration_seconds"),
+    )
+    meta = spark.range(600).select(
+        F.concat(F.lit("c"), F.col("id") % 200).alias("conversation_id"), F.col("id").cast("string").alias("account_name"), F.col("id").alias("version")
+    )
+    dim = spark.range(50).select(F.col("id").alias("bucket"), F.lit("v").alias("vertical"), F.lit("t").alias("tier"), F.lit(1).alias("version"))
+    return calls, meta, dim
+
+
+def test_no_transcript_is_shuffled_by_the_daily_job(spark, day):
+    from parley.operators.joins import enrich_calls
+    from parley.plans.daily import day_features
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = day_features(*day, 0)
+    blocks, names = exchanged(rows)
+    whole = exchanged(enrich_calls(day[0], day[1], ["version"]))[1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert blocks and "conversation_id" in names and "transcript" not in names and "transcript" in whole
+    found = {r.conversation_id: r.account_name for r in rows.select("conversation_id", "account_name").collect()}
+    assert found == {f"c{i}": str(400 + i) for i in range(200)}
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, day, tmp_path):
+    from parley.operators.joins import with_accounts
+    from parley.plans.features import feature_record
+
+    for name, df in zip(("calls_bucketed", "meta_bucketed"), day, strict=False):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.write_buckets(df, name, "conversation_id", 4, str(tmp_path / name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    features = feature_record(spark.table("calls_bucketed"), 0, keep=("conversation_id", "advertiser_id"))
+    joined = with_accounts(features, spark.table("meta_bucketed"), ["version"])
+    blocks, _ = exchanged(joined)
+    rows = {r.conversation_id: r.account_name for r in joined.select("conversation_id", "account_name").collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not blocks and rows == {f"c{i}": str(400 + i) for i in range(200)}
+
+
+def test_the_last_metadata_row_counts(spark, tmp_path):
+    from parley.operators.joins import latest_by_key
+    from parley.sources.calls import read_metadata
+
+    line = '{"conversation_id": "%s", "account_name": "%s"}\n'
+    (tmp_path / "b.json").write_text(line % ("x", "first") + line % ("x", "second") + line % ("y", "old"))
+    import os
+
+    os.utime(tmp_path / "b.json", (1_600_000_000, 1_600_000_000))
+    (tmp_path / "a.json").write_text(line % ("y", "new"))
+    latest = latest_by_key(read_metadata(spark, str(tmp_path)), "conversation_id", ["version"])
+    assert {r.conversation_id: r.account_name for r in latest.collect()} == {"x": "second", "y": "new"}
+
+
+def test_one_scan_gives_calls_and_quarantine(spark, tmp_path):
+    from parley.sources.calls import read_split, split_exports
+
+    good, bad = '{"conversation_id": "c%d", "duration_seconds": 5}\n', "not json %d\n"
+    (tmp_path / "in").mkdir()
+    for f in range(3):
+        (tmp_path / "in" / f"{f}.gz").write_bytes(gzip.compress("".join([good % f, bad % f, "\n", bad % f]).encode()))
+    for _ in range(2):
+        assert split_exports(spark, str(tmp_path / "in"), str(tmp_path / "out")) == {"calls": 3, "broken": 6}
+    calls, broken = read_split(spark, str(tmp_path / "out"))
+    assert sorted(r.conversation_id for r in calls.collect()) == ["c0", "c1", "c2"]
+    assert sorted((r.file[-4:], r.line, r.n) for r in broken.collect()) == [(f"{f}.gz", f"not json {f}", 2) for f in range(3)]
