@@ -1,7 +1,6 @@
 """Streaming jobs over the events file, run to the end of the input and compared with batch SQL.
 
-In append mode a window is emitted once the watermark has passed its end; the SQL twins therefore
-leave out the windows that are still open at the end of the input.
+Windows and days that are open at the end of the input are closed there, so the twins have all of them.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ def _event_stream(spark, sf):
     )
 
 
-_MARK = "mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS w FROM lg)"
 _STAMP = "'%Y-%m-%d %H:%M:%S'"
 
 
@@ -39,13 +37,12 @@ def _stamp(column: str):
 
 @check(
     "stream_quality_windows",
-    f"""WITH {LG}, {_MARK}, b AS (SELECT time_bucket(INTERVAL '5 minutes', ts, TIMESTAMP '2024-01-01') AS s, count(*) AS calls,
+    f"""WITH {LG}, b AS (SELECT time_bucket(INTERVAL '5 minutes', ts, TIMESTAMP '2024-01-01') AS s, count(*) AS calls,
             count(*) FILTER (WHERE schema_valid) AS passed FROM lg GROUP BY 1)
-        SELECT strftime(s, {_STAMP}) AS window_start, calls, passed, round(passed::DOUBLE / calls, 6) AS quality_rate
-        FROM b, mark WHERE s + INTERVAL '5 minutes' <= w""",
+        SELECT strftime(s, {_STAMP}) AS window_start, calls, passed, round(passed::DOUBLE / calls, 6) AS quality_rate FROM b""",
 )
 def stream_quality_windows(spark, sf):
-    out = ingest.run_to_files(monitors.quality_windows(_event_stream(spark, sf)), work_folder(spark, "quality"))
+    out = ingest.run_to_end(_event_stream(spark, sf), monitors.quality_windows, work_folder(spark, "quality"))
     return out.select(
         _stamp("window_start").alias("window_start"), "calls", "passed", F.round("quality_rate", 6).alias("quality_rate")
     )
@@ -53,14 +50,13 @@ def stream_quality_windows(spark, sf):
 
 @check(
     "stream_team_load",
-    f"""WITH {LG}, {_MARK}, s AS (SELECT *, unnest(range(6)) AS i FROM lg),
+    f"""WITH {LG}, s AS (SELECT *, unnest(range(6)) AS i FROM lg),
         b AS (SELECT team, time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '2024-01-01') - i * INTERVAL '10 seconds' AS s,
                 sum(output_tokens) AS tokens, count(*) FILTER (WHERE failed) AS failures FROM s GROUP BY ALL)
-        SELECT team, strftime(s, {_STAMP}) AS window_start, CAST(coalesce(tokens, 0) AS BIGINT) AS tokens, failures
-        FROM b, mark WHERE s + INTERVAL '60 seconds' <= w""",
+        SELECT team, strftime(s, {_STAMP}) AS window_start, CAST(coalesce(tokens, 0) AS BIGINT) AS tokens, failures FROM b""",
 )
 def stream_team_load(spark, sf):
-    out = ingest.run_to_files(monitors.team_load(_event_stream(spark, sf)), work_folder(spark, "load"))
+    out = ingest.run_to_end(_event_stream(spark, sf), monitors.team_load, work_folder(spark, "load"))
     return out.select(
         "team", _stamp("window_start").alias("window_start"), F.coalesce("tokens", F.lit(0)).alias("tokens"), "failures"
     )
@@ -71,14 +67,12 @@ def stream_team_load(spark, sf):
     f"""WITH {LG}, f AS (SELECT team, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '1 hour' THEN 0 ELSE 1 END AS fresh
             FROM lg WHERE failed WINDOW w AS (PARTITION BY team ORDER BY ts)),
         g AS (SELECT *, sum(fresh) OVER (PARTITION BY team ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM f),
-        b AS (SELECT team, min(ts) AS s, max(ts) + INTERVAL '1 hour' AS e, count(*) AS failures FROM g GROUP BY team, id),
-        mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS w FROM f)
-        SELECT team, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(e, '%Y-%m-%d %H:%M:%S.%f') AS closes, failures FROM b, mark WHERE e <= w""",
+        b AS (SELECT team, min(ts) AS s, max(ts) + INTERVAL '1 hour' AS e, count(*) AS failures FROM g GROUP BY team, id)
+        SELECT team, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS started, strftime(e, '%Y-%m-%d %H:%M:%S.%f') AS closes, failures FROM b""",
 )
 def stream_incidents(spark, sf):
-    out = ingest.run_to_files(
-        monitors.incident_windows(_event_stream(spark, sf), gap="1 hour"), work_folder(spark, "incidents")
-    )
+    incidents = lambda log: monitors.incident_windows(log, gap="1 hour")
+    out = ingest.run_to_end(_event_stream(spark, sf), incidents, work_folder(spark, "incidents"), closing_values={"failed": True})
     return out.select(
         "team",
         F.date_format("started", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("started"),
@@ -94,11 +88,12 @@ def stream_incidents(spark, sf):
     ),
 )
 def stream_sentiment_alarm(spark, sf):
-    """Daily rates as files, one micro-batch; the state is carried in the alarm job."""
+    """Daily rates as eight files of mixed days, a micro-batch each; days wait in the state for their turn."""
     folder = work_folder(spark, "alarm")
-    daily_rates(spark, sf).write.parquet(f"{folder}/daily")
-    rates = ingest.file_stream(spark, f"{folder}/daily", spark.read.parquet(f"{folder}/daily").schema)
-    out = ingest.run_to_files(monitors.sentiment_alarm_stream(rates, "team", hours=72), folder)
+    daily_rates(spark, sf).repartition(8, "team", "day").write.parquet(f"{folder}/daily")
+    rates = ingest.file_stream(spark, f"{folder}/daily", spark.read.parquet(f"{folder}/daily").schema, per_trigger=1)
+    alarm = lambda rows: monitors.sentiment_alarm_stream(rows, "team", hours=72, lateness="60 days")
+    out = ingest.run_to_end(rates, alarm, folder, "day").where("NOT late")
     return out.select("key", F.date_format("day", "yyyy-MM-dd").alias("day"), "streak", "fired")
 
 

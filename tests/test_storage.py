@@ -9,7 +9,7 @@ from parley.settings import PROFILES, work_folder
 from parley.sources import tables
 from parley.sources.calls import bad_lines, read_call_exports
 from parley.sources.landing import marketplace_of
-from parley.streaming import ingest, monitors
+from parley.streaming import ingest
 
 
 def test_files_of_any_size_are_read_and_broken_lines_kept_apart(spark, tmp_path):
@@ -60,30 +60,6 @@ def test_work_folder_follows_the_session(spark):
     assert set(PROFILES) == {"tuned", "baseline"}
 
 
-@pytest.fixture
-def daily_files(spark, tmp_path):
-    """One file per day, so that every day is its own micro-batch."""
-    rates = [0.25, 0.30, 0.35, 0.35, 0.1, 0.1, 0.5, 0.5, 0.5]
-    start = dt.datetime(2024, 1, 1)
-    for i, rate in enumerate(rates):
-        df = spark.createDataFrame([("k", start + dt.timedelta(days=i), rate)], "k string, day timestamp, rate double")
-        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    return str(tmp_path / "in"), "k string, day timestamp, rate double"
-
-
-def test_alarm_state_survives_micro_batches(spark, daily_files, tmp_path):
-    from parley.plans.alarms import sentiment_alarm
-
-    path, schema = daily_files
-    stream = ingest.file_stream(spark, path, schema, per_trigger=1)
-    out = ingest.run_to_files(monitors.sentiment_alarm_stream(stream, "k"), str(tmp_path / "run"))
-    batch = sentiment_alarm(spark.read.parquet(path), ["k"], "day", "rate")
-    cols = ["day", "streak", "fired"]
-    assert [tuple(r) for r in out.select(cols).orderBy("day").collect()] == [
-        tuple(r) for r in batch.select(cols).orderBy("day").collect()
-    ]
-
-
 def test_replayed_ingest_lands_every_call_once(spark, tmp_path):
     calls = spark.range(50).select(
         F.concat(F.lit("c"), F.col("id") % 40).alias("conversation_id"),
