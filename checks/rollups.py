@@ -10,7 +10,7 @@ from checks.views import CALLS, INS, TP, calls, insights_with_lists
 from parley.functions import vocabulary as V
 from parley.plans import flows as FL
 from parley.plans.features import feature_record
-from parley.plans.rollup import entity_concerns, entity_key, entity_measures, rollup
+from parley.plans.rollup import concern_lists, entity_concerns, entity_key, entity_measures, rollup
 from parley.plans.throughput import compare_profiles
 
 
@@ -29,12 +29,12 @@ _MEASURES = """m AS (SELECT entity_id, count(*) AS call_count, avg(s) AS mean, C
     count(*) FILTER (WHERE label = 'positive') AS positive, count(*) FILTER (WHERE label = 'neutral') AS neutral,
     count(*) FILTER (WHERE label = 'negative') AS negative FROM ent GROUP BY 1)"""
 
-_CONCERNS = f"""con AS (SELECT entity_id, string_agg(DISTINCT c, '|' ORDER BY c) AS concerns FROM (
+_CONCERNS = f"""con AS (SELECT entity_id, c AS concern, count(*) AS mentions FROM (
     SELECT entity_id, unnest(string_split(CASE WHEN t = '' THEN 'general' ELSE t END, '|')) AS c
       FROM (SELECT entity_id, {_tags('low', V.TOPIC_TAGS)} AS t FROM ent)
     UNION ALL
     SELECT entity_id, unnest(string_split(p, '|')) FROM (SELECT entity_id, {_tags('low', V.PAIN_TAGS)} AS p FROM ent) WHERE p <> ''
-  ) GROUP BY 1)"""
+  ) GROUP BY ALL)"""
 
 
 @check(
@@ -58,9 +58,19 @@ def rollup_measures(spark, sf):
     )
 
 
-@check("rollup_concerns", f"WITH {_ENTITY}, {_CONCERNS} SELECT entity_id, concerns FROM con")
+@check("rollup_concerns", f"WITH {_ENTITY}, {_CONCERNS} SELECT entity_id, concern, mentions FROM con")
 def rollup_concerns(spark, sf):
-    return entity_concerns(_features(spark, sf)).select("entity_id", F.array_join("concerns", "|").alias("concerns"))
+    return entity_concerns(_features(spark, sf))
+
+
+@check(
+    "rollup_concern_lists",
+    f"""WITH {_ENTITY}, {_CONCERNS}, n AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY mentions DESC, concern) AS n FROM con)
+        SELECT entity_id, string_agg(concern, '|' ORDER BY concern) AS concerns FROM n WHERE n <= 3 GROUP BY 1""",
+)
+def rollup_concern_lists(spark, sf):
+    lists = concern_lists(entity_concerns(_features(spark, sf)), 3)
+    return lists.select("entity_id", F.array_join("concerns", "|").alias("concerns"))
 
 
 def _suggestion_sql() -> str:
@@ -74,14 +84,15 @@ def _suggestion_sql() -> str:
 @check(
     "rollup_with_suggestions",
     f"""WITH {_ENTITY}, {_MEASURES}, {_CONCERNS},
-        j AS (SELECT m.*, concerns, lower(replace(concerns, '|', ' ')) AS text FROM m JOIN con USING (entity_id))
-        SELECT entity_id, call_count, concerns, {_suggestion_sql()} AS suggestions, '2024-01-31' AS rollup_date FROM j""",
+        list AS (SELECT entity_id, count(*) AS concern_count, lower(string_agg(concern, ' ')) AS text FROM con GROUP BY 1),
+        j AS (SELECT m.*, concern_count, text FROM m JOIN list USING (entity_id))
+        SELECT entity_id, call_count, concern_count, {_suggestion_sql()} AS suggestions, '2024-01-31' AS rollup_date FROM j""",
 )
 def rollup_with_suggestions(spark, sf):
     return rollup(_features(spark, sf), "2024-01-31").select(
         "entity_id",
         "call_count",
-        F.array_join("concerns", "|").alias("concerns"),
+        "concern_count",
         F.array_join("improvement_suggestions", "|").alias("suggestions"),
         "rollup_date",
     )

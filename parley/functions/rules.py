@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -98,10 +98,15 @@ def differs_from_default(category: str, value: Column, fields: T.StructType | No
     return reduce(lambda a, b: a | b, tests)
 
 
-def suggestions(avg_score: Column, concerns: Column, calls: Column) -> Column:
-    """Advice for one entity from its joined concerns, mean score and number of calls."""
-    text = F.lower(F.array_join(concerns, " "))
-    rules = [(mentions(text, terms), advice) for terms, advice in V.SUGGESTIONS]
+def advice_flags(concern: Column) -> list[Column]:
+    """Whether one concern calls for each advice, in the order of ``SUGGESTIONS``. An entity's flags are those of any."""
+    low = F.lower(concern)
+    return [F.coalesce(mentions(low, terms), F.lit(False)) for terms, _ in V.SUGGESTIONS]
+
+
+def suggestions(avg_score: Column, flags: Sequence[Column], calls: Column) -> Column:
+    """Advice for one entity from the flags of its concerns, its mean score and number of calls."""
+    rules = [(flag, advice) for flag, (_, advice) in zip(flags, V.SUGGESTIONS, strict=True)]
     rules.append((avg_score < -V.LABEL_CUT, V.SUGGEST_OUTREACH))
     rules.append((calls >= V.TREND_MIN_CALLS, V.SUGGEST_TREND))
     found = F.array_compact(F.array(*[F.when(cond, F.lit(advice)) for cond, advice in rules]))

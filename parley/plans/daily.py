@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parley.functions.text import decode_entities
 from parley.operators.joins import lookup_bucket, lookup_dimension, with_accounts
 from parley.plans.features import feature_record
-from parley.plans.rollup import rollup
+from parley.plans.rollup import entity_concerns, rollup
 from parley.sources.tables import DATE_PARTS, write_partitions, write_rollup
 
 def day_features(
@@ -59,4 +59,5 @@ def run_day(
         (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == dom)
     )
     write_rollup(rollup(today, run_date), f"{out}/rollup")
+    write_rollup(entity_concerns(today).withColumn("rollup_date", F.lit(run_date)), f"{out}/concerns")
     return {"record_count": int(seen.get["records"]), "elapsed_seconds": time.perf_counter() - start}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions import text as X
 from parley.functions import vocabulary as V
-from parley.functions.rules import suggestions
+from parley.functions.rules import advice_flags, suggestions
 
 ANALYSIS = "nlp_features.advanced_analysis"
 
@@ -33,14 +33,12 @@ def entity_key(df: DataFrame) -> Column:
     return F.coalesce(*options, F.lit("unknown"))
 
 
-def _entity_totals(features: DataFrame) -> DataFrame:
-    """Sums and distinct concerns per entity in one pass over the features.
+def _by_concern(features: DataFrame) -> DataFrame:
+    """Calls and measures by (entity, concern); an entity without any concern has one row with NULL.
 
-    A call becomes one row per concern, and its measures ride on the first of them. The first
-    aggregate (entity, concern) combines before its shuffle, so a hot entity is spread and shrinks to
-    its vocabulary; only that reaches the second one. The list that one task builds is the result
-    itself and never one entry per call. Scores are added as decimals, so that the mean, and with it
-    the label, does not depend on how the rows are spread.
+    A call becomes one row per concern, and its measures ride on the first of them. The aggregate combines before
+    its shuffle, so a hot entity is spread over its concerns. Scores are added as decimals, so that the mean, and
+    with it the label, does not depend on how the rows are spread.
     """
     none = F.array().cast("array<string>")
     concerns = F.concat(
@@ -57,18 +55,25 @@ def _entity_totals(features: DataFrame) -> DataFrame:
         F.posexplode_outer(concerns).alias("pos", "concern"),
     )
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    return rows.groupBy("entity_id", "concern").agg(
+        F.count(F.lit(1)).alias("mentions"),
+        F.count_if(first).alias("calls"),
+        F.sum(F.when(first, F.col("score"))).alias("score"),
+        *[F.count_if(first & (F.col("label") == name)).alias(name) for name in V.SENTIMENT_LABELS],
+    )
+
+
+def _entity_totals(features: DataFrame) -> DataFrame:
+    """Sums, advice flags and number of concerns per entity, of whatever vocabulary: no list of it is ever built."""
+    flags = [F.bool_or(flag).alias(f"advice{i}") for i, flag in enumerate(advice_flags(F.col("concern")))]
     return (
-        rows.groupBy("entity_id", "concern")
-        .agg(
-            F.count_if(first).alias("calls"),
-            F.sum(F.when(first, F.col("score"))).alias("score"),
-            *[F.count_if(first & (F.col("label") == name)).alias(name) for name in V.SENTIMENT_LABELS],
-        )
+        _by_concern(features)
         .groupBy("entity_id")
         .agg(
             F.sum("calls").alias("call_count"),
             (F.sum("score") / F.sum("calls")).alias("mean"),
-            F.sort_array(F.collect_list("concern")).alias("concerns"),
+            F.count("concern").alias("concern_count"),
+            *flags,
             *[F.sum(name).alias(name) for name in V.SENTIMENT_LABELS],
         )
     )
@@ -90,16 +95,24 @@ def entity_measures(features: DataFrame) -> DataFrame:
 
 
 def entity_concerns(features: DataFrame) -> DataFrame:
-    """Sorted distinct concerns per entity."""
-    return _entity_totals(features).select("entity_id", "concerns")
+    """``entity_id, concern, mentions``: a row for each concern of an entity, as wordings may be free text."""
+    return _by_concern(features).where("concern IS NOT NULL").select("entity_id", "concern", "mentions")
+
+
+def concern_lists(concerns: DataFrame, top: int) -> DataFrame:
+    """``entity_id, concerns``: the ``top`` most mentioned concerns of each entity, for a report, in order of their name."""
+    order = Window.partitionBy("entity_id").orderBy(F.desc("mentions"), "concern")
+    leading = concerns.withColumn("n", F.row_number().over(order)).where(F.col("n") <= top)
+    return leading.groupBy("entity_id").agg(F.sort_array(F.collect_list("concern")).alias("concerns"))
 
 
 def rollup(features: DataFrame, rollup_date: str) -> DataFrame:
-    """One row per entity: measures, concerns and suggestions."""
+    """One row per entity: measures, number of concerns and suggestions. The concerns are ``entity_concerns``."""
+    flags = [F.col(f"advice{i}") for i in range(len(V.SUGGESTIONS))]
     return _entity_totals(features).select(
         "entity_id",
         *_measures(),
-        "concerns",
-        suggestions(F.col("mean"), F.col("concerns"), F.col("call_count")).alias("improvement_suggestions"),
+        "concern_count",
+        suggestions(F.col("mean"), flags, F.col("call_count")).alias("improvement_suggestions"),
         F.lit(rollup_date).alias("rollup_date"),
     )

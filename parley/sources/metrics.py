@@ -45,8 +45,13 @@ def metric_rows(
     )
 
 
-def write_metrics(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+def write_metrics(rows: DataFrame, path: str, run: str) -> None:
+    """Write the points of a run. A run is a partition, so a replay replaces its own points and no other's.
+
+    ``run`` names what the points are of (a job and its interval), and not the attempt.
+    """
+    stamped = rows.withColumn("run", F.lit(run).cast("string"))
+    stamped.write.partitionBy("run").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def write_with_run_metrics(df: DataFrame, path: str) -> dict:
