@@ -99,31 +99,29 @@ def rollup_with_suggestions(spark, sf):
 
 
 def _records(spark, sf):
-    """Records in both layouts: even orders camelCase, odd ones snake_case; every eleventh has no
-    label in its analysis and falls back to the record's own one."""
+    """Records in four spellings by order: either analysis with camelCase or with snake_case names.
+
+    Every eleventh has no label in its analysis and falls back to the record's own one.
+    """
     base = insights_with_lists(spark, sf)
     key = F.col("o_orderkey")
     label = F.when(key % 11 != 0, F.col("sentiment"))
-    camel = F.struct(
-        F.when(key % 2 == 0, F.struct(label.alias("overallSentiment"), F.col("topics").alias("primaryTopics"))).alias(
-            "callAnalysis"
-        ),
-        F.struct(F.col("campaign_type").alias("primaryCampaignType")).alias("campaignStructure"),
-    )
-    snake = F.struct(
-        F.struct(
-            F.when(key % 2 == 1, F.struct(label.alias("overall_sentiment"), F.col("topics").alias("primary_topics"))).alias(
-                "call_analysis"
-            )
-        ).alias("advanced_analysis")
-    )
+
+    def analysis(camel: int, snake: int):
+        """Both spellings side by side; those of other orders are NULL."""
+        pairs = [(camel, "overallSentiment", "primaryTopics"), (snake, "overall_sentiment", "primary_topics")]
+        fields = [x for n, a, b in pairs for x in (F.when(key % 4 == n, label).alias(a), F.when(key % 4 == n, F.col("topics")).alias(b))]
+        return F.struct(*fields)
+
+    insights = F.struct(analysis(0, 2).alias("callAnalysis"), F.struct(F.col("campaign_type").alias("primaryCampaignType")).alias("campaignStructure"))
+    features = F.struct(F.struct(analysis(3, 1).alias("call_analysis")).alias("advanced_analysis"))
     own = F.when(key % 3 != 0, F.col("campaign_type")).otherwise("")
     return base.select(
         "conversation_id",
         own.alias("campaign_type"),
         F.when(key % 11 == 0, "dissatisfied").alias("sentiment"),
-        camel.alias("processed_insights"),
-        snake.alias("nlp_features"),
+        insights.alias("processed_insights"),
+        features.alias("nlp_features"),
     )
 
 

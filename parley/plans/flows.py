@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from parley.functions import text as X
 from parley.functions import vocabulary as V
+from parley.functions.layouts import unified
 from parley.operators.filters import campaign_contains
 
 CAMEL = "processed_insights.callAnalysis"
@@ -26,34 +27,34 @@ def _type_at(df: DataFrame, path: str) -> T.DataType | None:
     return dtype
 
 
-def _field(df: DataFrame, path: str, empty: str = "string") -> Column:
-    return F.col(path) if _type_at(df, path) is not None else F.lit(None).cast(empty)
+def _field(df: DataFrame, path: str) -> Column:
+    return F.col(path) if _type_at(df, path) is not None else F.lit(None).cast("string")
 
 
-def _topic_list(df: DataFrame, path: str) -> Column:
+def _analysis(df: DataFrame, path: str) -> tuple[Column, Column, Column]:
+    """Whether an analysis holds anything, its label and its topics, however their names are spelled."""
     dtype = _type_at(df, path)
-    if dtype is None:
-        return F.lit(None).cast("array<string>")
-    return F.when(F.col(path) != "", F.array(F.col(path))) if isinstance(dtype, T.StringType) else F.col(path)
-
-
-def _holds_anything(df: DataFrame, path: str) -> Column:
-    dtype = _type_at(df, path)
-    if dtype is None:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.col(f"{path}.{f.name}").isNotNull() for f in dtype])
+    if not isinstance(dtype, T.StructType):
+        return F.lit(False), F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    value, fields = unified(F.col(path), dtype)
+    given = reduce(lambda a, b: a | b, [F.col(f"{path}.`{f.name}`").isNotNull() for f in dtype])
+    label = value["overall_sentiment"].cast("string") if "overall_sentiment" in fields.names else F.lit(None).cast("string")
+    if "primary_topics" not in fields.names:
+        return given, label, F.lit(None).cast("array<string>")
+    topics = value["primary_topics"]
+    if not isinstance(fields["primary_topics"].dataType, T.ArrayType):
+        topics = F.when(topics.isNotNull(), F.array(topics.cast("string")))
+    return given, label, topics.cast("array<string>")
 
 
 def raw_mentions(df: DataFrame, campaigns: Sequence[str] = ()) -> DataFrame:
     """One row per topic mention as written: ``topic``, ``label`` of the analysis, ``own`` label.
 
-    The camelCase analysis is used when it holds anything, else the snake_case one.
+    The analysis of the insights counts if it holds anything, else that of the features. In either one, label and
+    topics may have their camelCase or snake_case names, also both in one record.
     """
-    camel = _holds_anything(df, CAMEL)
-    label = F.when(camel, _field(df, f"{CAMEL}.overallSentiment")).otherwise(_field(df, f"{SNAKE}.overall_sentiment"))
-    topics = F.when(camel, _topic_list(df, f"{CAMEL}.primaryTopics")).otherwise(
-        _topic_list(df, f"{SNAKE}.primary_topics")
-    )
+    given, label, topics = _analysis(df, CAMEL)
+    _, other_label, other_topics = _analysis(df, SNAKE)
     if campaigns:
         campaign = F.coalesce(
             F.nullif(_field(df, "campaign_type"), F.lit("")),
@@ -61,7 +62,9 @@ def raw_mentions(df: DataFrame, campaigns: Sequence[str] = ()) -> DataFrame:
         )
         df = df.where(campaign_contains(campaign, campaigns))
     return df.select(
-        label.alias("label"), _field(df, "sentiment").alias("own"), F.explode(topics).alias("topic")
+        F.when(given, label).otherwise(other_label).alias("label"),
+        _field(df, "sentiment").alias("own"),
+        F.explode(F.when(given, topics).otherwise(other_topics)).alias("topic"),
     ).where(X.is_real_topic(F.col("topic")))
 
 
