@@ -70,8 +70,20 @@ def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kind, low, script
 
 
+def _with_letter(kind: np.ndarray) -> np.ndarray:
+    """Places in runs of letters and marks that hold a letter; marks alone are no word."""
+    inside = kind > 0
+    step = np.diff(inside.astype(np.int8))
+    start, end = np.flatnonzero(step == 1) + 1, np.flatnonzero(step == -1) + 1
+    if len(start):
+        bare = ~np.logical_or.reduceat(kind == 2, start)
+        for i in np.flatnonzero(bare):
+            inside[start[i] : end[i]] = False
+    return inside
+
+
 class Letters:
-    """Words (runs of letters and marks) of some texts, with the place of each letter triple."""
+    """Words (runs of letters and marks with a letter among them) of some texts, with the place of each letter triple."""
 
     def __init__(self, texts: list[bytes]):
         kind, low, script = _characters()
@@ -79,7 +91,7 @@ class Letters:
         self.base = np.concatenate(([0], np.cumsum([len(p) + 1 for p in points])))
         gap = np.zeros(1, np.uint32)
         c = np.concatenate([gap, *[y for p in points for y in (p, gap)]])[: self.base[-1] + 1]
-        inside = kind[c] > 0
+        inside = _with_letter(kind[c])
         c = np.where(inside, low[c], 0)
         self.at = np.flatnonzero(inside)
         triple = c[self.at - 1] * np.uint32(0x9E3779B1) ^ c[self.at] * np.uint32(0x85EBCA77) ^ c[np.minimum(self.at + 1, len(c) - 1)] * np.uint32(0xC2B2AE3D)

@@ -20,7 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model.languages:
         found = langid.identify(marked, model).filter(F.col("lang_pred") != langid.UNKNOWN)
     else:
-        found = marked.filter(F.col("text").rlike(r"[\p{L}\p{M}]"))
+        found = marked.filter(F.col("text").rlike(r"\p{L}"))
     return found.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(columns)])
 
 
