@@ -186,11 +186,13 @@ def _compare(k: int):
         order = np.argsort(ids, kind="stable")  # ties go to the smaller id
         ids, points, targets = ids[order], matrix(vectors["embedding"])[order], matrix(queries["query"])
         parts = []
+        long, far = np.linalg.norm(points, axis=1), np.linalg.norm(targets, axis=1)
         for at in range(0, len(asks), 512):
             score = targets[at : at + 512] @ points.T
             score[asks[at : at + 512, None] == ids] = -np.inf
-            # the last bits of a matrix product depend on its shape: equal vectors have to tie
-            best = np.argsort(-np.round(score, 12), axis=1, kind="stable")[:, : k + REPLICAS]
+            # the last bits of a matrix product depend on its shape: equal vectors have to tie, however short they are
+            scale = far[at : at + 512, None] * long
+            best = np.argsort(-np.round(score / scale, 12) * scale, axis=1, kind="stable")[:, : k + REPLICAS]
             row, place = np.nonzero(np.take_along_axis(score, best, axis=1) > -np.inf)
             chosen = best[row, place]
             exact = np.einsum("ij,ij->i", targets[at : at + 512][row], points[chosen])

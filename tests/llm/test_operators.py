@@ -104,6 +104,25 @@ def test_language_of_held_out_rows(spark, docs, empty):
     assert set(language.identify(docs, language.fit(empty)).toPandas().lang_pred) == {"und"}
 
 
+def test_marks_alone_are_no_word(spark):
+    known = spark.createDataFrame([("en", "the of and with")] * 5, "lang string, text string")
+    texts = ["\u0301", "123 \u0301", "a\u0301", "\u0301a", "\u0301 \u0302 b", "1 2"]
+    out = language.identify(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), language.fit(known)).orderBy("i").collect()
+    assert [r.lang_pred for r in out] == ["und", "und", "en", "en", "en", "und"]
+
+
+def test_short_vectors_are_ranked_by_their_score(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(400, 8)) * 10.0 ** rng.integers(-9, -4, 400)[:, None]
+    points[300:320] = points[7]  # ties go to the smaller id
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, table.filter("vec_id % 40 = 0"), 10).collect()
+    for q in range(0, 400, 40):
+        exact = [(points[q] * p).sum() for p in points]
+        want = sorted((i for i in range(400) if i != q), key=lambda i: (-exact[i], i))[:10]
+        assert [r.vec_id for r in sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])] == want
+
+
 def test_every_language_is_learned(spark):
     word = lambda i: "".join(chr(97 + (i // 26**k + 7 * k) % 26) * 3 for k in range(3))
     rows = [(f"l{i}", f"{word(i)} " * 6) for i in range(300)]
