@@ -156,7 +156,7 @@ def test_rollup_reads_the_old_flat_layout(spark):
     )
     rows = [("a", (0.5, "positive", (["roas", "cpc"],))), ("a", (None, None, (None,))), ("a", (-1.0, "odd", (["cpc"],)))]
     row = rollup(spark.createDataFrame(rows, schema), "2024-01-01").first()
-    assert row.call_count == 3 and row.concerns == ["cpc", "roas"] and row.avg_sentiment_score == -0.1667
+    assert row.call_count == 3 and row.concern_count == 2 and row.avg_sentiment_score == -0.1667
     assert row.sentiment_counts.asDict() == {"positive": 1, "neutral": 1, "negative": 0}
     assert row.sentiment_label == "negative" and len(row.improvement_suggestions) == 4
 
