@@ -18,15 +18,15 @@ from parley.settings import work_folder
 
 FENCE = "```"
 NESTED = (
-    '{"callAnalysis":{"primaryTopics":["roas","budget"],"overallSentiment":"negative","urgencyLevel":"high"},'
+    '{"callAnalysis":{"primaryTopics":["roas","budget"],"overallSentiment":"negative","urgencyLevel":"high","currentIssue":"@"},'
     '"budgetAndBidding":{"dailyBudget":"500"},"complaintAnalysis":{"complaintKeywords":["high_cpc"]},"extra":1}'
 )
-FLAT = '{"key_topics":["bids"],"sentiment":"positive","urgency":"medium"}'
-# Remainder of the order key -> (answer, valid, coerced, topics, sentiment, urgency).
+FLAT = '{"key_topics":["bids","@"],"sentiment":"positive","urgency":"medium"}'
+# The priority of the order stands where the answers have @. Remainder of the order key -> (answer, valid, coerced, topics, sentiment, urgency).
 CASES = {
     0: (NESTED, True, False, "roas|budget", "negative", "high"),
-    1: (FLAT, True, True, "bids", "positive", "medium"),
-    2: (f"{FENCE}json\n{FLAT}\n{FENCE}\n", True, True, "bids", "positive", "medium"),
+    1: (FLAT, True, True, "bids|@", "positive", "medium"),
+    2: (f"{FENCE}json\n{FLAT}\n{FENCE}\n", True, True, "bids|@", "positive", "medium"),
     3: (f"Here is the answer: {NESTED} Done.", True, False, "roas|budget", "negative", "high"),
     4: ('{"callAnalysis":{"primaryTopics":["a"],"overallSentiment":"Positive"}}', False, False, None, None, None),
     5: ('{"callAnalysis":{"primaryTopics":["a"],"secondaryTopics":null}}', False, False, None, None, None),
@@ -51,14 +51,14 @@ def _quote(v):
 
 def _case_sql(position: int) -> str:
     arms = " ".join(f"WHEN {k} THEN {_quote(v[position])}" for k, v in CASES.items())
-    return f"CASE o_orderkey % {N} {arms} END"
+    case = f"CASE o_orderkey % {N} {arms} END"
+    return f"replace({case}, '@', o_orderpriority)" if position in (0, 3) else case
 
 
 def _answers(spark, sf):
     raws = F.array(*[F.lit(v[0]) for v in CASES.values()])
-    return table(spark, sf, "orders").select("o_orderkey").select(
-        "o_orderkey", F.element_at(raws, (F.col("o_orderkey") % N + 1).cast("int")).alias("raw")
-    )
+    raw = F.element_at(raws, (F.col("o_orderkey") % N + 1).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", F.replace(raw, F.lit("@"), "o_orderpriority").alias("raw"))
 
 
 _TRIM = r"regexp_replace(regexp_replace({x}, '^\s+', ''), '\s+$', '')"
@@ -105,7 +105,8 @@ def val_check(spark, sf):
     f"""SELECT o_orderkey, {_case_sql(3)} AS topics, {_case_sql(4)} AS sentiment, {_case_sql(5)} AS urgency,
         CASE WHEN o_orderkey % {N} IN (0, 3) THEN 500.0::DOUBLE ELSE 0.0 END AS budget,
         CASE WHEN o_orderkey % {N} IN (0, 3) THEN 'high_cpc' ELSE '' END AS complaints,
-        o_orderkey % {N} IN (0, 3) AS pricing_mentioned
+        o_orderkey % {N} IN (0, 3) AS pricing_mentioned,
+        CASE WHEN o_orderkey % {N} IN (0, 3) THEN o_orderpriority ELSE '-' END AS issue
         FROM orders WHERE {_case_sql(1)}""",
 )
 def val_insight(spark, sf):
@@ -119,6 +120,7 @@ def val_insight(spark, sf):
         F.coalesce("insight.budgetAndBidding.dailyBudget", F.lit(0.0)).alias("budget"),
         F.array_join("insight.complaintAnalysis.complaintKeywords", "|").alias("complaints"),
         d["pricing_mentioned"].alias("pricing_mentioned"),
+        F.coalesce("insight.callAnalysis.currentIssue", F.lit("-")).alias("issue"),
     )
 
 

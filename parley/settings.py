@@ -38,12 +38,14 @@ SCALING = {
 PROFILES = {"tuned": TUNED, "baseline": BASELINE}
 
 
-def open_session(name: str, profile: str = "tuned", master: str | None = None, **extra: str) -> SparkSession:
-    """Start (or join) a session with one of the named profiles."""
+def open_session(
+    name: str, profile: str = "tuned", master: str | None = None, scaling: bool = False, **extra: str
+) -> SparkSession:
+    """Start (or join) a session with one of the named profiles; ``scaling`` lets the cluster add and remove executors."""
     builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = builder.master(master)
-    for key, value in {**PROFILES[profile], **extra}.items():
+    for key, value in {**PROFILES[profile], **(SCALING if scaling else {}), **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
