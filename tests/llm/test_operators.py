@@ -261,13 +261,28 @@ def test_neighbours(spark):
 
 def test_search_ends_with_the_distance_ratio():
     x = np.random.default_rng(5).normal(size=(400, 16))
-    order = np.argsort(((x[:, None] - x) ** 2).sum(axis=2), axis=1)[:, : neighbours.DEGREE + 1]
-    index = neighbours.Index(9.0, x, order, np.arange(0, 400, 20))
+    index = neighbours.Index(9.0, x, *neighbours._graph(x), np.arange(0, 400, 20), ratio=1.45)
     points = np.random.default_rng(6).normal(size=(8, 16))
-    near, far = index.search(points)
-    for p, ids, d in zip(points, near, far, strict=True):
+    for p, far in zip(points, index.search(points), strict=True):
         want = np.sqrt(((x - p) ** 2).sum(axis=1))
-        assert set(np.flatnonzero(want <= want.min() * neighbours.PRUNE)) <= set(ids[d <= d[0] * neighbours.PRUNE + 1e-9])
+        assert set(np.flatnonzero(want <= want.min() * index.ratio)) <= set(np.flatnonzero(far <= far.min() * index.ratio + 1e-9))
+
+
+def test_many_lists_are_pruned_and_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(8)
+    middle = rng.normal(size=(60, 24))
+    x = middle[rng.integers(0, 60, 6000)] + 0.4 * rng.normal(size=(6000, 24))
+    table = spark.createDataFrame([(i, p.tolist(), "a") for i, p in enumerate(x)], "vec_id long, embedding array<double>, list string")
+    rows = neighbours.usable(table)
+    index = neighbours.fit(rows, 10, lists=300)
+    queries = rows.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    reads = neighbours.probes(queries, index, np.full(300, 20), 10)
+    assert reads.count() < 60 * 300 / 4
+    twice = table.unionAll(table.filter("vec_id < 500")).unionAll(table.filter("vec_id < 500"))
+    out = neighbours.nearest(twice, twice.filter("vec_id % 100 = 0"), 10).toPandas()
+    assert not out.duplicated(["query_id", "vec_id"]).any() and out.groupby("query_id").size().eq(10).all()
+    hits = sum(len(set(np.argsort(-np.where(np.arange(6000) == q, -np.inf, x @ x[q]))[:10]) & set(g.vec_id)) for q, g in out.groupby("query_id"))
+    assert hits >= 0.9 * 600
 
 
 def test_toxicity_of_held_out_rows(spark, docs):
