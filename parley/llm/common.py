@@ -33,6 +33,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def has(df: DataFrame, name: str, kind: str) -> Column:
     """A column by its name, NULL if the frame has none."""
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import written
+from parley.llm.common import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v")
         small = small.select(F.col("m").alias("u"), F.col("u").alias("v")).unionAll(small.select(F.col("m").alias("u"), "v"))
-        known = written(small.filter("u <> v").distinct(), "edges")
+        old, known = known, written(small.filter("u <> v").distinct(), "edges")
+        discard(old)
         state = _state(known)
         if state == before:
             break

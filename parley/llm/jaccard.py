@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import Words, has, mixed, pieces, written
+from parley.llm.common import Words, discard, has, mixed, pieces, written
 from parley.llm.components import components
 
 #: Bits of the map that spares rows of which no other set has the signature; it is an aid only.
@@ -202,7 +202,9 @@ def _texts(ids: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
 
     found = docs.select("row", "text")
     found = found.mapInArrow(run, found.schema).join(rows, "row").groupBy("id").agg(F.any_value("text").alias("text"))
-    return written(found, "needed-texts")
+    found = written(found, "needed-texts")
+    discard(rows)
+    return found
 
 
 def grams(text: bytes, words: int) -> set:
@@ -254,8 +256,11 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
         return None
     members = signed(docs, words, bands, map_of(shared, "sig")).distinct()
     members = written(members.join(shared.select("sig"), "sig", "left_semi"), "members")
+    discard(shared)
     texts = _texts(members.select("id").distinct(), docs, sets)
-    return joined(members, lambda pairs: verified(pairs, texts, words), percent)
+    reached = joined(members, lambda pairs: verified(pairs, texts, words), percent)
+    discard(texts)
+    return reached
 
 
 def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
@@ -264,15 +269,17 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
     As long as a group has several components, a few of its members, outside of the largest component, are
     compared with all members of other components, and are then done with. A pair is verified unless the
     sizes and sketches rule it out, so what is verified grows with the links and not with the groups. Each
-    round ties the components that its links join.
+    round ties the components that its links join. ``members`` is a written table; it and each round's tables are
+    removed as soon as the next ones are written.
     """
     spark = members.sparkSession
     reached, known = spark.createDataFrame([], "id long, component long"), spark.createDataFrame([], "a long, b long")
-    left = members.select("sig", "id", "n", *SKETCH)
+    left, past = members.select("sig", "id", "n", *SKETCH), [members]
     for turn in itertools.count():
         now = left.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
         split = now.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
         left = written(now.join(split, "sig", "left_semi"), "left")
+        discard(*past)
         if left.isEmpty():
             return reached
         size = left.groupBy("sig", "component").agg(F.count("*").alias("m"))
@@ -291,7 +298,10 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
         if not pairs.isEmpty():
             found = verify(pairs.select("a", "b"))
             known = known.unionAll(found.select("a", "b"))
-            reached = _tied(reached, pairs.join(found.filter(F.col("common") * 100 >= F.col("total") * percent), ["a", "b"]))
+            old, reached = reached, _tied(reached, pairs.join(found.filter(F.col("common") * 100 >= F.col("total") * percent), ["a", "b"]))
+            discard(*([old] if old is not reached else []))
+        discard(pairs)
+        past = [left, hubs]
         done = hubs.select("sig", F.col("hub_id").alias("id"))
         left = left.drop("component").join(done, ["sig", "id"], "left_anti")
 
@@ -304,7 +314,9 @@ def _tied(reached: DataFrame, links: DataFrame) -> DataFrame:
     tied = written(components(ties), "tied")
     new = tied.select(F.col("id").alias("component"), F.col("component").alias("new"))
     moved = reached.join(new, "component", "left").select("id", F.coalesce("new", "component").alias("component"))
-    return written(moved.unionAll(tied.join(reached, "id", "left_anti")), "reached")
+    out = written(moved.unionAll(tied.join(reached, "id", "left_anti")), "reached")
+    discard(ties, tied)
+    return out
 
 
 def linked(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -344,10 +356,13 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """The documents without those that link, directly or not, with one that stays.
 
     Of each component the document with the smallest doc_id stays, an empty text always; of rows that
-    are equal in id and text, one stays. The columns are those of ``docs``.
+    are equal in id and text, one stays. The columns are those of ``docs``, whatever their names.
     """
     rows = linked(docs, words, percent)
-    filled = rows.filter("n_shingles > 0").groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("__row"))
-    keep = filled.select("__row").unionAll(rows.filter("n_shingles = 0").select(F.col("row").alias("__row"))).distinct()
-    named_rows = docs.withColumn("__row", F.xxhash64(has(docs, "doc_id", "long"), has(docs, "text", "string")))
-    return named_rows.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    filled = rows.filter("n_shingles > 0").groupBy("component").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row"))
+    keep = filled.select("row").unionAll(rows.filter("n_shingles = 0").select("row")).distinct()
+    key, text = has(docs, "doc_id", "long"), has(docs, "text", "string")
+    own = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)]
+    # a row's hash leads to it; id and text, not the hash, tell whether two rows are equal
+    stay = docs.select(*own, key.alias("doc_id"), text.alias("text"), F.xxhash64(key, text).alias("row")).join(keep, "row", "left_semi")
+    return stay.dropDuplicates(["row", "doc_id", "text"]).select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -311,3 +311,13 @@ def test_language_stage_keeps_texts_if_nothing_is_learned(spark):
 
 def test_stages_are_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "benchmark_decontamination", "mixing", "token_output"]
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    schema = "doc_id long, text string, row string, component string, __row long, __0 int"
+    same = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, same, "r", "c", 7, 0), (2, same + " end", "r", "c", 7, 0), (3, None, "r", None, 7, 1), (3, None, "r", None, 7, 1), (None, "other words here", "q", "c", None, 2)]
+    docs = spark.createDataFrame(rows, schema)
+    left = jaccard.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted(left.collect(), key=str) == sorted(docs.filter("doc_id = 1 OR doc_id IS NULL").unionAll(docs.filter("doc_id = 3").limit(1)).collect(), key=str)
