@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks.registry import check
 from checks.views import CALLS, LG, calls, docs, ins, insight_catalog, lg, meta, table
 from checks.views import INS, META
+from parley.functions import vocabulary as V
 from parley.functions.rules import rule_insight
 from parley.plans.daily import run_day
 from parley.plans.features import feature_record
@@ -191,7 +192,7 @@ def table_register_and_discover(spark, sf):
 def table_flatten_insights(spark, sf):
     day = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("call_day"))
     base = calls(spark, sf).join(day, "o_orderkey").withColumns(
-        {"insight": rule_insight(F.col("transcript")), "processing_version": F.lit("v1.2")}
+        {"insight": rule_insight(F.col("transcript"), V.KEYWORD_RULES), "processing_version": F.lit("v1.2")}
     )
     flat = tables.flatten_insights(base, "insight", F.col("call_day"), ["advertiser_id", "processing_version"])
     return flat.select(

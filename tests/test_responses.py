@@ -102,3 +102,14 @@ def test_defaults_do_not_count_as_coverage(spark):
     df = check_responses(spark.createDataFrame([("{}",)], "raw string"), "raw")
     row = df.select(*[differs_from_default(c, F.col("insight")[c]).alias(c) for c in CATEGORIES]).first()
     assert [c for c in CATEGORIES if row[c]] == ["callAnalysis"]
+
+
+def test_rule_insight_fills_what_no_keyword_decides(spark):
+    df = spark.createDataFrame([("Our ROAS is great",), ("",)], "t string").select(rule_insight(F.col("t")).alias("i"))
+    good, blank = (r.i for r in df.collect())
+    assert good.callAnalysis.primaryTopics == ["Performance Metrics", "Campaign Structure"]
+    assert blank.callAnalysis.primaryTopics == ["Budget Optimization", "Campaign Structure"]
+    assert (good.performanceMetricsSentiment.advertiserPerception, blank.performanceMetricsSentiment.advertiserPerception) == ("positive", "neutral")
+    assert blank.actionItems.immediateActions == ["review_bids", "check_targeting"] and blank.callAnalysis.resolutionType == "partial"
+    filled = df.select(*[differs_from_default(c, F.col("i")[c]).alias(c) for c in CATEGORIES]).collect()[1]
+    assert [c for c in CATEGORIES if not filled[c]] == ["budgetAndBidding", "seasonalContext"]
