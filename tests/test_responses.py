@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.responses import candidates, check_responses, clean_response
 from parley.functions.rules import differs_from_default, rule_insight
+from parley.plans.dashboard import category_coverage
 from parley.schemas import CATEGORIES
 
 OK = {"primaryTopics": ["a"]}
@@ -113,3 +114,9 @@ def test_rule_insight_fills_what_no_keyword_decides(spark):
     assert blank.actionItems.immediateActions == ["review_bids", "check_targeting"] and blank.callAnalysis.resolutionType == "partial"
     filled = df.select(*[differs_from_default(c, F.col("i")[c]).alias(c) for c in CATEGORIES]).collect()[1]
     assert [c for c in CATEGORIES if not filled[c]] == ["budgetAndBidding", "seasonalContext"]
+
+
+def test_coverage_of_rule_insights(spark):
+    df = spark.createDataFrame([("budget",), ("",), (None,), ("ROAS",)], "t string").select(rule_insight(F.col("t")).alias("insight"))
+    found = {r.category: r.calls for r in category_coverage(df).collect()}
+    assert found == {c: {"budgetAndBidding": 1, "seasonalContext": 0}.get(c, 4) for c in CATEGORIES}
