@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.responses import candidates, check_responses, clean_response
 from parley.functions.rules import differs_from_default, rule_insight
-from parley.plans.dashboard import category_coverage
+from parley.plans.dashboard import any_action, category_coverage, outcome_flow
 from parley.schemas import CATEGORIES
 
 OK = {"primaryTopics": ["a"]}
@@ -120,3 +120,9 @@ def test_coverage_of_rule_insights(spark):
     df = spark.createDataFrame([("budget",), ("",), (None,), ("ROAS",)], "t string").select(rule_insight(F.col("t")).alias("insight"))
     found = {r.category: r.calls for r in category_coverage(df).collect()}
     assert found == {c: {"budgetAndBidding": 1, "seasonalContext": 0}.get(c, 4) for c in CATEGORIES}
+
+
+def test_outcome_of_rule_insights(spark):
+    df = spark.createDataFrame([("great",), ("an issue",), ("",), (None,)], "t string").select(rule_insight(F.col("t")).alias("i"))
+    flow = outcome_flow(df, F.col("i.callAnalysis.overallSentiment"), F.col("i.callAnalysis.resolutionType"), any_action(F.col("i")))
+    assert sorted(map(tuple, flow.collect())) == [("negative", "actioned", 1), ("neutral", "actioned", 2), ("positive", "actioned", 1)]
