@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.responses import candidates, check_responses, clean_response
 from parley.functions.rules import differs_from_default, rule_insight
+from parley.plans import scoring
 from parley.plans.dashboard import any_action, category_coverage, outcome_flow
 from parley.schemas import CATEGORIES
 
@@ -126,3 +127,8 @@ def test_outcome_of_rule_insights(spark):
     df = spark.createDataFrame([("great",), ("an issue",), ("",), (None,)], "t string").select(rule_insight(F.col("t")).alias("i"))
     flow = outcome_flow(df, F.col("i.callAnalysis.overallSentiment"), F.col("i.callAnalysis.resolutionType"), any_action(F.col("i")))
     assert sorted(map(tuple, flow.collect())) == [("negative", "actioned", 1), ("neutral", "actioned", 2), ("positive", "actioned", 1)]
+
+
+def test_summary_of_rule_insights_counts_both_topics(spark):
+    df = scoring.score_by_rules(spark.createDataFrame([("ROAS",), ("",), ("",)], "transcript string"))
+    assert scoring.batch_summary(df).first().top_topics == ["Campaign Structure", "Budget Optimization", "Performance Metrics"]
