@@ -84,14 +84,15 @@ def _suggestion_sql() -> str:
 @check(
     "rollup_with_suggestions",
     f"""WITH {_ENTITY}, {_MEASURES}, {_CONCERNS},
-        list AS (SELECT entity_id, count(*) AS concern_count, lower(string_agg(concern, ' ')) AS text FROM con GROUP BY 1),
-        j AS (SELECT m.*, concern_count, text FROM m JOIN list USING (entity_id))
-        SELECT entity_id, call_count, concern_count, {_suggestion_sql()} AS suggestions, '2024-01-31' AS rollup_date FROM j""",
+        list AS (SELECT entity_id, count(*) AS concern_count, string_agg(DISTINCT concern, '|' ORDER BY concern) AS concerns FROM con GROUP BY 1),
+        j AS (SELECT m.*, concern_count, concerns, lower(replace(concerns, '|', ' ')) AS text FROM m JOIN list USING (entity_id))
+        SELECT entity_id, call_count, concerns, concern_count, {_suggestion_sql()} AS suggestions, '2024-01-31' AS rollup_date FROM j""",
 )
 def rollup_with_suggestions(spark, sf):
-    return rollup(_features(spark, sf), "2024-01-31").select(
+    return rollup(_features(spark, sf), "2024-01-31", lists=True).select(
         "entity_id",
         "call_count",
+        F.array_join("concerns", "|").alias("concerns"),
         "concern_count",
         F.array_join("improvement_suggestions", "|").alias("suggestions"),
         "rollup_date",

@@ -63,9 +63,10 @@ def _by_concern(features: DataFrame) -> DataFrame:
     )
 
 
-def _entity_totals(features: DataFrame) -> DataFrame:
-    """Sums, advice flags and number of concerns per entity, of whatever vocabulary: no list of it is ever built."""
+def _entity_totals(features: DataFrame, lists: bool = False) -> DataFrame:
+    """Sums, advice flags and number of concerns per entity, of whatever vocabulary: no list of it is built unless asked for."""
     flags = [F.bool_or(flag).alias(f"advice{i}") for i, flag in enumerate(advice_flags(F.col("concern")))]
+    named = [F.sort_array(F.collect_list("concern")).alias("concerns")] if lists else []
     return (
         _by_concern(features)
         .groupBy("entity_id")
@@ -73,6 +74,7 @@ def _entity_totals(features: DataFrame) -> DataFrame:
             F.sum("calls").alias("call_count"),
             (F.sum("score") / F.sum("calls")).alias("mean"),
             F.count("concern").alias("concern_count"),
+            *named,
             *flags,
             *[F.sum(name).alias(name) for name in V.SENTIMENT_LABELS],
         )
@@ -106,13 +108,18 @@ def concern_lists(concerns: DataFrame, top: int) -> DataFrame:
     return leading.groupBy("entity_id").agg(F.sort_array(F.collect_list("concern")).alias("concerns"))
 
 
-def rollup(features: DataFrame, rollup_date: str) -> DataFrame:
-    """One row per entity: measures, number of concerns and suggestions. The concerns are ``entity_concerns``."""
+def rollup(features: DataFrame, rollup_date: str, lists: bool = False) -> DataFrame:
+    """One row per entity: measures, number of concerns and suggestions. The concerns are ``entity_concerns``.
+
+    ``lists`` adds ``concerns``, every distinct concern of the entity in order. It is meant for a vocabulary of tags;
+    for free text take the rows of ``entity_concerns``.
+    """
     flags = [F.col(f"advice{i}") for i in range(len(V.SUGGESTIONS))]
-    return _entity_totals(features).select(
+    return _entity_totals(features, lists).select(
         "entity_id",
         *_measures(),
         "concern_count",
+        *(["concerns"] if lists else []),
         suggestions(F.col("mean"), flags, F.col("call_count")).alias("improvement_suggestions"),
         F.lit(rollup_date).alias("rollup_date"),
     )

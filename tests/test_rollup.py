@@ -38,3 +38,9 @@ def test_concerns_in_long_form(spark):
     want = Counter({("a", "Shared"): 20, ("a", "pain"): 10, ("a", "our ROAS Optimization talk"): 1, **{("a", f"free text number {i}"): 1 for i in range(20)}})
     assert {(r.entity_id, r.concern): r.mentions for r in long.collect()} == want
     assert concern_lists(long, 2).select(F.array_join("concerns", "|")).first()[0] == "Shared|pain"
+
+
+def test_rollup_with_every_concern(spark):
+    rows = {r.entity_id: r for r in rollup(features(spark, 20), "2024-01-31", lists=True).collect()}
+    assert rows["a"].concerns == sorted({"Shared", "pain", "our ROAS Optimization talk", *[f"free text number {i}" for i in range(20)]})
+    assert len(rows["a"].concerns) == rows["a"].concern_count and rows["unknown"].concerns == []
