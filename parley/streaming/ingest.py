@@ -75,19 +75,26 @@ def ingest_calls(
     """Land each conversation once, by marketplace, date and micro-batch.
 
     Every micro-batch owns its ``batch`` partitions, so one that is replayed after a failure
-    overwrites what it wrote before and touches nothing else.
+    overwrites what it wrote before and touches nothing else. A stateful query runs without adaptive execution,
+    which alone heeds the rebalance hint; else each state partition would write a file for every partition.
     """
 
     def land(batch: DataFrame, number: int) -> None:
         date = F.lit(run_date) if run_date else F.date_format(ts, "yyyy-MM-dd")
-        (
-            batch.withColumns({"marketplace": marketplace_of(batch), "date": date, "batch": F.lit(number)})
-            .hint("rebalance", "marketplace", "date")
-            .write.partitionBy("marketplace", "date", "batch")
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .parquet(path)
-        )
+        conf, adaptive = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+        before = conf.get(adaptive)
+        conf.set(adaptive, "true")
+        try:
+            (
+                batch.withColumns({"marketplace": marketplace_of(batch), "date": date, "batch": F.lit(number)})
+                .hint("rebalance", "marketplace", "date")
+                .write.partitionBy("marketplace", "date", "batch")
+                .option("partitionOverwriteMode", "dynamic")
+                .mode("overwrite")
+                .parquet(path)
+            )
+        finally:
+            conf.set(adaptive, before)
 
     unique = calls.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(["conversation_id"])
     return (

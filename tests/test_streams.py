@@ -94,3 +94,15 @@ def test_windows_open_at_the_end_are_closed(spark, log, tmp_path):
         out = ingest.run_to_end(stream, whole, str(tmp_path / name), closing_values={"failed": True})
         got = sorted((r[start], r[count]) for r in out.collect())
         assert got == sorted((r[-2], r[-1]) for r in batch[name].collect()), name
+
+
+def test_landing_writes_few_files_per_partition(spark, tmp_path):
+    rows = [(f"c{i % 400}", START + dt.timedelta(hours=(i % 400) % 48), ("US", "UK")[i % 2]) for i in range(800)]
+    calls = spark.createDataFrame(rows, "conversation_id string, ts timestamp, marketplace_id string")
+    calls.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), calls.schema)
+    ingest.ingest_calls(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "out"))
+    assert landed.count() == 400 and landed.select("conversation_id").distinct().count() == 400
+    # four partitions; each of the eight state partitions wrote to all of them before
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) == 4
