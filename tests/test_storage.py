@@ -152,3 +152,25 @@ def test_one_scan_gives_calls_and_quarantine(spark, tmp_path):
     calls, broken = read_split(spark, str(tmp_path / "out"))
     assert sorted(r.conversation_id for r in calls.collect()) == ["c0", "c1", "c2"]
     assert sorted((r.file[-4:], r.line, r.n) for r in broken.collect()) == [(f"{f}.gz", f"not json {f}", 2) for f in range(3)]
+
+
+def test_parts_of_the_feature_run_follow_the_input(spark, sf, monkeypatch):
+    from checks import sources
+    from parley.sources.metrics import write_with_run_metrics
+
+    def run(df, folder):
+        seen.append(df.rdd.getNumPartitions())
+        return write_with_run_metrics(df, folder)
+
+    seen, aqe = [], "spark.sql.adaptive."
+    monkeypatch.setattr(sources, "write_with_run_metrics", run)
+    for advised in ("64m", "4k"):
+        small = {"advisoryPartitionSizeInBytes": advised, "coalescePartitions.minPartitionSize": "1k", "coalescePartitions.parallelismFirst": "false"}
+        for key, value in small.items():
+            spark.conf.set(aqe + key, value)
+        row = sources.run_metrics(spark, sf).first()
+        for key in small:
+            spark.conf.unset(aqe + key)
+        assert row.record_count == row.rows_written == 1500 and row.same_partitions
+    # five parts of any table before
+    assert seen[0] == 1 and seen[1] > 5
