@@ -137,3 +137,13 @@ def test_the_tasks_check_is_that_of_the_columns(spark):
     raws = [raw for raw, *_ in CASES.values()] + ODD
     rows = check_responses(spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, raw string"), "raw").collect()
     assert {raws[r.i]: r.reason for r in rows} == {raw: problem(raw) for raw in raws}
+
+
+def test_topics_of_an_order_are_counted_in_its_row(spark, sf):
+    from checks.features import fea_topic_consolidation
+
+    df = fea_topic_consolidation(spark, sf)
+    plan = plan_of(df)
+    # a set of texts per order and a second hash table over orders and topics before
+    assert "collect_set" not in plan and "ObjectHashAggregate" not in plan and plan.count("keys=[l_orderkey") == plan.count("HashAggregate(keys")
+    assert df.count() == df.select("l_orderkey", "topic").distinct().count()
