@@ -17,13 +17,13 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str] = DATE_
     Rows are rebalanced by partition value first: few files for small partitions, while AQE splits
     one that holds a large share of the rows.
     """
-    (
-        df.hint("rebalance", *partitions)
-        .write.partitionBy(*partitions)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    write_placed(df.hint("rebalance", *partitions), path, partitions)
+
+
+def write_placed(df: DataFrame, path: str, partitions: Sequence[str] = DATE_PARTS) -> None:
+    """The same for rows that are dealt by partition already."""
+    writer = df.write.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
 
 
 def write_rollup(df: DataFrame, path: str) -> None:
@@ -74,15 +74,17 @@ def _leaves(dtype: T.StructType, col: Column, prefix: str) -> list[Column]:
     return out
 
 
-def flatten_insights(df: DataFrame, insight: str, call_date: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """Nested insight struct -> flat lower-case columns plus ``year``, ``month``, ``day``."""
+def date_parts(call_date: Column) -> list[Column]:
+    return [F.year(call_date), F.month(call_date), F.dayofmonth(call_date)]
+
+
+def flatten_insights(df: DataFrame, insight: str, call_date: Column | None, keep: Sequence[str] = ()) -> DataFrame:
+    """Nested insight struct -> flat lower-case columns plus ``year``, ``month``, ``day``, which are there if no date is given."""
     flat: list[Column] = []
     for field in df.schema[insight].dataType:
         flat += _leaves(field.dataType, F.col(insight)[field.name], field.name)
     return df.select(
         *keep,
         *flat,
-        F.year(call_date).alias("year"),
-        F.month(call_date).alias("month"),
-        F.dayofmonth(call_date).alias("day"),
+        *(DATE_PARTS if call_date is None else [c.alias(name) for name, c in zip(DATE_PARTS, date_parts(call_date), strict=True)]),
     )

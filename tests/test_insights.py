@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,17 @@ def test_topics_of_an_order_are_counted_in_its_row(spark, sf):
     # a set of texts per order and a second hash table over orders and topics before
     assert "collect_set" not in plan and "ObjectHashAggregate" not in plan and plan.count("keys=[l_orderkey") == plan.count("HashAggregate(keys")
     assert df.count() == df.select("l_orderkey", "topic").distinct().count()
+
+
+def test_days_are_published_from_narrow_rows(spark, sf, tmp_path):
+    from checks.views import _orders_with_bits, insight_records
+
+    rows, day = _orders_with_bits(spark, sf), F.col("o_orderdate").cast("date")
+    keep, tables = ["conversation_id", "advertiser_id"], [f"t_{uuid.uuid4().hex[:8]}" for _ in range(2)]
+    insights.publish_insights(insight_records(rows), tables[0], str(tmp_path / "wide"), day, keep=keep)
+    insights.publish_insights(rows, tables[1], str(tmp_path / "narrow"), day, keep=keep, derive=insight_records)
+    wide, narrow = (spark.table(t) for t in tables)
+    assert wide.columns == narrow.columns and wide.count() == narrow.count() == 1500
+    assert wide.exceptAll(narrow).count() == narrow.exceptAll(wide).count() == 0
+    # all that is shuffled of an order; nested insights of 66 columns before
+    assert rows.columns == ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "places", "words"]
