@@ -79,7 +79,7 @@ def position(demand: Column, knots: Column) -> Column:
     return piece["t"] + F.when(rest <= 0, F.lit(0.0)).otherwise(rest * 2 / (piece["a"] + root))
 
 
-def mix(
+def planned(
     rows: DataFrame,
     weights: Sequence[float] = WEIGHTS,
     share: float = 1.5,
@@ -120,11 +120,49 @@ def mix(
     )
 
 
-def training_order(mixed_rows: DataFrame) -> DataFrame:
+ORDER = ("position", "doc_id", "pass")
+
+
+def training_order(planned_rows: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """A row for each pass, range-sorted by position: ``words`` of the document's words are read there."""
-    rows = mixed_rows.withColumn("__pass", F.explode("passes"))
+    rows = planned_rows.withColumn("__pass", F.explode("passes"))
     rows = rows.withColumns({k: F.col(f"__pass.{k}") for k in ("pass", "position", "words")}).drop("__pass", "passes")
-    return rows.repartitionByRange("position", "doc_id", "pass").sortWithinPartitions("position", "doc_id", "pass")
+    return rows.repartitionByRange(*ORDER, *ties).sortWithinPartitions(*ORDER, *ties)
+
+
+def training_stream(planned_rows: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """The passes in training order as a written table, with ``start``: the words that the mix reads before.
+
+    A part of the range sort is a file; parts are summed first, so that no window covers more than one of them.
+    """
+    ranged = training_order(planned_rows, ties).withColumn("__part", F.spark_partition_id())
+    passes = written(ranged, "training_order")
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = passes.groupBy("__part").agg(F.sum("words").alias("__sum"))
+    offsets = parts.select("__part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"))
+    within = Window.partitionBy("__part").orderBy(*ORDER, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.col("__offset") + F.coalesce(F.sum("words").over(within), F.lit(0))
+    return passes.join(F.broadcast(offsets), "__part").withColumn("start", begun).drop("__part", "__offset")
+
+
+def mix(rows: DataFrame, **options) -> DataFrame:
+    """The mix by document: the columns of ``planned``, with ``taken`` and ``passes`` as the training stream has them.
+
+    Every pass goes through the range sort and gets its place in it, ``start``; ``passes`` lists a document's passes
+    with number, position, words and start, and is empty for one that the mix does not reach. ``options`` are those
+    of ``planned``.
+    """
+    plan = written(planned(rows, **options).withColumn("__row", F.monotonically_increasing_id()), "mix")
+    stream = training_stream(plan.select("doc_id", "__row", "passes"), ["__row"])
+    read = F.struct("pass", "position", "words", "start")
+    found = stream.groupBy("__row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(read)).alias("passes"))
+    none = F.array().cast(found.schema["passes"].dataType)
+    return (
+        plan.drop("taken", "passes")
+        .join(found, "__row", "left")
+        .withColumns({"taken": F.coalesce("taken", F.lit(0).cast("long")), "passes": F.coalesce("passes", none)})
+        .drop("__row")
+    )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -141,5 +179,5 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         has(docs, "source", "string").alias("source"),
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"),
     )
-    rows = training_order(mix(measured(rows).drop("text")))
+    rows = training_order(planned(measured(rows).drop("text")))
     return rows.filter(F.col("words") * 2 >= F.col("size")).select("__row.*")

@@ -321,3 +321,15 @@ def test_one_of_each_keeps_columns_of_any_name(spark):
     left = jaccard.one_of_each(docs)
     assert left.columns == docs.columns
     assert sorted(left.collect(), key=str) == sorted(docs.filter("doc_id = 1 OR doc_id IS NULL").unionAll(docs.filter("doc_id = 3").limit(1)).collect(), key=str)
+
+
+def test_mix_takes_its_words_through_the_range_sorted_stream(spark, docs):
+    rows = mixing.mix(mixing.measured(docs.unionAll(docs)))
+    assert "training_order" in str(rows.inputFiles())
+    found = rows.select("doc_id", "size", "taken", "target", "source", F.explode_outer("passes").alias("p")).collect()
+    read = sorted((r.p for r in found if r.p), key=lambda p: (p.start, p.start + p.words))
+    # the stream has no gaps: each pass starts where the one before it ends, in the order of positions
+    assert [p.start for p in read] == [0, *np.cumsum([p.words for p in read])[:-1]]
+    assert all(a.position <= b.position for a, b in itertools.pairwise(p for p in read if p.words))
+    assert rows.agg(F.sum("taken")).first()[0] == sum(p.words for p in read) == sum(round(t) for t in {r.source: r.target for r in found}.values())
+    assert rows.count() == 2 * docs.count()
