@@ -21,7 +21,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -161,11 +161,16 @@ class Encoder:
             return np.zeros(0, np.uint32)
         if len(self.known) > REMEMBERED or self.used > 8 * REMEMBERED:
             self.forget()
-        if new := set(found).difference(self.known):
+        # one look at each piece; only those that were missing are looked up again
+        at = np.fromiter(map(self.known.get, found, repeat(-1)), np.int64, len(found))
+        places = np.flatnonzero(at < 0)
+        if len(places):
+            missing = [found[i] for i in places.tolist()]
+            new = set(missing)
             if max(map(len, new)) > LONGEST:
                 return self._with_long(found, {x for x in new if len(x) > LONGEST})
             self._learn(new, {found[0], found[-1]})
-        at = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+            at[places] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
         size = self.size[at]
         ends = np.cumsum(size)
         return self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])]
