@@ -6,6 +6,9 @@ the segments' allowances add up to more than the largest possible difference, tw
 segment (allowance 1) or differ by at most one shingle there (allowance 2). So each set is indexed by its
 subset in each segment and, where the allowance is 2, by that subset's one-deletion neighbourhood. How many
 segments get which allowance is chosen for each band by cost: rows to index against chance agreements.
+
+Sets agree by chance where a segment has one shingle or none. A set of which the segments with two shingles or more
+have allowances beyond its own largest difference cannot miss a similar set by these, so it is not indexed by smaller subsets.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from parley.llm.components import components
 
 #: Bits of the map that spares rows of which no other set has the signature; it is an aid only.
 MAP_BITS = 26
+#: Shingles of a subset that sets are indexed by, where their allowances leave it to them.
+LEAST = 2
 #: Members of a signature's group that are compared with the others in the first rounds, and in later ones: few at
 #: first, as most of a large group of near copies joins by way of any of them.
 HUBS = (1, 32, 256)
@@ -53,33 +58,44 @@ class Bands:
     def _plan(self, band: int) -> tuple[int, int]:
         """Segments, and how many of them (the first ones) have allowance 2.
 
-        The cost of a set is the rows that it is indexed by and the sets that agree with it by chance,
-        which is likely where a segment has no shingle, or one of which the neighbourhood is empty.
+        The cost of a set is the rows that it is indexed by and the sets that agree with it by chance. That is likely
+        where a segment has no shingle, or one of which the neighbourhood is empty; such rows are left out if
+        the larger subsets suffice, as they mostly do from a number of segments on.
         """
         differ = (100 - self.percent) * self.most(band) // self.percent
         n, others = self.ratio**band, self.counts.get(band, 0) + self.counts.get(band + 1, 0)
-        best = None
-        for double in range((differ + 1) // 2 + 1):
-            segments = differ + 1 - double
-            none = (1 - 1 / segments) ** n if segments > 1 else 0.0
-            one = n / segments * (1 - 1 / segments) ** (n - 1) if segments > 1 else float(n <= 1)
-            rows = segments + double * n / segments
-            cost = rows + others * ((segments - double) * none**2 + double * (none + one) ** 2)
-            if best is None or cost < best[0]:
-                best = (cost, segments, double)
-        return best[1], best[2]
+        steps = np.unique(np.linspace(0, (differ + 1) // 2, 100).astype(np.int64))
+        double, spare = (x.ravel() for x in np.meshgrid(steps, np.arange(0, 0.6, 0.02)))
+        segments = differ + 1 - double + np.floor(spare * differ).astype(np.int64)
+        mean = self.most(band) / segments
+        none, one, two = np.exp(-mean), mean * np.exp(-mean), mean**2 / 2 * np.exp(-mean)
+        single, several = segments - double, 1 - none - one
+        enough = single * several + double * (2 * several - two) - np.sqrt(segments) / 2 >= differ + 1
+        none = (1 - 1 / segments) ** n
+        one = n / segments * (1 - 1 / np.maximum(segments, 2)) ** (n - 1)
+        every = segments + double * n / segments + others * (single * none**2 + double * (none + one) ** 2)
+        cost = np.where(enough, segments * several + double * mean * several, every)
+        best = np.lexsort((segments, cost))[0]
+        return int(segments[best]), int(double[best])
 
     def signatures(self, doc: np.ndarray, shingle: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Set numbers and signatures. A set is indexed in its own band and in the one below, if that has near enough sizes."""
+        """Set numbers and signatures. A set is indexed in its own band and in the one below, if that has near enough sizes.
+
+        A set's level is the least number of shingles of the subsets that it is indexed by: the largest, up to ``LEAST``, at which
+        the allowances of its segments add up to more than its differences from any similar set. Of two similar
+        sets the one with the higher level shares a subset of that size with the other, whose level leaves it in.
+        """
         sizes = np.bincount(doc, minlength=n)
         band = self.of(np.maximum(sizes, 1), self.percent)
         out_doc, out = [], []
         for step in (0, -1):
             b = band + step
             use = (sizes > 0) & (b >= 0)
+            differ = (100 - self.percent) * sizes // self.percent
             if step:  # the largest set of the band below has to be near enough
-                most = np.array([self.most(x) for x in range(int(b.max(initial=0)) + 1)] or [0])
-                use &= 100 * most[np.maximum(b, 0)] >= self.percent * sizes
+                most = np.array([self.most(x) for x in range(int(b.max(initial=0)) + 1)] or [0])[np.maximum(b, 0)]
+                use &= 100 * most >= self.percent * sizes
+                differ = (100 - self.percent) * (most + sizes) // (100 + self.percent)
             plans = np.array([self.plans.get(x, (1, 0)) for x in range(int(b.max(initial=0)) + 1)] or [(1, 0)])
             segments, double = plans[np.maximum(b, 0)].T
             mine = use[doc]
@@ -95,9 +111,15 @@ class Bands:
             lows, highs = np.bincount(cell, low, total), np.bincount(cell, high, total)
             owner = np.repeat(np.arange(n), sizes_of)
             number = np.arange(total) - base[owner]
-            out_doc.append(owner)
-            out.append(self._signature(b[owner], number, lows, highs))
-            near = place < double[d]
+            held, twice = np.bincount(cell, minlength=total), number < double[owner]
+            level = np.zeros(n, np.int64)
+            for least in range(1, LEAST + 1):
+                allowed = (held >= least).astype(np.int64) + (twice & (held > least))
+                level[np.bincount(owner, allowed, n) > differ] = least
+            keep = held >= level[owner]
+            out_doc.append(owner[keep])
+            out.append(self._signature(b[owner[keep]], number[keep], lows[keep], highs[keep]))
+            near = (place < double[d]) & (held[cell] > level[d])
             c = cell[near]
             out_doc.append(d[near])
             out.append(self._signature(b[d[near]], place[near], lows[c] - low[near], highs[c] - high[near]))
@@ -164,35 +186,35 @@ def map_of(rows: DataFrame, column: str) -> bytes:
     return out.tobytes()
 
 
-def signed(docs: DataFrame, words: int, bands: Bands, present: bytes | None = None) -> DataFrame:
-    """``sig, id`` of the sets; if a map of signatures is given, those alone that it has, with ``n`` and the sketch of the set."""
-    shared = docs.sparkSession.sparkContext.broadcast((bands, present))
+def signed(docs: DataFrame, words: int, bands: Bands, rows: bytes, present: bytes | None = None) -> DataFrame:
+    """``sig`` of the sets in a map of ``rows``; if a map of signatures is given, those alone that it has, with ``id, n`` and the sketch of the set."""
+    shared = docs.sparkSession.sparkContext.broadcast((bands, rows, present))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, present = shared.value
-        known = np.frombuffer(present, np.uint8) if present else None
+        bands, rows, present = shared.value
+        wanted, known = np.frombuffer(rows, np.uint8), np.frombuffer(present, np.uint8) if present else None
         for batch in batches:
-            for _, texts in pieces(batch, "text"):
-                doc, shingle = Words(texts).shingles(words)
-                size, name = identity(doc, shingle, len(texts))
-                of_set = [name]
-                if known is not None:
-                    of_set += [size.astype(np.int64), *sketches(doc, shingle, len(texts))]
-                doc, sig = bands.signatures(doc, shingle, len(texts))
+            for part, texts in pieces(batch, "text"):
+                texts = [x if mine else b"" for x, mine in zip(texts, bit(wanted, part.column("row").to_numpy()).tolist(), strict=True)]
+                set_of, shingle = Words(texts).shingles(words)
+                doc, sig = bands.signatures(set_of, shingle, len(texts))
+                of_set = []
                 if known is not None:
                     keep = bit(known, sig)
                     doc, sig = doc[keep], sig[keep]
+                    size, name = identity(set_of, shingle, len(texts))
+                    of_set = [name, size.astype(np.int64), *sketches(set_of, shingle, len(texts))]
                 for at in range(0, len(sig), 500_000):
                     mine = doc[at : at + 500_000]
                     yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 500_000]), *[pa.array(x[mine]) for x in of_set]], columns)
 
-    columns = ["sig", "id", *(["n", *SKETCH] if present else [])]
-    return docs.select("text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+    columns = ["sig", *(["id", "n", *SKETCH] if present else [])]
+    return docs.select("row", "text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
-def _texts(ids: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+def _texts(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``id, text``, written: a text of each of these classes; other texts are not shuffled."""
-    rows = written(sets.join(ids, "id", "left_semi").groupBy("id").agg(F.min("row").alias("row")), "needed")
+    rows = written(classes.join(ids, "id", "left_semi"), "needed")
     shared = docs.sparkSession.sparkContext.broadcast(map_of(rows, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +223,9 @@ def _texts(ids: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(bit(known, batch.column("row").to_numpy())))
 
     found = docs.select("row", "text")
-    found = found.mapInArrow(run, found.schema).join(rows, "row").groupBy("id").agg(F.any_value("text").alias("text"))
-    found = written(found, "needed-texts")
+    # rows that are equal in id and text are dealt to one partition by the join
+    found = found.mapInArrow(run, found.schema).join(rows, "row").groupBy("row", "id").agg(F.any_value("text").alias("text"))
+    found = written(found.select("id", "text"), "needed-texts")
     discard(rows)
     return found
 
@@ -250,16 +273,27 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     band = F.floor(F.log(F.col("n")) / (-2 * math.log(percent / 100)) + 1e-9).cast("int")
     # a row for each band, of which there are about a hundred
     bands = Bands(percent, {r[0]: r[1] for r in count.groupBy(band.alias("band")).agg(F.sum("c")).collect()})
-    found = signed(docs, words, bands).groupBy("sig").agg(F.min("id").alias("hub"), F.max("id").alias("other"))
-    shared = written(found.filter("hub <> other").select("sig", "hub"), "shared")
+    # copies of a set have all signatures in common, so one of them is enough
+    classes = written(sets.filter("id IS NOT NULL").groupBy("id").agg(F.min("row").alias("row")), "classes")
+    rows = map_of(classes, "row")
+    # nearly every signature is alone, so counting them before they are dealt would only take memory
+    found = signed(docs, words, bands, rows).repartition("sig").groupBy("sig").agg(F.count("*").alias("c"))
+    shared = written(found.filter("c > 1").select("sig"), "shared")
     if shared.isEmpty():
+        discard(shared, classes)
         return None
-    members = signed(docs, words, bands, map_of(shared, "sig")).distinct()
-    members = written(members.join(shared.select("sig"), "sig", "left_semi"), "members")
+    members = signed(docs, words, bands, rows, map_of(shared, "sig"))
+    members = written(members.join(shared, "sig", "left_semi").distinct(), "members")
     discard(shared)
-    texts = _texts(members.select("id").distinct(), docs, sets)
-    reached = joined(members, lambda pairs: verified(pairs, texts, words), percent)
-    discard(texts)
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, classes)
+        found = verified(pairs, texts, words)
+        discard(texts)
+        return found
+
+    reached = joined(members, verify, percent)
+    discard(classes)
     return reached
 
 
@@ -274,18 +308,18 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
     """
     spark = members.sparkSession
     reached, known = spark.createDataFrame([], "id long, component long"), spark.createDataFrame([], "a long, b long")
-    left, past = members.select("sig", "id", "n", *SKETCH), [members]
+    left, past = members, [members]
     for turn in itertools.count():
-        now = left.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = now.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("sig")
-        left = written(now.join(split, "sig", "left_semi"), "left")
+        now = left.join(reached, "id", "left") if turn else left.withColumn("component", F.col("id"))
+        now = now.withColumn("component", F.coalesce("component", "id"))
+        size = now.groupBy("sig", "component").agg(F.count("*").alias("m"))
+        split = size.groupBy("sig").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("c")).filter("c > 1")
+        left = written(now.join(split.drop("c"), "sig"), "left")
         discard(*past)
         if left.isEmpty():
             return reached
-        size = left.groupBy("sig", "component").agg(F.count("*").alias("m"))
-        main = size.groupBy("sig").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
         place = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
-        hubs = left.join(main, "sig").filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS[min(turn, len(HUBS) - 1)])
+        hubs = left.filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS[min(turn, len(HUBS) - 1)])
         hubs = written(hubs.select("sig", *[F.col(c).alias(f"hub_{c}") for c in ("id", "n", *SKETCH, "component")]), "hubs")
         pairs = left.join(hubs, "sig").filter("component <> hub_component").filter(may_link(percent))
         pairs = pairs.select(
@@ -303,7 +337,7 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
         discard(pairs)
         past = [left, hubs]
         done = hubs.select("sig", F.col("hub_id").alias("id"))
-        left = left.drop("component").join(done, ["sig", "id"], "left_anti")
+        left = left.drop("component", "main").join(done, ["sig", "id"], "left_anti")
 
 
 def _tied(reached: DataFrame, links: DataFrame) -> DataFrame:

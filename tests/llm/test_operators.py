@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, stages, tokens, toxicity, warc
+from parley.llm.common import written
 from parley.llm.components import components
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
@@ -333,3 +334,37 @@ def test_mix_takes_its_words_through_the_range_sorted_stream(spark, docs):
     assert all(a.position <= b.position for a, b in itertools.pairwise(p for p in read if p.words))
     assert rows.agg(F.sum("taken")).first()[0] == sum(p.words for p in read) == sum(round(t) for t in {r.source: r.target for r in found}.values())
     assert rows.count() == 2 * docs.count()
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_share_one_of_few_signatures(percent):
+    rng = np.random.default_rng(11)
+    sets, links = [], []
+    for i in range(600):
+        size = int(rng.choice([1, 2, 3, 5, 8, 13, 24, 40, 90, 180, 400]) * rng.uniform(1, 1.6)) or 1
+        base = rng.integers(0, 2**63, size, dtype=np.uint64)
+        # as many differences as a link allows, split at random between what is left out and what is added
+        out = int(rng.integers(0, (100 - percent) * size // 100 + 1))
+        added = (100 * (size - out) - percent * size) // percent
+        sets += [base, np.concatenate((base[out:], rng.integers(0, 2**63, added, dtype=np.uint64)))]
+        if len(sets[-1]):
+            links.append((2 * i, 2 * i + 1))
+    sizes = np.array([len(s) for s in sets])
+    bands = jaccard.Bands(percent, dict(zip(*(x.tolist() for x in np.unique(jaccard.Bands.of(np.maximum(sizes, 1), percent), return_counts=True)), strict=True)))
+    doc, sig = bands.signatures(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), len(sets))
+    of = {}
+    for d, s in zip(doc.tolist(), sig.tolist(), strict=True):
+        of.setdefault(d, set()).add(s)
+    assert all(of[a] & of[b] for a, b in links) and len(links) > 500
+    assert len(sig) < 0.6 * sizes.sum()
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {folders.apply(i).getName() for i in range(folders.size()) if folders.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    table = written(spark.range(1000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
+    assert not files() - before
+    assert table.count() == 97 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
