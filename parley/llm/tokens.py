@@ -22,16 +22,16 @@ import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, repeat
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import has, written
+from parley.llm.common import has, parts, written
 from parley.settings import work_folder
 
 MAGIC, HEAD, FOOT = b"PFOR1\0\0\0", struct.Struct("<IBHH"), struct.Struct("<QQQQ8s")
@@ -44,6 +44,10 @@ REMEMBERED, LONGEST = 1_400_000, 64
 #: White space of the tokenizer's splitting rule.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SOURCE = "byte_bpe_50k.json"
+#: The UTF-8 bytes of what is not ASCII in it, as numbers.
+_WIDE = [int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: Bytes of text that a task encodes at a time; one longer text is taken alone.
+PIECE_BYTES = 8_000_000
 
 
 def default_tokenizer() -> str:
@@ -107,17 +111,23 @@ def unpack_block(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
 class Encoder:
     """Token ids of whole texts; each distinct piece of text goes through the tokenizer once.
 
-    A piece is a run of white space with the run of other characters behind it. The tokenizer's own
-    splitting never joins characters across the start of a white-space run, so the ids of a text are
-    those of its pieces, one after the other. The memory of pieces is emptied when full.
+    A piece starts where a text does, or at the first character of a run of white space, if that is an ASCII one.
+    The tokenizer's own splitting never joins characters across the start of a white-space run, so the ids
+    of a text are those of its pieces, one after the other. Arrow finds the distinct pieces of many texts
+    at a time. The memory of pieces is emptied when full.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
         self.blank = re.compile(f"[{_SPACE}]").match
+        # a token of the byte-level vocabulary has a character for each byte, an added one is plain text
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes[i] = len(token)
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[i] = len(token.content.encode())
         self.forget()
 
     def forget(self) -> None:
@@ -125,18 +135,21 @@ class Encoder:
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
-    def _learn(self, new: set[str], ends: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         # pieces from white space up to another character stay apart in one text; a text's first and last may not
-        outer = [x for x in ends & new if not self.blank(x) or self.blank(x[-1])]
-        self._keep(list(new.difference(outer)), self._in_one)
-        self._keep(outer, self._each)
+        outer = [not self.blank(x) or bool(self.blank(x[-1])) for x in new]
+        self._keep([x for x, far in zip(new, outer, strict=True) if not far], self._in_one)
+        self._keep([x for x, far in zip(new, outer, strict=True) if far], self._each)
 
     def _in_one(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces and their numbers: those of one text, cut where the next piece starts."""
-        out = self.tokenizer.encode("".join(some), add_special_tokens=False)
-        start = np.fromiter(map(itemgetter(0), out.offsets), np.int64)
-        cuts = np.searchsorted(start, np.cumsum(np.fromiter(map(len, some), np.int64)))
-        return np.array(out.ids, np.uint32), np.diff(cuts, prepend=0)
+        out = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+        ids, ends = np.array(out.ids, np.uint32), np.cumsum(np.fromiter((len(x.encode()) for x in some), np.int64))
+        start = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.bytes[ids])))
+        cuts = np.searchsorted(start, ends)
+        if not np.array_equal(start[cuts], ends):
+            return self._each(some)
+        return ids, np.diff(cuts, prepend=0)
 
     def _each(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
@@ -155,37 +168,54 @@ class Encoder:
             self.used += len(flat)
             self.known.update(zip(new[k : k + 8192], range(n, m), strict=False))
 
-    def encode(self, text: str) -> np.ndarray:
-        found = self.find(text)
-        if not found:
-            return np.zeros(0, np.uint32)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (NULL: empty), one after the other, and the number of each text's ids."""
+        first, places, words = cut(texts)
         if len(self.known) > REMEMBERED or self.used > 8 * REMEMBERED:
             self.forget()
-        # one look at each piece; only those that were missing are looked up again
-        at = np.fromiter(map(self.known.get, found, repeat(-1)), np.int64, len(found))
-        places = np.flatnonzero(at < 0)
-        if len(places):
-            missing = [found[i] for i in places.tolist()]
-            new = set(missing)
-            if max(map(len, new)) > LONGEST:
-                return self._with_long(found, {x for x in new if len(x) > LONGEST})
-            self._learn(new, {found[0], found[-1]})
-            at[places] = np.fromiter(map(self.known.__getitem__, missing), np.int64, len(missing))
-        size = self.size[at]
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(at < 0)
+        new = [distinct[i] for i in missing.tolist()]
+        long = [x for x in new if len(x) > LONGEST]
+        self._learn([x for x in new if len(x) <= LONGEST] if long else new)
+        flat, start, size = self.flat, self.start, self.size
+        if long:  # long pieces are encoded each time and not remembered
+            ids, lengths = self._each(long)
+            far = dict(zip(long, range(len(self.known), len(self.known) + len(long)), strict=True))
+            start = np.concatenate((start[: len(self.known)], self.used + np.cumsum(lengths) - lengths))
+            size, flat = np.concatenate((size[: len(self.known)], lengths)), np.concatenate((flat[: self.used], ids))
+            at[missing] = [far[x] if x in far else self.known[x] for x in new]
+        else:
+            at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        at = at[coded.indices.to_numpy()]
+        size = size[at]
         ends = np.cumsum(size)
-        return self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])]
-
-    def _with_long(self, found: list[str], long: set[str]) -> np.ndarray:
-        """Long pieces are encoded each time and not remembered."""
-        self._learn(set(found).difference(self.known, long), {found[0], found[-1]})
-        parts = []
-        for x in found:
-            if x in long:
-                parts.append(np.asarray(self.tokenizer.encode(x, add_special_tokens=False).ids, np.uint32))
-            else:
-                s = self.start[self.known[x]]
-                parts.append(self.flat[s : s + self.size[self.known[x]]])
-        return np.concatenate(parts)
+        total = np.concatenate((np.zeros(1, np.int64), ends))
+        ids = flat[np.repeat(start[at] - ends + size, size) + np.arange(total[-1])]
+        return ids, np.diff(total[np.searchsorted(places, first)])
+
+
+def cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where texts start (and the last ends) and where their pieces do, in bytes, and the pieces."""
+    texts = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")])
+    _, offsets, data = texts.buffers()
+    first = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+    raw = np.frombuffer(data, np.uint8, int(first[-1])) if data else np.zeros(0, np.uint8)
+    blank = (raw - np.uint8(9) < 5) | (raw == 0x20)
+    begins = blank.copy()
+    begins[1:] &= ~blank[:-1]
+    at = np.flatnonzero(begins)
+    at = at[raw[at - 1] >= 0x80]  # behind white space that is not ASCII, or another character
+    two, three = raw[at - 2], raw[at - 3]
+    at = at[(two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))]
+    before = (raw[at - 2].astype(np.int64) << 8) | raw[at - 1]
+    begins[at[np.isin(before, _WIDE) | np.isin(raw[at - 3].astype(np.int64) << 16 | before, _WIDE)]] = False
+    begins[first[:-1][np.diff(first) > 0]] = True
+    places = np.flatnonzero(begins)
+    ends = np.append(places, len(raw))
+    return first, places, pa.Array.from_buffers(pa.large_string(), len(places), [None, pa.py_buffer(ends.astype(np.int64)), data])
 
 
 @lru_cache(maxsize=1)
@@ -212,11 +242,11 @@ class Writer:
         self.rest, self.waiting, self.ids = [], 0, 0
         out.write(MAGIC)
 
-    def add(self, doc_id: int | None, *ids: np.ndarray) -> None:
-        n = sum(map(len, ids))
-        self.docs.append((doc_id, n))
-        self.rest += ids
-        self.waiting += n
+    def add(self, doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> None:
+        """Documents one after the other; ``ids`` are those of all."""
+        self.docs += zip(doc_ids, sizes, strict=True)
+        self.rest.append(ids)
+        self.waiting += len(ids)
         if self.waiting >= 256 * BLOCK:
             self._blocks(self.waiting - self.waiting % BLOCK)
 
@@ -282,20 +312,22 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     path = tokenizer or default_tokenizer()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, store, encoder, end = None, None, _encoder(path), np.array([end_id], np.uint32)
-        part = TaskContext.get().partitionId()
+        writer, store, encoder = None, None, _encoder(path)
+        part_id = TaskContext.get().partitionId()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for part in parts(batch, "text", PIECE_BYTES):
                 if writer is None:
                     store, base = open_folder(folder)
                     store.create_dir(base)
-                    name = f"{base}/part-{part:05d}-{uuid.uuid4().hex[:12]}.pfor"
+                    name = f"{base}/part-{part_id:05d}-{uuid.uuid4().hex[:12]}.pfor"
                     writer = Writer(name, store.open_output_stream(name))
-                writer.add(doc_id, encoder.encode(text or ""), end)
+                ids, sizes = encoder.encode(part.column("text"))
+                ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
+                writer.add(part.column("doc_id").to_pylist(), (sizes + 1).tolist(), ids)
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pylist(
-                [{"part": part, "path": writer.path, "documents": len(writer.docs), "ids": writer.ids}],
+                [{"part": part_id, "path": writer.path, "documents": len(writer.docs), "ids": writer.ids}],
                 pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]),
             )
 

@@ -5,6 +5,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -368,3 +369,14 @@ def test_written_tables_leave_no_shuffle_files(spark):
     table = written(spark.range(1000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
     assert not files() - before
     assert table.count() == 97 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_texts_are_encoded_together_as_the_tokenizer_does_alone():
+    rng = np.random.default_rng(6)
+    signs = [*" \t\n\r\x0b\x1c\x85\xa0     　ab1.'é中ж̀", "  ", " and", "'s", "<|endoftext|>", "ą", "ࠀ", "x" * 70]
+    texts = [None, "", *("".join(signs[i] for i in rng.integers(0, len(signs), rng.integers(0, 15))) for _ in range(3000))]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    for some in (texts, texts[:1], texts[:2], [], [" "], texts):
+        ids, sizes = encoder.encode(pa.array(some, pa.string()))
+        want = [encoder.tokenizer.encode(x or "", add_special_tokens=False).ids for x in some]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
