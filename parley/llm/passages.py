@@ -30,9 +30,9 @@ _SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA07
 
 
 class Paragraphs:
-    """The paragraphs of some texts that are long enough: text, first word, words, class and band signatures."""
+    """The paragraphs of some texts that are long enough: text, first word, words and class, and if asked for sketches and band signatures."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], signed: bool = True, sketched: bool = True):
         words = Words(texts)
         n, raw = len(words.hash), np.frombuffer(words.text, np.uint8)
         ends = np.zeros(n, bool)
@@ -50,9 +50,11 @@ class Paragraphs:
         self.number = np.flatnonzero(long)
         self.first = first[:-1][long] - words.first[self.text]
         self.name, self.size = name[long], size[long].astype(np.int64)
-        self.sketch = [x[long] for x in sketches(unit, shingle, len(first) - 1)]
+        self.sketch = [x[long] for x in sketches(unit, shingle, len(first) - 1)] if sketched else []
         self.bytes = (words.start[first[:-1][long]], words.end[first[1:][long] - 1])
         self.raw = words.text
+        if not signed:
+            return
         keep = long[unit]
         begin = np.concatenate(([0], np.cumsum(size[long])))[:-1]
         self.signatures = np.zeros((BANDS, len(self.name)), np.int64)
@@ -73,7 +75,7 @@ def _signed(docs: DataFrame, present: bytes | None = None) -> DataFrame:
         known = np.frombuffer(shared.value, np.uint8) if shared.value else None
         for batch in batches:
             for part, texts in pieces(batch, "text"):
-                found, rows = Paragraphs(texts), part.column("row").to_numpy()
+                found, rows = Paragraphs(texts, sketched=known is not None), part.column("row").to_numpy()
                 for sig in found.signatures:
                     keep = bit(known, sig) if known is not None else np.ones(len(sig), bool)
                     of_set = (found.name, rows[found.text], *([found.size, *found.sketch] if present else []))
@@ -91,7 +93,7 @@ def _listed(docs: DataFrame, ids: DataFrame, texts: bool) -> DataFrame:
         known = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             for part, raw in pieces(batch, "text"):
-                found = Paragraphs(raw)
+                found = Paragraphs(raw, signed=False, sketched=False)
                 keep = np.flatnonzero(bit(known, found.name))
                 if texts:
                     text = [found.raw[a:b] for a, b in zip(found.bytes[0][keep].tolist(), found.bytes[1][keep].tolist(), strict=True)]
@@ -111,8 +113,8 @@ def _clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes that share a band signature with another text's paragraph, and components of those that are similar."""
     found = _signed(docs).groupBy("sig").agg(F.min("id").alias("hub"), F.max("id").alias("other"), F.min("row").alias("x"), F.max("row").alias("y"))
     shared = written(found.filter("hub <> other OR x <> y").select("sig", F.expr("hub <> other").alias("varied")), "bands")
-    members = _signed(docs, map_of(shared, "sig")).select("sig", "id", "n", *SKETCH).distinct()
-    members = written(members.join(shared, "sig"), "band-members")
+    members = _signed(docs, map_of(shared, "sig")).select("sig", "id", "n", *SKETCH)
+    members = written(members.join(shared, "sig").distinct(), "band-members")
     ids = written(members.select("id").distinct(), "paragraph-classes")
     members = members.filter("varied").drop("varied")
     texts = written(_listed(docs, written(members.select("id").distinct(), "needed"), texts=True), "paragraph-texts")

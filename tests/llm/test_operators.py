@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import decontaminate, jaccard, language, mixing, neighbours, passages, sharding, stages, tokens, toxicity, warc
+from parley.llm import common, decontaminate, jaccard, language, mixing, neighbours, passages, sharding, stages, tokens, toxicity, warc
 from parley.llm.common import written
 from parley.llm.components import components
 
@@ -380,3 +380,18 @@ def test_texts_are_encoded_together_as_the_tokenizer_does_alone():
         ids, sizes = encoder.encode(pa.array(some, pa.string()))
         want = [encoder.tokenizer.encode(x or "", add_special_tokens=False).ids for x in some]
         assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+
+def test_runs_of_many_short_parts_are_those_of_long_ones(monkeypatch):
+    texts = [b"a b c d e f g", b"", b"x " * 9, b"one Two", b"a b c d e a b c d e a b c d e"] * 3
+    words, found = common.Words(texts), []
+    for longest in (0, 10**9):
+        monkeypatch.setattr(common, "LONG_PART", longest)
+        doc, h = words.shingles(5)
+        assert (np.diff(doc) >= 0).all()
+        found.append(sorted(zip(doc.tolist(), h.tolist(), strict=True)))
+    assert found[0] == found[1]
+    for i, t in enumerate(texts):
+        assert sum(d == i for d, _ in found[0]) == len(jaccard.grams(t, 5))
+    # what no later step reads is not made
+    assert not passages.Paragraphs(texts, signed=False, sketched=False).sketch
