@@ -163,20 +163,12 @@ def contamination(found: DataFrame) -> DataFrame:
 
 def without_passages(found: DataFrame) -> DataFrame:
     """The documents with the spans cut out of their texts; those of which no word is left go."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                if spans:
-                    ends = [0, *(s["end_byte"] for s in spans)]
-                    begins = [*(s["first_byte"] for s in spans), len(texts[i])]
-                    texts[i] = b"".join(texts[i][a:b] for a, b in zip(ends, begins, strict=True))
-            columns = [pa.array(texts, pa.binary()).cast(f.type) if f.name == "text" else batch.column(f.name) for f in batch.schema]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
     hit = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end_word"] - s["first_word"])
     left = found.filter((hit == 0) | (hit < F.col("n_words")))
-    return left.mapInArrow(cut, left.schema).drop("n_words", "spans", "items")
-
-
+    # no second Python step, for which each task would need another worker
+    ends = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["end_byte"]))
+    begins = F.concat(F.transform("spans", lambda s: s["first_byte"]), F.array(F.octet_length("text")))
+    raw = F.col("text").cast("binary")
+    kept = F.zip_with(ends, begins, lambda a, b: F.substring(raw, a + 1, b - a).cast("string"))
+    text = F.when(F.size("spans") > 0, F.array_join(kept, "")).otherwise(F.col("text"))
+    return left.withColumn("text", text).drop("n_words", "spans", "items")

@@ -307,7 +307,8 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
     removed as soon as the next ones are written.
     """
     spark = members.sparkSession
-    reached, known = spark.createDataFrame([], "id long, component long"), spark.createDataFrame([], "a long, b long")
+    none = spark.range(0, 0, 1, 1)  # rows of the driver, even none of them, would start further Python workers
+    reached, known = none.select("id", F.col("id").alias("component")), none.select(F.col("id").alias("a"), F.col("id").alias("b"))
     left, past = members, [members]
     for turn in itertools.count():
         now = left.join(reached, "id", "left") if turn else left.withColumn("component", F.col("id"))

@@ -21,7 +21,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ _SOURCE = "byte_bpe_50k.json"
 #: The UTF-8 bytes of what is not ASCII in it, as numbers.
 _WIDE = [int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Bytes of text that a task encodes at a time; one longer text is taken alone.
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 4_000_000
 
 
 def default_tokenizer() -> str:
@@ -114,7 +114,8 @@ class Encoder:
     A piece starts where a text does, or at the first character of a run of white space, if that is an ASCII one.
     The tokenizer's own splitting never joins characters across the start of a white-space run, so the ids
     of a text are those of its pieces, one after the other. Arrow finds the distinct pieces of many texts
-    at a time. The memory of pieces is emptied when full.
+    at a time, and those that are known; a known piece is a row of an Arrow array and not a Python string, as
+    a worker has many. The memory of pieces is emptied when full.
     """
 
     def __init__(self, path: str):
@@ -131,15 +132,23 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Remembers pieces; their numbers."""
+        texts = new.to_pylist()
         # pieces from white space up to another character stay apart in one text; a text's first and last may not
-        outer = [not self.blank(x) or bool(self.blank(x[-1])) for x in new]
-        self._keep([x for x, far in zip(new, outer, strict=True) if not far], self._in_one)
-        self._keep([x for x, far in zip(new, outer, strict=True) if far], self._each)
+        outer = np.fromiter((not self.blank(x) or bool(self.blank(x[-1])) for x in texts), bool, len(texts))
+        order = np.argsort(outer, kind="stable")
+        split, n = len(texts) - int(outer.sum()), len(self.known)
+        self.known = pa.concat_arrays([self.known, new.take(pa.array(order))])
+        self._keep([texts[i] for i in order[:split].tolist()], n, self._in_one)
+        self._keep([texts[i] for i in order[split:].tolist()], n + split, self._each)
+        number = np.empty(len(texts), np.int64)
+        number[order] = np.arange(n, n + len(texts))
+        return number
 
     def _in_one(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces and their numbers: those of one text, cut where the next piece starts."""
@@ -155,10 +164,11 @@ class Encoder:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64)
 
-    def _keep(self, new: list[str], encoded: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+    def _keep(self, new: list[str], n: int, encoded: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        """The ids of pieces that are numbered from ``n`` on."""
         for k in range(0, len(new), 8192):
             flat, size = encoded(new[k : k + 8192])
-            n, m = len(self.known), len(self.known) + len(size)
+            m = n + len(size)
             while m > len(self.start):
                 self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
             while self.used + len(flat) > len(self.flat):
@@ -166,7 +176,7 @@ class Encoder:
             self.start[n:m], self.size[n:m] = self.used + np.cumsum(size) - size, size
             self.flat[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
-            self.known.update(zip(new[k : k + 8192], range(n, m), strict=False))
+            n = m
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (NULL: empty), one after the other, and the number of each text's ids."""
@@ -174,21 +184,18 @@ class Encoder:
         if len(self.known) > REMEMBERED or self.used > 8 * REMEMBERED:
             self.forget()
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        distinct = coded.dictionary
+        at = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
         missing = np.flatnonzero(at < 0)
-        new = [distinct[i] for i in missing.tolist()]
-        long = [x for x in new if len(x) > LONGEST]
-        self._learn([x for x in new if len(x) <= LONGEST] if long else new)
+        far = pc.utf8_length(distinct.take(pa.array(missing))).to_numpy() > LONGEST
+        at[missing[~far]] = self._learn(distinct.take(pa.array(missing[~far])))
         flat, start, size = self.flat, self.start, self.size
-        if long:  # long pieces are encoded each time and not remembered
-            ids, lengths = self._each(long)
-            far = dict(zip(long, range(len(self.known), len(self.known) + len(long)), strict=True))
-            start = np.concatenate((start[: len(self.known)], self.used + np.cumsum(lengths) - lengths))
-            size, flat = np.concatenate((size[: len(self.known)], lengths)), np.concatenate((flat[: self.used], ids))
-            at[missing] = [far[x] if x in far else self.known[x] for x in new]
-        else:
-            at[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        if far.any():  # long pieces are encoded each time and not remembered
+            ids, lengths = self._each(distinct.take(pa.array(missing[far])).to_pylist())
+            n = len(self.known)
+            at[missing[far]] = np.arange(n, n + len(lengths))
+            start = np.concatenate((start[:n], self.used + np.cumsum(lengths) - lengths))
+            size, flat = np.concatenate((size[:n], lengths)), np.concatenate((flat[: self.used], ids))
         at = at[coded.indices.to_numpy()]
         size = size[at]
         ends = np.cumsum(size)
@@ -324,6 +331,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                 ids, sizes = encoder.encode(part.column("text"))
                 ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
                 writer.add(part.column("doc_id").to_pylist(), (sizes + 1).tolist(), ids)
+            pa.default_memory_pool().release_unused()  # the worker stays for later stages, with what Arrow keeps
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pylist(

@@ -395,3 +395,43 @@ def test_runs_of_many_short_parts_are_those_of_long_ones(monkeypatch):
         assert sum(d == i for d, _ in found[0]) == len(jaccard.grams(t, 5))
     # what no later step reads is not made
     assert not passages.Paragraphs(texts, signed=False, sketched=False).sketch
+
+
+def test_known_pieces_take_little_memory():
+    import tracemalloc
+
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    texts = pa.array([" ".join(f"w{i}" for i in range(k, 100_000, 50)) for k in range(50)], pa.string())
+    tracemalloc.start()
+    encoder.encode(texts)
+    held = tracemalloc.get_traced_memory()[0] + encoder.known.nbytes
+    tracemalloc.stop()
+    assert len(encoder.known) == 100_000 and held < 110 * len(encoder.known)
+
+
+def test_written_tables_take_small_batches(spark, tmp_path):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    texts = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("0123456789"), 1000).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    assert common.written(texts.mapInArrow(run, "n long"), "batches").agg(F.max("n")).first()[0] < 6_000_000
+    assert spark.conf.get(key) == before
+
+
+def test_passages_are_cut_without_a_second_python_step(spark):
+    bench = spark.createDataFrame([("1", "alpha beta gamma")], "item_id string, text string")
+    texts = ["\u00e9\u4e2d alpha beta gamma \u00e9 alpha beta gamma", "no hit \u00e9", None, "alpha beta gamma"]
+    left = decontaminate.without_passages(decontaminate.find_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench))
+    assert left.columns == ["doc_id", "text"]
+    assert {r.doc_id: r.text for r in left.collect()} == {0: "\u00e9\u4e2d  \u00e9 ", 1: "no hit \u00e9", 2: None}
+    assert left._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_joined_starts_no_python_for_empty_tables(spark):
+    members = spark.createDataFrame([(1, 1, 5, 0, 0, 0, 0)], "sig long, id long, n long, p0 long, p1 long, p2 long, p3 long")
+    out = jaccard.joined(common.written(members, "members"), None, 80)
+    assert out.columns == ["id", "component"] and out.count() == 0
+    assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
