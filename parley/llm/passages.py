@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import Words, mixed, pieces, written
+from parley.llm.common import Words, discard, mixed, pieces, written
 from parley.llm.jaccard import SKETCH, bit, identity, joined, map_of, named, sketches, verified
 
 WORDS, PERCENT = 5, 80
@@ -115,10 +115,15 @@ def _clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = written(found.filter("hub <> other OR x <> y").select("sig", F.expr("hub <> other").alias("varied")), "bands")
     members = _signed(docs, map_of(shared, "sig")).select("sig", "id", "n", *SKETCH)
     members = written(members.join(shared, "sig").distinct(), "band-members")
+    discard(shared)
     ids = written(members.select("id").distinct(), "paragraph-classes")
     members = members.filter("varied").drop("varied")
-    texts = written(_listed(docs, written(members.select("id").distinct(), "needed"), texts=True), "paragraph-texts")
-    return ids, joined(members, lambda pairs: verified(pairs, texts, WORDS), PERCENT)
+    needed = written(members.select("id").distinct(), "needed")
+    texts = written(_listed(docs, needed, texts=True), "paragraph-texts")
+    discard(needed)
+    reached = joined(members, lambda pairs: verified(pairs, texts, WORDS), PERCENT)
+    discard(texts)
+    return ids, reached
 
 
 def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,9 +175,14 @@ def _runs(docs: DataFrame, present: bytes | None = None) -> DataFrame:
 def _equal_runs(docs: DataFrame) -> DataFrame:
     """``row, id, runs`` of each text with runs that other texts have: twice the first word of each, and one more if no text before has it."""
     several = _runs(docs).groupBy("sig").agg(F.min("row").alias("x"), F.max("row").alias("y")).filter("x <> y").select("sig")
-    found = written(_runs(docs, map_of(written(several, "prints"), "sig")), "runs")
+    prints = written(several, "prints")
+    known = map_of(prints, "sig")
+    discard(prints)
+    found = written(_runs(docs, known), "runs")
     names = found.groupBy("name").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", _order()).alias("keeper"))
-    found = found.join(names.filter("x <> y"), "name")
+    # written, so that the files of this shuffle are gone before the runs are dealt again
+    names = written(names.filter("x <> y").select("name", "keeper"), "run-names")
+    found = found.join(names, "name").select("row", "doc_id", "start", "keeper")
     at = F.col("start") * 2 + (F.col("keeper") == F.col("row")).cast("int")
     # the runs of one text: at most one for each of its words
     return found.groupBy("row").agg(F.first("doc_id").alias("id"), F.collect_set(at).alias("runs"))
@@ -245,6 +255,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     ids, reached = _clusters(docs)
     rows = _listed(docs, ids, texts=False).join(reached, "id", "left").withColumn("cluster", F.coalesce("component", "id"))
     rows = written(rows.select("doc_id", "row", "number", "first", "words", "cluster"), "paragraphs")
+    discard(ids, reached)  # before the runs, of which the shuffle is the largest
     several = rows.groupBy("cluster").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", _order()).alias("keeper"))
     several = several.filter("x <> y").select("cluster", "keeper")
     parts = rows.join(several, "cluster").withColumn("kept", F.col("keeper") == F.col("row"))

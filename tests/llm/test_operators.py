@@ -435,3 +435,19 @@ def test_joined_starts_no_python_for_empty_tables(spark):
     out = jaccard.joined(common.written(members, "members"), None, 80)
     assert out.columns == ["id", "component"] and out.count() == 0
     assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_passages_leave_only_tables_that_are_read(spark, docs):
+    folder, passage = set(), " ".join(f"p{i}" for i in range(40))
+    table = spark.createDataFrame([(1, passage + " x\n" + passage), (2, "y " + passage), (3, "z")], "doc_id long, text string")
+    kept = passages.written
+    passages.written = lambda df, label: folder.add((label, out := kept(df, label))) or out
+    try:
+        spans = passages.repeats(table)
+    finally:
+        passages.written = kept
+    assert {r.doc_id for r in spans.collect()} == {1, 2}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = {label for label, df in folder if any(p.getFileSystem(conf).exists(p) for p in map(path, df.inputFiles()))}
+    assert there == {"paragraphs", "runs", "run-names"}
