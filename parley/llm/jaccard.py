@@ -13,7 +13,6 @@ have allowances beyond its own largest difference cannot miss a similar set by t
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Callable, Iterator
 
@@ -29,11 +28,16 @@ from parley.llm.components import components
 MAP_BITS = 26
 #: Shingles of a subset that sets are indexed by, where their allowances leave it to them.
 LEAST = 2
-#: Members of a signature's group that are compared with the others in the first rounds, and in later ones: few at
-#: first, as most of a large group of near copies joins by way of any of them.
-HUBS = (1, 32, 256)
-#: A set's sketch: for each of so many times 64 cells, whether an odd number of shingles falls into it.
-SKETCH = [f"p{i}" for i in range(4)]
+#: Members of a signature's group that are compared with the others in the first rounds: few, as most of a large group
+#: of near copies joins by way of any of them. The last round compares all that is left.
+HUBS = (1, 32)
+#: Members of a group that each other one meets in one task in the last round.
+BLOCK = 1024
+#: A set's sketch: for each of so many times 64 cells, whether an odd number of shingles falls into it. Texts have
+#: sets of hundreds or thousands, which fill fewer cells so evenly that these tell nothing apart.
+SKETCH = [f"p{i}" for i in range(16)]
+#: Sets whose cells are counted at a time.
+SETS_AT_ONCE = 2048
 
 
 class Bands:
@@ -155,18 +159,22 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, SETS)
 
 
-def sketches(doc: np.ndarray, shingle: np.ndarray, n: int) -> list[np.ndarray]:
-    """The columns ``SKETCH`` of each set. Two sets differ in at least as many shingles as their sketches in bits."""
-    cells = 64 * len(SKETCH)
+def sketches(doc: np.ndarray, shingle: np.ndarray, n: int, columns: int = len(SKETCH)) -> list[np.ndarray]:
+    """So many columns of the sketch of each set, ``doc`` in order. Two sets differ in at least as many shingles as their sketches in bits."""
+    cells = 64 * columns
     place = (mixed(shingle ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(cells)).astype(np.int64)
-    odd = np.bincount(doc * cells + place, minlength=n * cells).reshape(n, cells) & 1
-    packed = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
-    return [np.ascontiguousarray(packed[:, i]) for i in range(len(SKETCH))]
+    packed = np.zeros((n, columns), np.int64)
+    for low in range(0, n, SETS_AT_ONCE):
+        high = min(low + SETS_AT_ONCE, n)
+        begin, end = np.searchsorted(doc, (low, high))
+        odd = np.bincount((doc[begin:end] - low) * cells + place[begin:end], minlength=(high - low) * cells) & 1
+        packed[low:high] = np.packbits(odd.astype(np.uint8).reshape(-1, cells), axis=1).view(np.int64)
+    return [np.ascontiguousarray(packed[:, i]) for i in range(columns)]
 
 
-def may_link(percent: int) -> Column:
+def may_link(percent: int, sketch: list[str]) -> Column:
     """Whether the sizes and sketches of a set and of a ``hub`` leave it open that they are similar; never wrong about a link."""
-    bits = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"hub_{p}"))) for p in SKETCH), F.lit(0))
+    bits = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"hub_{p}"))) for p in sketch), F.lit(0))
     differ = F.greatest(bits.cast("long"), F.abs(F.col("n") - F.col("hub_n")))
     return differ * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent)
 
@@ -187,7 +195,7 @@ def map_of(rows: DataFrame, column: str) -> bytes:
 
 
 def signed(docs: DataFrame, words: int, bands: Bands, rows: bytes, present: bytes | None = None) -> DataFrame:
-    """``sig`` of the sets in a map of ``rows``; if a map of signatures is given, those alone that it has, with ``id, n`` and the sketch of the set."""
+    """``sig`` of the sets in a map of ``rows``; if a map of signatures is given, those alone that it has, with the ``id`` of the set."""
     shared = docs.sparkSession.sparkContext.broadcast((bands, rows, present))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,16 +210,45 @@ def signed(docs: DataFrame, words: int, bands: Bands, rows: bytes, present: byte
                 if known is not None:
                     keep = bit(known, sig)
                     doc, sig = doc[keep], sig[keep]
-                    size, name = identity(set_of, shingle, len(texts))
-                    of_set = [name, size.astype(np.int64), *sketches(set_of, shingle, len(texts))]
+                    of_set = [identity(set_of, shingle, len(texts))[1]]
                 for at in range(0, len(sig), 500_000):
                     mine = doc[at : at + 500_000]
                     yield pa.RecordBatch.from_arrays([pa.array(sig[at : at + 500_000]), *[pa.array(x[mine]) for x in of_set]], columns)
 
-    columns = ["sig", *(["id", "n", *SKETCH] if present else [])]
+    columns = ["sig", *(["id"] if present else [])]
     return docs.select("row", "text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
 
 
+def sketched(docs: DataFrame, words: int, rows: DataFrame) -> DataFrame:
+    """``id, n`` and sketch of the classes whose texts a table names by ``row, id``; other texts are passed over."""
+    shared = docs.sparkSession.sparkContext.broadcast(map_of(rows, "row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            batch = batch.filter(pa.array(bit(wanted, batch.column("row").to_numpy())))
+            for _, texts in pieces(batch, "text"):
+                set_of, shingle = Words(texts).shingles(words)
+                size, name = identity(set_of, shingle, len(texts))
+                of_set = [name, size.astype(np.int64), *sketches(set_of, shingle, len(texts))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in of_set], columns)
+
+    columns = ["id", "n", *SKETCH]
+    found = docs.select("row", "text").mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+    # texts of one class are equal in all that is taken here
+    return found.join(rows.select("id"), "id", "left_semi").dropDuplicates(["id"])
+
+
+def different(members: DataFrame) -> DataFrame:
+    """``members`` without the groups ``sig`` that hold the same sets as another one; near copies share most of theirs.
+
+    Groups are told apart by their size and 128 bits of hashes. ``members`` is a written table without repeated rows.
+    """
+    held = [F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("y")]
+    groups = members.groupBy("sig").agg(*held).filter("c > 1")
+    return members.join(groups.groupBy("c", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig", "left_semi")
+
+
 def _texts(ids: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``id, text``, written: a text of each of these classes; other texts are not shuffled."""
     rows = written(classes.join(ids, "id", "left_semi"), "needed")
@@ -282,9 +319,14 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     if shared.isEmpty():
         discard(shared, classes)
         return None
-    members = signed(docs, words, bands, rows, map_of(shared, "sig"))
-    members = written(members.join(shared, "sig", "left_semi").distinct(), "members")
+    found = signed(docs, words, bands, rows, map_of(shared, "sig"))
+    found = written(found.join(shared, "sig", "left_semi").distinct(), "found")
     discard(shared)
+    groups = written(different(found), "groups")
+    discard(found)
+    needed = written(classes.join(groups.select("id").distinct(), "id", "left_semi"), "sketched")
+    members = written(groups.join(sketched(docs, words, needed), "id").select("sig", "id", "n", *SKETCH), "members")
+    discard(groups, needed)
 
     def verify(pairs: DataFrame) -> DataFrame:
         texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, classes)
@@ -300,29 +342,42 @@ def _links(docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
 def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """``id, component`` of the sets that are similar to another one, by way of the groups ``sig`` of ``members``.
 
-    As long as a group has several components, a few of its members, outside of the largest component, are
-    compared with all members of other components, and are then done with. A pair is verified unless the
-    sizes and sketches rule it out, so what is verified grows with the links and not with the groups. Each
-    round ties the components that its links join. ``members`` is a written table; it and each round's tables are
-    removed as soon as the next ones are written.
+    In a group of several components a few members, outside of the largest component, are compared with all members of
+    other components, and are then done with; after the rounds of ``HUBS`` all that are left are compared, in blocks. A
+    pair is verified unless the sizes and sketches (columns ``p0``, ``p1`` and so on) rule it out, so what is verified
+    grows with the links and not with the groups. Each round ties the components that its links join. ``members`` is
+    a written table; it and each round's tables are removed as soon as the next ones are written.
     """
     spark = members.sparkSession
+    sketch = [c for c in members.columns if c[0] == "p"]
     none = spark.range(0, 0, 1, 1)  # rows of the driver, even none of them, would start further Python workers
     reached, known = none.select("id", F.col("id").alias("component")), none.select(F.col("id").alias("a"), F.col("id").alias("b"))
     left, past = members, [members]
-    for turn in itertools.count():
+    for turn, most in enumerate((*HUBS, None)):
         now = left.join(reached, "id", "left") if turn else left.withColumn("component", F.col("id"))
         now = now.withColumn("component", F.coalesce("component", "id"))
         size = now.groupBy("sig", "component").agg(F.count("*").alias("m"))
-        split = size.groupBy("sig").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("c")).filter("c > 1")
+        blocks = F.ceil(F.sum("m") / BLOCK).cast("int").alias("blocks")
+        split = size.groupBy("sig").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("c"), blocks).filter("c > 1")
         left = written(now.join(split.drop("c"), "sig"), "left")
         discard(*past)
         if left.isEmpty():
+            discard(left)
             return reached
-        place = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
-        hubs = left.filter("component <> main").withColumn("place", place).filter(F.col("place") <= HUBS[min(turn, len(HUBS) - 1)])
-        hubs = written(hubs.select("sig", *[F.col(c).alias(f"hub_{c}") for c in ("id", "n", *SKETCH, "component")]), "hubs")
-        pairs = left.join(hubs, "sig").filter("component <> hub_component").filter(may_link(percent))
+        past, hubs = [left], left.filter("component <> main")
+        if most:
+            place = F.row_number().over(Window.partitionBy("sig").orderBy("id"))
+            hubs = hubs.withColumn("place", place).filter(F.col("place") <= most)
+        hubs = hubs.select("sig", "blocks", *[F.col(c).alias(f"hub_{c}") for c in ("id", "n", *sketch, "component")])
+        if most:
+            hubs = written(hubs.drop("blocks"), "hubs")
+            past.append(hubs)
+            pairs = left.join(hubs, "sig")
+        else:  # each member meets the blocks of a group one by one; of two hubs one meets the other
+            hubs = hubs.withColumn("block", F.pmod(F.xxhash64("hub_id"), "blocks").cast("int")).drop("blocks")
+            each = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            pairs = each.join(hubs, ["sig", "block"]).filter("component = main OR id < hub_id")
+        pairs = pairs.filter("component <> hub_component").filter(may_link(percent, sketch))
         pairs = pairs.select(
             F.least("id", "hub_id").alias("a"),
             F.greatest("id", "hub_id").alias("b"),
@@ -336,9 +391,11 @@ def joined(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent
             old, reached = reached, _tied(reached, pairs.join(found.filter(F.col("common") * 100 >= F.col("total") * percent), ["a", "b"]))
             discard(*([old] if old is not reached else []))
         discard(pairs)
-        past = [left, hubs]
-        done = hubs.select("sig", F.col("hub_id").alias("id"))
-        left = left.drop("component", "main").join(done, ["sig", "id"], "left_anti")
+        if most:
+            done = hubs.select("sig", F.col("hub_id").alias("id"))
+            left = left.drop("component", "main", "blocks").join(done, ["sig", "id"], "left_anti")
+    discard(*past)
+    return reached
 
 
 def _tied(reached: DataFrame, links: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.common import Words, discard, mixed, pieces, written
-from parley.llm.jaccard import SKETCH, bit, identity, joined, map_of, named, sketches, verified
+from parley.llm.jaccard import bit, different, identity, joined, map_of, named, sketches, verified
 
 WORDS, PERCENT = 5, 80
 #: Bands of so many hashes each: a pair at 0.8 collides with probability 1 - (1 - 0.8**2)**5 = 0.994.
@@ -26,6 +26,8 @@ BANDS, ROWS = 5, 2
 LEAST_PARAGRAPH, LEAST_SPAN = 5, 30
 #: Words of the shorter runs whose least hash stands for the LEAST_SPAN words that they lie in.
 PRINT = 15
+#: Columns of a paragraph's sketch; its set is that of a sentence or a few.
+SKETCH = [f"p{i}" for i in range(4)]
 _SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -50,7 +52,7 @@ class Paragraphs:
         self.number = np.flatnonzero(long)
         self.first = first[:-1][long] - words.first[self.text]
         self.name, self.size = name[long], size[long].astype(np.int64)
-        self.sketch = [x[long] for x in sketches(unit, shingle, len(first) - 1)] if sketched else []
+        self.sketch = [x[long] for x in sketches(unit, shingle, len(first) - 1, len(SKETCH))] if sketched else []
         self.bytes = (words.start[first[:-1][long]], words.end[first[1:][long] - 1])
         self.raw = words.text
         if not signed:
@@ -117,7 +119,9 @@ def _clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = written(members.join(shared, "sig").distinct(), "band-members")
     discard(shared)
     ids = written(members.select("id").distinct(), "paragraph-classes")
-    members = members.filter("varied").drop("varied")
+    varied = written(different(members.filter("varied").drop("varied")), "varied")
+    discard(members)
+    members = varied
     needed = written(members.select("id").distinct(), "needed")
     texts = written(_listed(docs, needed, texts=True), "paragraph-texts")
     discard(needed)
@@ -179,7 +183,10 @@ def _equal_runs(docs: DataFrame) -> DataFrame:
     known = map_of(prints, "sig")
     discard(prints)
     found = written(_runs(docs, known), "runs")
-    names = found.groupBy("name").agg(F.min("row").alias("x"), F.max("row").alias("y"), F.min_by("row", _order()).alias("keeper"))
+    # in two steps within a partition: the least of a struct would sort the runs, and twice
+    names = found.select("name", "doc_id", "row").repartition("name").groupBy("name", "doc_id").agg(F.min("row").alias("x"), F.max("row").alias("y"))
+    keeper = F.coalesce(F.min_by("x", "doc_id"), F.min("x"))  # texts without an id are last
+    names = names.groupBy("name").agg(F.min("x").alias("x"), F.max("y").alias("y"), keeper.alias("keeper"))
     # written, so that the files of this shuffle are gone before the runs are dealt again
     names = written(names.filter("x <> y").select("name", "keeper"), "run-names")
     found = found.join(names, "name").select("row", "doc_id", "start", "keeper")

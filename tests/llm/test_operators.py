@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from parley.llm import common, decontaminate, jaccard, language, mixing, neighbours, passages, sharding, stages, tokens, toxicity, warc
+from parley.llm import components as ties
 from parley.llm.common import written
 from parley.llm.components import components
 
@@ -451,3 +452,61 @@ def test_passages_leave_only_tables_that_are_read(spark, docs):
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     there = {label for label, df in folder if any(p.getFileSystem(conf).exists(p) for p in map(path, df.inputFiles()))}
     assert there == {"paragraphs", "runs", "run-names"}
+
+
+def test_groups_of_the_same_sets_are_joined_once(spark):
+    rows = [(s, i) for s, ids in ((1, (5, 6, 7)), (2, (5, 6, 7)), (3, (5, 6)), (4, (6, 7)), (5, (6, 7)), (6, (9,))) for i in ids]
+    left = jaccard.different(common.written(spark.createDataFrame(rows, "sig long, id long"), "rows"))
+    assert sorted(left.collect()) == [(s, i) for s, i in rows if s in (1, 3, 4)]
+
+
+def test_joined_compares_a_large_group_in_three_rounds(spark, monkeypatch):
+    # in the group 1, sets are similar to the one of the next number but one; groups 2 and 3 hold all or some of them
+    n, turns = 150, []
+    rows = [(1, i, 50) for i in range(n)] + [(2, i, 50) for i in range(n)] + [(3, i, 50) for i in range(0, n, 3)]
+    sketch = [F.lit(0).cast("long").alias(f"p{i}") for i in range(4)]
+    members = common.written(spark.createDataFrame(rows, "sig long, id long, n long").select("*", *sketch), "members")
+
+    def verify(pairs):
+        turns.append(sorted(map(tuple, pairs.collect())))
+        similar = F.when(F.col("b") - F.col("a") == 2, 50).otherwise(0).cast("long")
+        return common.written(pairs.select("a", "b", similar.alias("common"), F.lit(50).cast("long").alias("total")), "verified")
+
+    monkeypatch.setattr(jaccard, "HUBS", (1, 2))
+    monkeypatch.setattr(jaccard, "BLOCK", 40, raising=False)
+    found = jaccard.joined(members, verify, 80).collect()
+    assert {r.id: r.component for r in found} == {i: i % 2 for i in range(n)}
+    assert len(turns) == 3 and len({p for t in turns for p in t}) == sum(map(len, turns))
+
+
+def test_sketches_of_long_texts_tell_them_apart(spark):
+    rng = np.random.default_rng(11)
+    doc, shingle = np.repeat(np.arange(3), 1500), rng.integers(0, 2**63, 4500, dtype=np.uint64)
+    shingle[1500:2940] = shingle[:1440]  # the second is similar to the first, the third to none
+    columns = ["n", *jaccard.SKETCH]
+    of = [dict(zip(columns, (1500, *(int(x[i]) for x in jaccard.sketches(doc, shingle, 3))), strict=True)) for i in range(3)]
+    rows = [(a, b, *of[a].values(), *of[b].values()) for a, b in ((0, 1), (0, 2), (1, 2))]
+    pairs = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in ("a", "b", *columns, *(f"hub_{c}" for c in columns))))
+    left = pairs.filter(jaccard.may_link(80, jaccard.SKETCH)).select("a", "b").collect()
+    assert list(map(tuple, left)) == [(0, 1)]
+
+
+def test_few_edges_are_tied_without_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    edges = [(int(a), int(b)) for a, b in rng.integers(-300, 300, (250, 2))] + [(i, i + 1) for i in range(1000, 1100)]
+    table, tables, kept, found = spark.createDataFrame(edges, "a long, b long"), [], ties.written, []
+    monkeypatch.setattr(ties, "written", lambda df, label: tables.append(label) or kept(df, label))
+    for few in (500_000, 0):
+        monkeypatch.setattr(ties, "FEW", few, raising=False)
+        tables.clear()
+        found.append((sorted(map(tuple, components(table).collect())), len(tables)))
+    assert found[0][0] == found[1][0] and found[0][1] == 1 < found[1][1]
+
+
+def test_runs_are_kept_by_the_first_text_also_without_or_with_equal_ids(spark):
+    passage = " ".join(f"q{i}" for i in range(40))
+    table = spark.createDataFrame([(None, passage), (7, "x " + passage), (7, "y " + passage), (9, passage)], "doc_id long, text string")
+    named = jaccard.named(table).select("doc_id", "row", "text")
+    want = named.orderBy(passages._order()).first()["row"]
+    found = passages._equal_runs(named).collect()
+    assert {r.row: {x % 2 for x in r.runs} for r in found} == {r.row: {int(r.row == want)} for r in named.collect()}
